@@ -55,14 +55,21 @@ def _ordered(columns: dict[str, Column], names: Sequence[str]) -> list[Column]:
     return [columns[name].alias(name) for name in names]
 
 
+def _match_level(*names: str) -> list[Column]:
+    """The match id and fields of ``info``, under their bronze names."""
+    return [F.col("metadata.matchId").alias("match_id"), *[F.col(f"info.{n}").alias(schemas.snake(n)) for n in names]]
+
+
 def flatten_participants(documents: DataFrame, ingest_ts: str) -> DataFrame:
     """One row per participant of accepted match documents."""
-    info, p = F.col("info"), F.col("p")
+    p = F.col("p")
+    rows = documents.select(
+        *_match_level(*schemas.MATCH_REQUIRED, "gameDuration"), F.explode("info.participants").alias("p")
+    )
     columns = {
-        "match_id": F.col("match_id"),
-        **{schemas.snake(name): info[name] for name in schemas.MATCH_REQUIRED if name != "platformId"},
-        "platform": info["platformId"],
-        "game_duration": or_zero(info["gameDuration"]),
+        **{name: F.col(name) for name in rows.columns},
+        "platform": F.col("platform_id"),
+        "game_duration": or_zero(F.col("game_duration")),
         **{schemas.snake(name): p[name] for name in schemas.PARTICIPANT_REQUIRED},
         **{schemas.snake(name): F.coalesce(p[name], F.lit("")) for name in schemas.IDENTITY_OPTIONAL},
         **{schemas.snake(name): or_zero(p[name]) for name in schemas.ECONOMY_OPTIONAL},
@@ -70,25 +77,22 @@ def flatten_participants(documents: DataFrame, ingest_ts: str) -> DataFrame:
         **rune_columns(p["perks"]),
         "ingest_ts": F.lit(ingest_ts),
     }
-    rows = documents.select(F.col("metadata.matchId").alias("match_id"), "info", F.explode("info.participants").alias("p"))
     return rows.select(*_ordered(columns, schemas.PARTICIPANTS.names))
 
 
 def flatten_teams(documents: DataFrame, ingest_ts: str) -> DataFrame:
     """One row per team of accepted match documents."""
     team = F.col("t")
+    rows = documents.select(*_match_level("gameVersion", "queueId"), F.explode("info.teams").alias("t"))
     columns = {
-        "match_id": F.col("match_id"),
+        **{name: F.col(name) for name in rows.columns},
         "team_id": team["teamId"],
         "side": side_of(team["teamId"]),
         "win": team["win"],
         **objective_columns(team["objectives"]),
         **{f"ban_{i + 1}": element_or_zero(team["bans"], i, "championId") for i in range(5)},
-        "game_version": F.col("info.gameVersion"),
-        "queue_id": F.col("info.queueId"),
         "ingest_ts": F.lit(ingest_ts),
     }
-    rows = documents.select(F.col("metadata.matchId").alias("match_id"), "info", F.explode("info.teams").alias("t"))
     return rows.select(*_ordered(columns, schemas.TEAMS.names))
 
 

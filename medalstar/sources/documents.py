@@ -20,10 +20,14 @@ def read_text_documents(spark: SparkSession, path: str, one_per_file: bool = Fal
 
 
 def parse_documents(df: DataFrame, text: str, schema: T.StructType) -> DataFrame:
-    """Parse a JSON text column to the fields of ``schema``; unreadable text is kept in ``_corrupt``."""
+    """Parse a JSON text column to the fields of ``schema``; unreadable text is kept in ``_corrupt``.
+
+    The parsed struct passes through a generator, which later filters cannot be pushed below; as a
+    plain projection it would be parsed again for every reference in such a filter.
+    """
     with_corrupt = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
     parsed = F.from_json(text, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
-    return df.withColumn("_document", parsed).select(*df.columns, "_document.*")
+    return df.select("*", F.inline(F.array(parsed)))
 
 
 def _present(fields: Iterable[str], within: Column) -> Column:
