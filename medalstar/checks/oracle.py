@@ -304,7 +304,8 @@ JSON_SIDES = "SELECT match_id, team_id, side FROM json_teams"
 
 
 def means(*columns: str) -> str:
-    return ", ".join(f"round(avg({c}), 6) AS avg_{c}" for c in columns)
+    exact = "CAST(sum(CAST({0} AS DECIMAL(18, 6))) AS DOUBLE) / count({0}) AS avg_{0}"
+    return ", ".join(exact.format(c) for c in columns)
 
 
 def report_sql() -> str:

@@ -14,8 +14,9 @@ def _wins() -> list[Column]:
 
 
 def _mean(column: str) -> Column:
-    """Average to six digits, so that the order of summation does not show."""
-    return F.round(F.avg(column), 6).alias(f"avg_{column}")
+    """Average of the values to six decimals. Decimals add up exactly, in whatever order they come."""
+    total = F.sum(F.col(column).cast("decimal(18,6)")).cast("double")
+    return F.try_divide(total, F.count(column)).alias(f"avg_{column}")
 
 
 def champion_winrate_by_patch(fact: DataFrame, dim_queue_patch: DataFrame) -> DataFrame:
