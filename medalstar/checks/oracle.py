@@ -20,6 +20,7 @@ DIALECT = {
     "@team_ids@": "unnest([100, 200])",
     "@snapshots@": "unnest([1, 2])",
     "@tab@": "chr(9)",
+    "@shuffled@": "",
 }
 INGEST = "2025-01-06T00:00:00"
 CDN = lookups.ASSET_CDN

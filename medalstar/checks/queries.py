@@ -261,7 +261,7 @@ def join_team_stats(spark, sf_dir):
 @query
 def join_rank_snapshot(spark, sf_dir):
     left = participants(spark, sf_dir).select(*ID, "puuid", "platform")
-    return join_snapshot(left, ladder(spark, sf_dir), "puuid", "platform", {"tier": "tier", "league_points": "lp"})
+    return join_snapshot(left, stored(spark, sf_dir, "stg_ladder"), "puuid", "platform", {"tier": "tier", "league_points": "lp"})
 
 
 @query

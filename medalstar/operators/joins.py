@@ -41,7 +41,9 @@ def join_snapshot(
     """Left join on ``key`` and ``same`` to a snapshot that holds one row per ``key``.
 
     Because ``key`` alone is unique in the snapshot, it carries the join, and ``same`` only decides
-    whether the joined values count. Both sides can then reuse a partitioning by ``key``.
+    whether the joined values count. Both sides can then reuse a partitioning by ``key``. Where
+    ``df`` may hold a hot key, pass a stored snapshot: adaptive execution splits a skewed join only
+    if both sides are shuffled right below it.
     ``columns`` maps snapshot columns to output names.
     """
     right = snapshot.select(

@@ -7,8 +7,11 @@ pipeline has rows to act on.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from medalstar import schemas
 from medalstar.functions.lookups import KEYSTONES
@@ -40,6 +43,8 @@ SPARK_DIALECT = {
     "@team_ids@": "explode(array(100L, 200L))",
     "@snapshots@": "explode(array(1, 2))",
     "@tab@": r"'\t'",
+    # Both inputs are large at scale; shuffling them also spreads a single small file over tasks.
+    "@shuffled@": "/*+ MERGE(o) */",
 }
 
 
@@ -187,8 +192,8 @@ def _select(values: dict[str, str], schema) -> str:
 # One SQL text per bronze table; inputs are written {name}.
 SQL = {
     "matches_participants":
-        f"SELECT {_select(PARTICIPANT_VALUES, schemas.PARTICIPANTS)} "
-        "FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey",
+        f"SELECT @shuffled@ {_select(PARTICIPANT_VALUES, schemas.PARTICIPANTS)} "
+        "FROM {lineitem} JOIN {orders} o ON l_orderkey = o_orderkey",
     "matches_teams":
         f"SELECT {_select(TEAM_VALUES, schemas.TEAMS)} "
         "FROM (SELECT o_orderkey, o_orderdate, @team_ids@ AS team FROM {orders}) "
@@ -212,8 +217,6 @@ def in_dialect(sql: str, dialect: dict[str, str]) -> str:
 
 
 def inputs(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
-    from pyspark.sql.types import StructType
-
     return {n: scan(spark, f"{sf_dir}/{n}.parquet", StructType.fromDDL(INPUT_SCHEMAS[n])) for n in names}
 
 
@@ -285,10 +288,13 @@ def _json_team(k: Column, team: int, team_id: Column) -> Column:
     )
 
 
+@lru_cache(maxsize=4)
 def match_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, value): the JSON text of one match per order, with 1 to 10 participants."""
-    orders = inputs(spark, sf_dir, "orders")["orders"]
     k = F.col("o_orderkey")
+    # A narrow row grows into a large document, so the rows are spread before that.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    orders = inputs(spark, sf_dir, "orders")["orders"].select(k, "o_orderdate").repartition(tasks, k)
     players = F.sequence(F.lit(1).cast("bigint"), k % 10 + 1)
     start = F.unix_millis(F.col("o_orderdate").cast("timestamp"))
     info = F.struct(
