@@ -174,23 +174,17 @@ CTES = {
         "FROM (SELECT o_orderkey AS k, unnest([1, 2]) AS t FROM orders)",
     "stg_ladder": """
         SELECT puuid, upper(platform) AS platform, tier, league_points, wins, losses, wins + losses AS total_games,
-               CASE WHEN wins + losses > 0 THEN CAST(wins AS DOUBLE) / CAST(wins + losses AS DOUBLE)
-                    ELSE 0.0 END AS winrate,
+               CASE WHEN wins + losses > 0 THEN wins / (wins + losses) ELSE 0 END AS winrate,
                CAST(ingest_ts AS TIMESTAMP) AS ingest_ts
         FROM ladder WHERE puuid IS NOT NULL
         QUALIFY row_number() OVER (PARTITION BY puuid ORDER BY ingest_ts DESC, platform, tier, league_points) = 1""",
     "stg_matches_teams": "SELECT * REPLACE (CAST(ingest_ts AS TIMESTAMP) AS ingest_ts) FROM matches_teams",
     "stg_matches_participants": """
         SELECT * REPLACE (CAST(ingest_ts AS TIMESTAMP) AS ingest_ts),
-               CASE WHEN deaths = 0 THEN CAST(kills + assists AS DOUBLE)
-                    ELSE CAST(kills + assists AS DOUBLE) / CAST(deaths AS DOUBLE) END AS kda,
+               (kills + assists) / CASE deaths WHEN 0 THEN 1 ELSE deaths END AS kda,
                total_minions_killed + neutral_minions_killed AS total_cs,
-               CASE WHEN game_duration > 0 THEN CAST(gold_earned AS DOUBLE) / (CAST(game_duration AS DOUBLE) / 60)
-                    ELSE 0.0 END AS gold_per_minute,
-               CASE WHEN game_duration > 0
-                    THEN CAST(total_minions_killed + neutral_minions_killed AS DOUBLE)
-                         / (CAST(game_duration AS DOUBLE) / 60)
-                    ELSE 0.0 END AS cs_per_minute
+               CASE WHEN game_duration > 0 THEN gold_earned / (game_duration / 60) ELSE 0 END AS gold_per_minute,
+               CASE WHEN game_duration > 0 THEN total_cs / (game_duration / 60) ELSE 0 END AS cs_per_minute
         FROM matches_participants""",
     "dim_champion": f"""
         SELECT DISTINCT champion_id AS champion_key, champion_id, champion_name,
@@ -232,7 +226,7 @@ CTES = {
         FROM stg_matches_participants WHERE puuid IS NOT NULL
         QUALIFY row_number() OVER (
             PARTITION BY puuid
-            ORDER BY CASE WHEN {TRIMMED} IS NOT NULL THEN 0 ELSE 1 END, ingest_ts DESC, platform,
+            ORDER BY {TRIMMED} IS NULL, ingest_ts DESC, platform,
                      coalesce({TRIMMED}, riot_id_name), riot_id_name, riot_id_tagline) = 1""",
     "dim_player": f"""
         SELECT row_number() OVER (ORDER BY p.puuid) AS player_key, p.*,
@@ -528,8 +522,8 @@ STATEMENTS = {
     "case_label": f"SELECT match_id, participant_id, queue_id, {QUEUE_NAME} AS queue_name {P}",
     "cond_url": f"SELECT match_id, participant_id, {ITEM_URLS} {P}",
     "safe_ratio": """
-        SELECT puuid, ingest_ts, CASE WHEN wins + losses > 0
-               THEN CAST(wins AS DOUBLE) / CAST(wins + losses AS DOUBLE) ELSE 0.0 END AS winrate FROM ladder""",
+        SELECT puuid, ingest_ts, CASE WHEN wins + losses > 0 THEN wins / (wins + losses) ELSE 0 END AS winrate
+        FROM ladder""",
     "per_minute": f"SELECT match_id, participant_id, gold_per_minute {P}",
     "kda": f"SELECT match_id, participant_id, kda {P}",
     "derived_sum": "SELECT puuid, ingest_ts, wins + losses AS total_games FROM ladder",

@@ -13,6 +13,7 @@ from medalstar.functions.scalars import (
 from medalstar.operators.joins import broadcast_if_small, join_lookup, join_snapshot
 from medalstar.operators.keys import dense_key, preferred_latest
 from medalstar.operators.shape import unpivot_distinct
+from medalstar.sources.tables import MONTH, gather_months
 
 ITEM_SLOTS = [f"item{i}" for i in range(7)]
 
@@ -203,16 +204,11 @@ def fact_joins(
     )
 
 
-def fct_participant_match(
-    participants: DataFrame,
-    teams: DataFrame,
-    stg_ladder: DataFrame,
-    dim_player: DataFrame,
-    dim_queue_patch: DataFrame,
-    assets: Assets = Assets(),
-) -> DataFrame:
-    """One row per participant row, with everything a report needs. Image columns are added last."""
-    joined = fact_joins(participants, teams, stg_ladder, dim_player, dim_queue_patch)
+def fact_columns(joined: DataFrame, assets: Assets = Assets()) -> DataFrame:
+    """The fact's columns from ``fact_joins`` rows; a month column added to those rows stays.
+
+    The image addresses make a row several times wider, so this comes after the last shuffle.
+    """
     started = epoch_ms("game_start_timestamp")
     derived = {
         "game_start_datetime": started,
@@ -227,6 +223,22 @@ def fct_participant_match(
         **{f"{slot}_image_url": assets.item_slot(F.col(slot)) for slot in ITEM_SLOTS},
         "role_icon": code_lookup("team_position", lookups.ROLE_ICONS, lookups.UNKNOWN_ROLE_ICON),
     }
-    return joined.select(*[
-        derived.get(name, F.col(FACT_RENAMES.get(name, name))).alias(name) for name in FACT_COLUMNS
-    ])
+    names = FACT_COLUMNS + [MONTH] * (MONTH in joined.columns)
+    return joined.select(*[derived.get(n, F.col(FACT_RENAMES.get(n, n))).alias(n) for n in names])
+
+
+def fct_participant_match(
+    participants: DataFrame,
+    teams: DataFrame,
+    stg_ladder: DataFrame,
+    dim_player: DataFrame,
+    dim_queue_patch: DataFrame,
+    assets: Assets = Assets(),
+) -> DataFrame:
+    """One row per participant row, with everything a report needs."""
+    return fact_columns(fact_joins(participants, teams, stg_ladder, dim_player, dim_queue_patch), assets)
+
+
+def fct_participant_match_by_month(*tables: DataFrame) -> DataFrame:
+    """The fact with its month, gathered by month for writing. Takes the tables of the fact."""
+    return fact_columns(gather_months(fact_joins(*tables), epoch_ms("game_start_timestamp")))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from medalstar.operators import quality
 from medalstar.plans import gold, silver
 from medalstar.plans.suites import SUITES
-from medalstar.sources.tables import write_by_month
+from medalstar.sources.tables import write_months
 
 FACT = "fct_participant_match"
 
@@ -26,7 +26,7 @@ MODELS: dict[str, tuple[tuple[str, ...], Callable[..., DataFrame]]] = {
     "dim_player": (("stg_matches_participants", "stg_ladder"), gold.dim_player),
     FACT: (
         ("stg_matches_participants", "stg_matches_teams", "stg_ladder", "dim_player", "dim_queue_patch"),
-        gold.fct_participant_match,
+        gold.fct_participant_match_by_month,
     ),
 }
 
@@ -54,7 +54,7 @@ class Warehouse:
             inputs, model = MODELS[name]
             df = model(*[self.table(i) for i in inputs])
             if name == FACT:
-                write_by_month(df, self.path(name), "game_start_datetime")
+                write_months(df, self.path(name))
             else:
                 df.write.mode("overwrite").parquet(self.path(name))
             self._stored[name] = self.spark.read.parquet(self.path(name))
@@ -64,6 +64,17 @@ class Warehouse:
         """All ten tables."""
         return {name: self.table(name) for name in MODELS}
 
+    def publish(self, silver_db: str = "silver", gold_db: str = "gold") -> None:
+        """Make the stored tables available to SQL as ``silver.<table>`` and ``gold.<table>``."""
+        for database in (silver_db, gold_db):
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        for name in self.build():
+            table = f"{silver_db if name.startswith('stg_') else gold_db}.{name}"
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+            self.spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{self.path(name)}'")
+            if name == FACT:
+                self.spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+
     def check(self) -> DataFrame:
         """The report of all declared checks."""
         return quality.report(self.build(), SUITES)

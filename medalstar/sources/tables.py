@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -83,17 +83,22 @@ def raise_on_error(status: DataFrame) -> None:
         raise RuntimeError("; ".join(failed))
 
 
-def write_by_month(df: DataFrame, path: str, ts: str, keep_other_months: bool = False) -> None:
-    """Replace a Parquet folder partitioned by the month of ``ts``.
+def gather_months(df: DataFrame, ts: Column | str) -> DataFrame:
+    """Add the month of ``ts`` and bring its rows together for writing.
 
-    The rebalance gathers a month into few files, and AQE splits a month that is too large for one
-    task. ``keep_other_months`` replaces only the months present in ``df``.
+    The rebalance leaves few files per month, and AQE splits a month that is too large for one
+    task. Rows come out sorted by month, so the writer need not sort them again.
+    """
+    return df.withColumn(MONTH, month_key(ts)).hint("rebalance", MONTH).sortWithinPartitions(MONTH)
+
+
+def write_months(df: DataFrame, path: str, keep_other_months: bool = False) -> None:
+    """Replace a Parquet folder partitioned by month; ``df`` comes from ``gather_months``.
+
+    ``keep_other_months`` replaces only the months present in ``df``.
     """
     mode = "dynamic" if keep_other_months else "static"
-    (
-        df.withColumn(MONTH, month_key(ts)).hint("rebalance", MONTH)
-        .write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(MONTH).parquet(path)
-    )
+    df.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(MONTH).parquet(path)
 
 
 def read_period(df: DataFrame, ts: str, start: str, end: str) -> DataFrame:

@@ -1,5 +1,9 @@
 import json
+import os
 
+import pytest
+
+from medalstar.jobs import run
 from medalstar.plans.ingest import ingest_ladder, ingest_matches
 from medalstar.plans.warehouse import FACT, Warehouse
 from tests.support import rows_of
@@ -13,23 +17,26 @@ def land(folder, name, *texts):
         out.write("\n".join(t if isinstance(t, str) else json.dumps(t) for t in texts))
 
 
-def test_json_to_checked_star_schema(spark, folder):
-    import os
-
+@pytest.fixture
+def landed(folder):
+    """Two good and two bad match documents, and two ladder tiers."""
     for sub in ("matches", "CHALLENGER", "MASTER"):
         os.mkdir(f"{folder}/{sub}")
     teams = [{"teamId": 100, "win": True, "bans": [{"championId": 3}]}, {"teamId": 200, "win": False}]
     people = [participant(f"p{i}", participantId=i, teamId=100 if i <= 5 else 200, championName="Ahri", championId=103)
               for i in range(1, 11)]
-    land(f"{folder}/matches", "a.json",
-         match("m1", people, teams, platformId="VN2", gameVersion="14.24.1", gameStartTimestamp=1735984800000),
-         match("m2", people[:2], teams, platformId="VN2", gameVersion="14.24.1", gameStartTimestamp=1735984800000),
+    context = {"platformId": "VN2", "gameVersion": "14.24.1", "gameStartTimestamp": 1735984800000}
+    land(f"{folder}/matches", "a.json", match("m1", people, teams, **context), match("m2", people[:2], teams, **context),
          match("bad", [participant(puuid="ABSENT")]))
     land(f"{folder}/matches", "b.json", "{broken")
     entry = {"rank": "I", "wins": 3, "losses": 1}
     land(f"{folder}/CHALLENGER", "c.json", {"entries": [{"puuid": "p1", "leaguePoints": 900, **entry}]})
     land(f"{folder}/MASTER", "m.json", {"entries": [{"puuid": "p9", "leaguePoints": 100, **entry}]})
+    return folder
 
+
+def test_json_to_checked_star_schema(spark, landed):
+    folder = landed
     bronze = ingest_matches(spark, f"{folder}/matches", folder, STAMP)
     tiers = {t: f"{folder}/{t}" for t in ("CHALLENGER", "MASTER")}
     bronze["ladder"] = ingest_ladder(spark, tiers, folder, "vn2", STAMP)
@@ -51,3 +58,27 @@ def test_json_to_checked_star_schema(spark, folder):
     checks = store.check()
     assert checks.count() == 47
     assert rows_of(checks.filter("not passed")) == []
+
+
+def test_stored_tables_answer_sql(spark, landed):
+    bronze = ingest_matches(spark, f"{landed}/matches", landed, STAMP)
+    bronze["ladder"] = ingest_ladder(spark, {"MASTER": f"{landed}/MASTER"}, landed, "vn2", STAMP)
+    Warehouse(spark, bronze, f"{landed}/lake").publish("test_silver", "test_gold")
+    counts = spark.sql("SELECT match_id, count(*) AS n FROM test_gold.fct_participant_match GROUP BY match_id")
+    assert rows_of(counts) == [("m1", 10), ("m2", 2)]
+    labelled = spark.sql("""
+        SELECT p.puuid, c.champion_name, f.kills
+        FROM test_gold.fct_participant_match f
+        JOIN test_gold.dim_player p USING (player_key) JOIN test_gold.dim_champion c USING (champion_key)
+        WHERE f.game_month >= '2025-01' ORDER BY p.puuid LIMIT 3""")
+    assert rows_of(labelled) == [("p1", "Ahri", 7), ("p1", "Ahri", 7), ("p10", "Ahri", 7)]
+    assert spark.table("test_silver.stg_ladder").count() == 1
+
+
+def test_command_line(spark, landed):
+    ingest = ["ingest", "--matches", f"{landed}/matches", "--ladder", f"CHALLENGER={landed}/CHALLENGER",
+              "--ladder", f"MASTER={landed}/MASTER", "--platform", "vn2", "--stamp", STAMP, "--root", f"{landed}/out"]
+    assert run(spark, ingest) == 0
+    assert run(spark, ["build", "--root", f"{landed}/out"]) == 0
+    assert spark.read.parquet(f"{landed}/out/checks").count() == 47
+    assert spark.read.parquet(f"{landed}/out/gold/{FACT}").count() == 12

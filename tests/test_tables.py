@@ -70,16 +70,20 @@ def month_rows(spark, *days):
 
 def test_month_partitions_prune_and_replace(spark, folder):
     path = f"{folder}/fact"
-    tables.write_by_month(month_rows(spark, "2025-01-04", "2025-01-31 23:59:59.9", "2025-02-01"), path, "at")
+
+    def write(*days, **options):
+        tables.write_months(tables.gather_months(month_rows(spark, *days), "at"), path, **options)
+
+    write("2025-01-04", "2025-01-31 23:59:59.9", "2025-02-01")
     stored = spark.read.parquet(path)
     january = tables.read_period(stored, "at", "2025-01-01", "2025-02-01")
     assert rows_of(january, "id") == [(0,), (1,)]
     assert "PartitionFilters: [isnotnull(game_month" in physical_plan(january)
     assert rows_of(stored.groupBy("game_month").count()) == [("2025-01", 2), ("2025-02", 1)]
 
-    tables.write_by_month(month_rows(spark, "2025-02-07", "2025-02-08"), path, "at", keep_other_months=True)
+    write("2025-02-07", "2025-02-08", keep_other_months=True)
     assert rows_of(spark.read.parquet(path).groupBy("game_month").count()) == [("2025-01", 2), ("2025-02", 2)]
-    tables.write_by_month(month_rows(spark, "2025-03-07"), path, "at")
+    write("2025-03-07")
     assert rows_of(spark.read.parquet(path).groupBy("game_month").count()) == [("2025-03", 1)]
 
 
@@ -91,7 +95,7 @@ def test_a_hot_month_is_split_over_tasks(spark, folder):
             "id", F.when(F.col("id") < 100, "2025-01-01").otherwise("2025-02-01").cast("timestamp").alias("at"),
             F.sha2(F.col("id").cast("string"), 256).alias("text"),
         )
-        tables.write_by_month(rows, f"{folder}/hot", "at")
+        tables.write_months(tables.gather_months(rows, "at"), f"{folder}/hot")
         files = tables.file_profile(spark.read.parquet(f"{folder}/hot"), "id")
         per_month = files.groupBy(F.regexp_extract("file_path", "game_month=([0-9-]+)", 1).alias("m")).count()
         found = dict(rows_of(per_month))
