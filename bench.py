@@ -27,6 +27,12 @@ def timed(action) -> float:
     return time.perf_counter() - start
 
 
+def shuffled_bytes(spark) -> int:
+    """Shuffle bytes written so far; a local session has the driver as its only executor."""
+    time.sleep(0.2)  # the counter follows the jobs by events
+    return spark.sparkContext._jsc.sc().statusStore().executorSummary("driver").totalShuffleWrite()
+
+
 def main() -> None:
     spark = local_session("medalstar-bench", CPUS, **{
         "spark.driver.memory": os.environ.get("BENCH_MEMORY", "16g"),
@@ -34,16 +40,20 @@ def main() -> None:
     })
     spark.sparkContext.setLogLevel("ERROR")
     seconds = {"build_warehouse": timed(lambda: warehouse(spark, SF_DIR).build())}
+    shuffled = {"build_warehouse": shuffled_bytes(spark)}
     for name in HEADLINE:
+        before = shuffled_bytes(spark)
         seconds[name] = min(
             timed(lambda: QUERIES[name](spark, SF_DIR).write.format("noop").mode("overwrite").save())
             for _ in range(RUNS)
         )
+        shuffled[name] = (shuffled_bytes(spark) - before) // RUNS
     print(json.dumps({
         "metric": "headline_queries_total",
         "value": round(sum(seconds.values()), 3),
         "unit": "sec",
         "queries": {name: round(value, 3) for name, value in seconds.items()},
+        "shuffle_mb": {name: round(value / 1e6, 2) for name, value in shuffled.items()},
         "sf": SF_DIR.rstrip("/").rsplit("sf", 1)[-1],
         "cpus": CPUS,
     }))

@@ -147,6 +147,7 @@ FACT_RENAMES = {
     "secondary_rune_tree": "perk_secondary_style",
 }
 
+# The published columns of the fact, in order.
 FACT_COLUMNS = [
     # keys
     "match_id", "puuid", "participant_id", "team_id", "date_key", "player_key", "champion_key", "queue_patch_key",

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from medalstar.operators import quality
 from medalstar.plans import gold, silver
 from medalstar.plans.suites import SUITES
-from medalstar.sources.tables import write_months
+from medalstar.sources.tables import scan, write_months
 
 FACT = "fct_participant_match"
 
@@ -58,7 +58,7 @@ class Warehouse:
                 write_months(df, self.path(name))
             else:
                 df.write.mode("overwrite").parquet(self.path(name))
-            self._stored[name] = self.spark.read.parquet(self.path(name))
+            self._stored[name] = scan(self.spark, self.path(name), df.schema)
         return self._stored[name]
 
     def build(self) -> dict[str, DataFrame]:

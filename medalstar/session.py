@@ -18,6 +18,9 @@ SETTINGS = {
     # A hot join key is worse than one more shuffle, so split it even where that adds one.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Where every partition of the smaller side is measured to be below this, hash it instead of
+    # sorting both sides: the wide participant rows then need no sort for their joins.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     # The JVM never compiles methods above 8000 bytes of bytecode. The wide projections here
     # generate such methods; beyond the limit Spark splits them instead, five times faster.
     "spark.sql.codegen.hugeMethodLimit": "8000",
