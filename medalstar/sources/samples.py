@@ -72,7 +72,9 @@ PARTICIPANT_VALUES = {
     "match_id": "concat('M_', CAST(o_orderkey AS STRING))",
     "platform": "CASE WHEN o_orderkey % 13 = 0 THEN 'OC1' ELSE 'VN2' END",
     "queue_id": _pick("o_orderkey % 6", ["420", "440", "450", "400", "430", "490"]),
-    "game_mode": "CASE WHEN o_orderkey % 6 = 2 THEN 'ARAM' ELSE 'CLASSIC' END",
+    # One (queue, version) pair gets a second mode.
+    "game_mode": "CASE WHEN o_orderkey % 6 = 2 THEN 'ARAM' WHEN o_orderkey % 36 = 3 AND month(o_orderdate) = 3 "
+                 "THEN 'EVENT' ELSE 'CLASSIC' END",
     "game_version": "concat('14.', CAST(month(o_orderdate) AS STRING), '.', CAST(o_orderkey % 3 AS STRING))",
     "game_duration": _DURATION,
     "game_creation": f"{_START} - 60000",
@@ -88,7 +90,9 @@ PARTICIPANT_VALUES = {
     "team_id": _TEAM,
     "side": "CASE WHEN l_linenumber % 2 = 0 THEN 'blue' ELSE 'red' END",
     "champion_id": "l_partkey % 160",
-    "champion_name": "concat('C', CAST(l_partkey % 160 AS STRING))",
+    # Champion 7 has been renamed.
+    "champion_name": "CASE WHEN l_partkey % 160 = 7 AND l_suppkey % 2 = 0 THEN 'Seven' "
+                     "ELSE concat('C', CAST(l_partkey % 160 AS STRING)) END",
     "team_position": _pick("l_linenumber % 6", ["'TOP'", "'JUNGLE'", "'MIDDLE'", "'BOTTOM'", "'UTILITY'", "''"]),
     "lane": _pick("l_linenumber % 3", ["'TOP'", "'MIDDLE'", "'NONE'"]),
     "win": "(l_linenumber + o_orderkey) % 2 = 0",
@@ -140,7 +144,9 @@ PARTICIPANT_VALUES = {
 }
 
 TEAM_VALUES = {
-    "match_id": "concat('M_', CAST(o_orderkey AS STRING))",
+    # Some teams belong to no match of the participants.
+    "match_id": "concat('M_', CAST(o_orderkey AS STRING), CASE WHEN o_orderkey % 17 = 0 AND team = 200 THEN 'x' "
+                "ELSE '' END)",
     "team_id": "team",
     "side": "CASE WHEN team = 100 THEN 'blue' ELSE 'red' END",
     "win": "(team / 100 + o_orderkey) % 2 = 1",
@@ -164,14 +170,18 @@ TEAM_VALUES = {
 
 LADDER_VALUES = {
     "platform": "CASE WHEN c_custkey % 2 = 0 THEN 'vn2' ELSE 'VN2' END",
-    "puuid": "CASE WHEN c_custkey % 101 = 100 THEN NULL ELSE concat('P_', CAST(c_custkey AS STRING)) END",
+    # Some ladder players appear in no match.
+    "puuid": "CASE WHEN c_custkey % 101 = 100 THEN NULL WHEN c_custkey % 7 = 0 THEN "
+             "concat('Q_', CAST(c_custkey AS STRING)) ELSE concat('P_', CAST(c_custkey AS STRING)) END",
     "tier": "CASE WHEN c_acctbal >= 8000 THEN 'CHALLENGER' WHEN c_acctbal >= 5000 THEN 'GRANDMASTER' "
             "WHEN c_acctbal >= 0 THEN 'MASTER' ELSE 'DIAMOND' END",
     "rank": "'I'",
     "league_points": "floor(c_acctbal) + snap",
     "wins": "CASE WHEN c_custkey % 10 = 0 THEN 0 WHEN c_custkey % 31 = 0 THEN NULL ELSE c_custkey % 200 END",
     "losses": "CASE WHEN c_custkey % 10 = 0 THEN 0 ELSE c_nationkey END",
-    "ingest_ts": "concat('2025-01-0', CAST(snap AS STRING), 'T10:00:00.123456')",
+    # The second snapshot is the older one for some, and as old as the first for others.
+    "ingest_ts": "concat('2025-01-0', CAST(CASE WHEN c_custkey % 3 = 0 THEN 3 - snap WHEN c_custkey % 11 = 0 THEN 1 "
+                 "ELSE snap END AS STRING), 'T10:00:00.123456')",
 }
 
 MATCH_ID_VALUES = {
@@ -196,12 +206,10 @@ SQL = {
         "FROM {lineitem} JOIN {orders} o ON l_orderkey = o_orderkey",
     "matches_teams":
         f"SELECT {_select(TEAM_VALUES, schemas.TEAMS)} "
-        "FROM (SELECT o_orderkey, o_orderdate, @team_ids@ AS team FROM {orders}) "
-        "WHERE NOT (o_orderkey % 17 = 0 AND team = 200)",
+        "FROM (SELECT o_orderkey, o_orderdate, @team_ids@ AS team FROM {orders})",
     "ladder":
         f"SELECT {_select(LADDER_VALUES, schemas.LADDER)} "
-        "FROM (SELECT c_custkey, c_acctbal, c_nationkey, @snapshots@ AS snap FROM {customer}) "
-        "WHERE c_custkey % 7 <> 0 AND NOT (snap = 2 AND c_custkey % 3 = 0)",
+        "FROM (SELECT c_custkey, c_acctbal, c_nationkey, @snapshots@ AS snap FROM {customer})",
     "match_ids":
         f"SELECT {_select(MATCH_ID_VALUES, schemas.MATCH_IDS)}, "
         "l_orderkey, l_linenumber, l_partkey, l_suppkey FROM {lineitem}",
