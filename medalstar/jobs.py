@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from medalstar import schemas
 from medalstar.plans.ingest import ingest_ladder, ingest_matches
 from medalstar.plans.warehouse import Warehouse
-from medalstar.session import configure
+from medalstar.session import configure, size_for
 from medalstar.sources.tables import scan
 
 BUILT_FROM = ["ladder", "matches_participants", "matches_teams"]
@@ -34,13 +34,14 @@ def arguments(argv: list[str]) -> argparse.Namespace:
     build = commands.add_parser("build")
     for command in (ingest, build):
         command.add_argument("--root", required=True, help="shared output folder")
+        command.add_argument("--shuffled-gb", type=int, default=0, help="expected size of the largest shuffle")
     return parser.parse_args(argv)
 
 
 def run(spark: SparkSession, argv: list[str]) -> int:
     """Run one command; the exit code of ``build`` tells whether every check passed."""
     args = arguments(argv)
-    configure(spark)
+    size_for(configure(spark), args.shuffled_gb * 1024**3)
     if args.command == "ingest":
         ingest_matches(spark, args.matches, args.root, args.stamp, args.one_per_file)
         tiers = dict(pair.split("=", 1) for pair in args.ladder)

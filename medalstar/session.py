@@ -34,6 +34,20 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def size_for(
+    spark: SparkSession, shuffled_bytes: int, per_partition: int = 192 * 1024 * 1024, most: int = 50_000
+) -> int:
+    """Set the number of shuffle partitions so that each holds about ``per_partition`` bytes.
+
+    Never below the session's current number; adaptive execution merges what turns out too small.
+    Above ``most`` partitions grow instead and spill, because a shuffle tracks tasks times partitions.
+    """
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = max(current, min(most, -(-shuffled_bytes // per_partition)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    return partitions
+
+
 def local_session(app_name: str = "medalstar", cores: str = "*", **overrides: str) -> SparkSession:
     """A session for tests and benches; on a cluster pass your own to ``configure``."""
     builder = (

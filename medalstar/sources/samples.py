@@ -301,7 +301,7 @@ def match_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, value): the JSON text of one match per order, with 1 to 10 participants."""
     k = F.col("o_orderkey")
     # A narrow row grows into a large document, so the rows are spread before that.
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = spark.sparkContext.defaultParallelism
     orders = inputs(spark, sf_dir, "orders")["orders"].select(k, "o_orderdate").repartition(tasks, k)
     players = F.sequence(F.lit(1).cast("bigint"), k % 10 + 1)
     start = F.unix_millis(F.col("o_orderdate").cast("timestamp"))

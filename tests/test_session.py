@@ -2,7 +2,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from medalstar.session import SETTINGS, configure, new_shared_folder, shared_dir
+from medalstar.session import SETTINGS, configure, new_shared_folder, shared_dir, size_for
 
 
 class Conf(dict):
@@ -50,3 +50,14 @@ def test_new_folders_differ():
 def test_configure_sets_every_setting(spark):
     configure(spark)
     assert all(spark.conf.get(key) == value for key, value in SETTINGS.items())
+
+
+def test_partitions_follow_the_size_of_the_shuffle(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_for(spark, 0) == int(before)
+        assert size_for(spark, 192 * 1024**3) == 1024
+        assert size_for(spark, 100 * 1024**4) == 50_000
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "50000"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
