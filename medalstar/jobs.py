@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from medalstar import schemas
 from medalstar.plans.ingest import ingest_ladder, ingest_matches
 from medalstar.plans.warehouse import Warehouse
-from medalstar.session import configure, size_for
+from medalstar.session import LAUNCH_SETTINGS, configure, size_for
 from medalstar.sources.tables import scan
 
 BUILT_FROM = ["ladder", "matches_participants", "matches_teams"]
@@ -55,5 +55,12 @@ def run(spark: SparkSession, argv: list[str]) -> int:
     return 1 if failed.count() else 0
 
 
+def session() -> SparkSession:
+    builder = SparkSession.builder.appName("medalstar")
+    for key, value in LAUNCH_SETTINGS.items():
+        builder = builder.config(key, value)
+    return builder.getOrCreate()
+
+
 if __name__ == "__main__":
-    sys.exit(run(SparkSession.builder.appName("medalstar").getOrCreate(), sys.argv[1:]))
+    sys.exit(run(session(), sys.argv[1:]))

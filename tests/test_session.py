@@ -2,7 +2,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from medalstar.session import SETTINGS, configure, new_shared_folder, shared_dir, size_for
+from medalstar.session import LAUNCH_SETTINGS, SETTINGS, configure, new_shared_folder, shared_dir, size_for
 
 
 class Conf(dict):
@@ -50,6 +50,7 @@ def test_new_folders_differ():
 def test_configure_sets_every_setting(spark):
     configure(spark)
     assert all(spark.conf.get(key) == value for key, value in SETTINGS.items())
+    assert all(spark.sparkContext.getConf().get(key) == value for key, value in LAUNCH_SETTINGS.items())
 
 
 def test_partitions_follow_the_size_of_the_shuffle(spark):

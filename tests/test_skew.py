@@ -78,6 +78,37 @@ def test_adaptive_execution_splits_a_hot_join_key(spark, hot, folder):
             spark.conf.unset(key)
 
 
+def test_a_hot_key_stays_visible_above_2000_partitions(spark, folder):
+    # Spark averages block sizes there; the launch settings keep the large ones exact.
+    settings = {
+        "spark.sql.shuffle.partitions": "2500",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1MB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "512KB",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        spark.range(20000).selectExpr("concat('k', id) as k", "id as v").write.parquet(f"{folder}/right")
+        k = F.when(F.col("id") % 3 == 0, "k7").otherwise(F.concat(F.lit("k"), (F.col("id") % 20000).cast("string")))
+        left = spark.range(0, 300000, 1, 8).select(k.alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("x"))
+        joined = left.join(spark.read.parquet(f"{folder}/right"), "k", "left").filter("v is null or length(x) > 0")
+        rows = joined.select("v", "x").collect()
+        assert len(rows) == 300000 and sum(r["v"] == 7 for r in rows) >= 100000
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    plan = physical_plan_of_last_query(spark)
+    assert "skew=true" in plan
+
+
+def physical_plan_of_last_query(spark) -> str:
+    runs = spark._jsparkSession.sharedState().statusStore().executionsList()
+    return runs.apply(runs.size() - 1).physicalPlanDescription()
+
+
 def test_distinct_and_orphans_of_a_hot_key(spark, hot):
     assert rows_of(shape.unpivot_distinct(hot, ["v", "v"], "x")) == sorted(((i,) for i in range(50)), key=repr)
     parent = hot.select("k").filter("k <> 'hot'").distinct()
