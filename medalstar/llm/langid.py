@@ -151,6 +151,7 @@ def predict(df: DataFrame, profiles: Profiles, text: str = "text") -> DataFrame:
     """``df`` plus ``lang_pred`` and ``score`` of every whole text."""
     value = df.sparkSession.sparkContext.broadcast(profiles)
     kept = df.drop("lang_pred", "score")
+    names = [*kept.columns, *["lang_pred", "score"]]
     schema = T.StructType([*kept.schema.fields, T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType())])
 
@@ -161,6 +162,6 @@ def predict(df: DataFrame, profiles: Profiles, text: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array([f[0] for f in found], pa.string()),
                  pa.array([f[1] for f in found], pa.float64())],
-                names=[*kept.columns, "lang_pred", "score"])
+                names=names)
 
     return map_arrow(kept, run, schema)

@@ -25,13 +25,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from medalstar.llm.common import ROW, WORD, staged, with_rows
+from medalstar.llm.common import ROW, WORD, broadcast_if_few, staged, with_rows
 
 EPOCHS = 3
 WEIGHTS = (5, 2, 1)  # of the sources by code point, repeating
 PER_BUCKET = 4096  # documents that are summed up in one go
 PER_CHUNK = 8192  # slots that are ranked in one go
 MOST_BLOCK = 1024  # words
+_SOURCE_BYTES = 512  # of a broadcast row of a source, generously
 SLOTS = 1 << 16  # below this many slots blocks get shorter
 # The fractional parts of the golden ratio and of 2^20 times it.
 _GOLDEN, _GOLDEN_HIGH = 0.6180339887498949, 0.9390062499151099
@@ -74,7 +75,8 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
 def _offsets(sizes: DataFrame, plan: DataFrame) -> DataFrame:
     """Per row with words the place of its first word in its source's shuffled words."""
     rows = sizes.filter("size > 0").join(
-        plan.select(F.col("source").alias("_source"), "number", "source_size", "rows", "target"),
+        broadcast_if_few(plan, _SOURCE_BYTES).select(
+            F.col("source").alias("_source"), "number", "source_size", "rows", "target"),
         F.col("source").eqNullSafe(F.col("_source"))).drop("_source", "source")
     # Buckets in the order of the hash: its leading bits, as many as the source's rows call for.
     buckets = F.greatest(F.lit(1.0), F.ceil(F.col("rows") / PER_BUCKET).cast("double"))
@@ -140,7 +142,7 @@ def mix(
     total = plan.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0]
     block = max(1, min(MOST_BLOCK, total // SLOTS))
     slots = schedule(df.sparkSession, plan, total, block).join(
-        plan.filter("source_size > 0").select("number", "source_size", F.round("target").cast("bigint").alias("goal")),
+        broadcast_if_few(plan, _SOURCE_BYTES).filter("source_size > 0").select("number", "source_size", F.round("target").cast("bigint").alias("goal")),
         "number")
     # A slot's words, counted through all epochs, are [nth * block, (nth + 1) * block) up to the goal. A
     # block may run over the end of the shuffle into the next epoch, so it is cut there.
@@ -168,7 +170,7 @@ def taken(df: DataFrame, key: str = "doc_id", **options) -> DataFrame:
     """(key, size, source_size, target, taken, _row): how many words the mix takes of every row."""
     parts, documents, plan = mix(df, key, **options)
     words = parts.groupBy(ROW).agg(F.sum("words").alias("taken"))
-    plan = plan.select(F.col("source").alias("_source"), "source_size", "target")
+    plan = broadcast_if_few(plan, _SOURCE_BYTES).select(F.col("source").alias("_source"), "source_size", "target")
     return documents.join(words, ROW, "left").join(
         plan, F.col("source").eqNullSafe(F.col("_source"))).select(
         F.col("key").alias(key), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"), ROW)

@@ -164,6 +164,7 @@ def score(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``df`` plus ``score`` (0 to 1, higher: label 1 likelier) of every whole text."""
     value = df.sparkSession.sparkContext.broadcast(model)
     kept = df.drop("score")
+    names = [*kept.columns, *["score"]]
     schema = T.StructType([*kept.schema.fields, T.StructField("score", T.DoubleType(), False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,6 +177,6 @@ def score(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
             else:
                 points = (np.array([compressors.features(t) for t in texts]) - m.centre) / m.scale
                 scores = 1 / (1 + np.exp(-np.clip(points @ m.weights[:-1] + m.weights[-1], -30, 30)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], names=[*kept.columns, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], names=names)
 
     return map_arrow(kept, run, schema)
