@@ -11,6 +11,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -107,7 +108,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, most_bytes: int = 8 <
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0), dtype=np.int64)
+        sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), dtype=np.int64)
         piece = np.cumsum(sizes) // most_bytes
         starts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
         for start, end in zip(starts, starts[1:]):
