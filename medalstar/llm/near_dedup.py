@@ -9,12 +9,13 @@ A document's set holds its distinct shingles. Two documents are linked if
    probability of their similarity, and the agreement is as concentrated as for independent hashes.
 2. Equal sets become one class, whose smallest row speaks for it.
 3. Banding. ``BANDS`` bands of ``ROWS`` coordinates make buckets. At a similarity of 0.8, two documents
-   share no bucket with a probability of (1 - 0.8^5)^40, about 1e-7.
-4. Verification on the full sets, in rounds. In every bucket some members lead; each is compared to all
-   others of the bucket that are not known to be in its component, and then is done there. Confirmed
-   links join components, and a bucket is done once all its members are in one. A large group of
-   near copies thus takes a few comparisons per member, and no link between components is missed:
-   buckets that stay apart go on, with four times as many leaders a round, until none is left.
+   share no bucket with a probability of (1 - 0.8^8)^60, about 2e-5; at 0.35, where texts with a
+   common passage lie, one with a probability of about 0.01.
+4. Verification on the full sets, in two steps. First one member of every bucket leads and is compared to
+   the others, which joins large groups of near copies at a comparison or a few per member. Then,
+   in buckets that still hold several components, every member outside the bucket's largest component is
+   compared to all members of other components. These comparisons happen in blocks of bounded size
+   inside the tasks, and only confirmed links leave them. So no link between components is missed.
 
 Nothing is capped. Null and empty texts, and texts without words, have an empty set and are linked
 with nothing. A text with fewer words than a shingle has its whole sequence as the one shingle. Texts
@@ -32,10 +33,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from medalstar.llm.bpe import gather
 from medalstar.llm.common import ROW, broadcast_if_few, map_arrow, mixed, shingle_sets, slices, staged, with_rows
 
-ROWS, BANDS = 5, 40
+ROWS, BANDS = 8, 60
 T = ROWS * BANDS
+PROBES, TARGETS = 256, 2048  # members of a bucket in a block
+PER_SHELF = 2000  # rows of blocks that a group takes at least
 _EMPTY = np.uint64(2**64 - 1)
 _SEEDS = mixed(np.arange(1, 2 * T + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _SIDE_BYTES = 64  # of a broadcast row of a few numbers, generously
@@ -142,44 +146,94 @@ def connected(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _led(members: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(pairs of each bucket's leader with its other members, leaders)."""
+    lead = members.groupBy("band").agg(F.min(F.struct("tie", "cid", "n")).alias("lead")).select(
+        "band", F.col("lead.cid").alias("l_cid"), F.col("lead.n").alias("l_n"))
+    lead = staged(lead, "leaders")
+    sizes = 100 * F.least("n", "l_n") >= percent * F.greatest("n", "l_n")
+    pairs = members.join(lead, "band").filter(sizes & (F.col("cid") != F.col("l_cid"))).select(
+        F.least("cid", "l_cid").alias("a"), F.greatest("cid", "l_cid").alias("b")).distinct()
+    return staged(pairs, "pairs"), lead
+
+
+def _apart(members: DataFrame, lead: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Members, less the leaders, of buckets that still hold several components; with each bucket's
+    largest component and sizes."""
+    rest = members.join(lead.select("band", F.col("l_cid").alias("cid")), ["band", "cid"], "left_anti").drop("tie")
+    if labels is None:
+        rest = rest.withColumn("comp", F.col("cid"))
+    else:
+        rest = rest.join(labels, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+    rest = staged(rest, "rest")
+    sizes = rest.groupBy("band", "comp").agg(F.count("*").alias("c")).groupBy("band").agg(
+        F.max(F.struct("c", "comp")).alias("most"), F.sum("c").alias("all"), F.count("*").alias("comps"))
+    sizes = staged(sizes.filter("comps > 1").select("band", F.col("most.comp").alias("most"), (
+        F.col("all") - F.col("most.c")).alias("others"), "all"), "apart")
+    return rest.join(sizes, "band")
+
+
+def _blocks(apart: DataFrame) -> DataFrame:
+    """Every member as a target and, outside the largest component, as a probe, in blocks of bounded size."""
+    spread = F.xxhash64("cid")
+    probes, targets = (F.ceil(F.col(c) / n).cast("bigint") for c, n in (("others", PROBES), ("all", TARGETS)))
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1))
+    asks = apart.filter(F.col("comp") != F.col("most")).withColumn("p", F.pmod(spread, probes)).withColumn("t", each(targets))
+    held = apart.withColumn("t", F.pmod(F.shiftright(spread, 20), targets)).withColumn("p", each(probes))
+    columns = ["band", "p", "t", "cid", "comp", "most"]
+    return asks.select(*columns, F.lit(True).alias("asks")).unionByName(held.select(*columns, F.lit(False).alias("asks")))
+
+
+def _confirmed_in_blocks(blocks: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (a, b) between members of different components of a bucket."""
+    rows = staged(blocks, "blocks")
+    # A task takes several blocks, so that there are not more groups than needed.
+    shelves = max(1, -(-rows.count() // PER_SHELF))
+    rows = rows.withColumn("shelf", F.pmod(F.xxhash64("band", "p", "t"), F.lit(shelves)))
+
+    def compare(group: pa.Table) -> pa.Table:
+        cids = group.column("cid").to_numpy()
+        known, first = np.unique(cids, return_index=True)
+        owner, shingle = shingle_sets(group.column("text").take(pa.array(first)).to_pylist(), width)
+        size = np.bincount(owner, minlength=len(known))
+        begin = np.cumsum(size) - size
+        number = np.unique(shingle, return_inverse=True)[1]
+        at, comp = np.searchsorted(known, cids), group.column("comp").to_numpy()
+        most, asks = group.column("most").to_numpy(), group.column("asks").to_numpy(zero_copy_only=False)
+        block = np.column_stack([group.column(c).to_numpy() for c in ("band", "p", "t")])
+        order = np.lexsort((~asks, *block.T[::-1]))
+        new = np.concatenate(([True], (np.diff(block[order], axis=0) != 0).any(axis=1)))
+        marked, found = np.zeros(len(shingle) + 1, dtype=np.int64), []
+        for own in np.split(order, np.flatnonzero(new)[1:]):
+            asking, held = own[asks[own]], own[~asks[own]]
+            if not len(asking) or not len(held):
+                continue
+            flat, sizes = gather(number, begin[at[held]], size[at[held]])
+            starts = np.cumsum(sizes) - sizes
+            for i in asking:
+                mine = number[begin[at[i]] : begin[at[i]] + size[at[i]]]
+                marked[mine] = 1
+                both = np.add.reduceat(marked[flat], starts)
+                marked[mine] = 0
+                # Two probes meet twice; once is enough.
+                wanted = (comp[held] != comp[i]) & ((comp[held] == most[i]) | (cids[held] > cids[i]))
+                linked = held[wanted & (100 * both >= percent * (sizes + len(mine) - both))]
+                found += [(min(cids[i], c), max(cids[i], c)) for c in cids[linked]]
+        a, b = zip(*found) if found else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return rows.join(texts, "cid").groupBy("shelf").applyInArrow(compare, "a bigint, b bigint")
+
+
 def _components(members: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame | None:
-    """(cid, comp) of all classes that have a link; None without any. members: (band, cid, n, comp, tie)."""
-    spark, leaders, tested, links, labels = members.sparkSession, 1, None, None, None
-    while True:
-        # Some leaders of each bucket: the smallest by a hash, found before the shuffle.
-        if leaders == 1:
-            lead = members.groupBy("band").agg(F.min(F.struct("tie", "cid", "n", "comp")).alias("lead"))
-            lead = lead.select("band", *[F.col(f"lead.{c}").alias(f"l_{c}") for c in ("tie", "cid", "n", "comp")])
-        else:
-            from pyspark.sql import Window
-
-            place = F.row_number().over(Window.partitionBy("band").orderBy("tie", "cid"))
-            lead = members.withColumn("place", place).filter(F.col("place") <= leaders).select(
-                "band", *[F.col(c).alias(f"l_{c}") for c in ("tie", "cid", "n", "comp")])
-        lead = staged(lead, "leaders")
-        later = (F.col("tie") > F.col("l_tie")) | ((F.col("tie") == F.col("l_tie")) & (F.col("cid") > F.col("l_cid")))
-        sizes = 100 * F.least("n", "l_n") >= percent * F.greatest("n", "l_n")
-        pairs = members.join(lead, "band").filter(later & sizes & (F.col("comp") != F.col("l_comp"))).select(
-            F.least("cid", "l_cid").alias("a"), F.greatest("cid", "l_cid").alias("b")).distinct()
-        pairs = staged(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        found = staged(_confirmed(pairs, texts, width, percent), "links")
-        links = found if links is None else links.unionByName(found)
-        if found.limit(1).count():
-            labels = connected(links)
-        done = lead.select("band", F.col("l_cid").alias("cid"))
-        rest = members.drop("comp").join(done, ["band", "cid"], "left_anti")
-        if labels is None:
-            rest = rest.withColumn("comp", F.col("cid"))
-        else:
-            rest = rest.join(labels, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
-        rest = staged(rest, "members")
-        apart = rest.groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter(
-            "low < high").select("band")
-        members = staged(rest.join(apart, "band", "left_semi").select("band", "cid", "n", "tie", "comp"), "members")
-        if not members.limit(1).count():
-            return labels
-        leaders *= 4
+    """(cid, comp) of all classes that have a link; None without any. members: (band, cid, n, tie)."""
+    pairs, lead = _led(members, percent)
+    links = staged(_confirmed(pairs, texts, width, percent), "links")
+    labels = connected(links) if links.limit(1).count() else None
+    more = staged(_confirmed_in_blocks(_blocks(_apart(members, lead, labels)), texts, width, percent), "links")
+    if not more.limit(1).count():
+        return labels
+    return connected(links.unionByName(more))
 
 
 def deduplicate(
@@ -197,7 +251,7 @@ def deduplicate(
     tie = F.xxhash64("band", "cid")
     banded = classes.select("cid", "n", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.count("*").alias("c")).filter("c > 1").select("band")
-    members = staged(banded.join(shared, "band").select("band", "cid", "n", tie.alias("tie"), F.col("cid").alias("comp")),
+    members = staged(banded.join(shared, "band").select("band", "cid", "n", tie.alias("tie")),
                      "members")
     wanted = members.select("cid").distinct().join(classes.select("cid", "first"), "cid").select(
         "cid", F.struct("first.file", "first.position").alias(ROW))
