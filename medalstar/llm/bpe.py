@@ -205,9 +205,13 @@ class Encoder:
             if i % 2:
                 out.append(self.specials[piece])
             elif piece:
+                # A word is a unit of itself, unless it is made of spaces.
                 words = self.pattern.findall(piece)
-                flat, starts, sizes = self.merge([w.encode() for w in words])
-                out.append(gather(flat, starts, sizes)[0].astype(np.int32).tobytes())
+                stored = self.known(words)
+                spaces = sorted({w for w, x in zip(words, stored) if x is None})
+                flat, starts, sizes = self.merge([w.encode() for w in spaces])
+                rest = {w: flat[a : a + n].astype(np.int32).tobytes() for w, a, n in zip(spaces, starts, sizes)}
+                out += [rest[w] if x is None else x for w, x in zip(words, stored)]
         return b"".join(out)
 
     def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
