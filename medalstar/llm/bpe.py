@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from medalstar.llm.common import map_arrow, slices
 
 SHORT = 48  # bytes of a word that is merged by scanning
-REMEMBERED = 600_000  # units whose ids a worker keeps before it starts anew
+REMEMBERED = 250_000  # units whose ids a worker keeps before it starts anew
 NONE = np.int32(2**31 - 1)  # rank of a pair that cannot be merged
 # Fixed value: the pattern that splits text into words before the merges.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -292,7 +292,7 @@ def encode_decode(df: DataFrame, vocabulary_path: str, key: str = "doc_id", text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = shared.encoder()
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 3 << 20):
             values, offsets = encoder.encode(batch.column("text"))
             ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))
             decoded = pa.array(encoder.decode(values, offsets), pa.string())

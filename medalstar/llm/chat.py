@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from medalstar.llm.bpe import Shared, load_vocabulary
-from medalstar.llm.common import map_arrow, staged
+from medalstar.llm.common import map_arrow, slices, staged
 
 BEGIN, END = "<|im_start|>", "<|im_end|>"
 # Strings that mark something in this or other templates.
@@ -154,7 +154,7 @@ def _tokenised(nodes: DataFrame, vocabulary_path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = shared.encoder()
-        for batch in batches:
+        for batch in slices(batches, "formatted", 3 << 20):
             values, offsets = encoder.encode(batch.column("formatted"))
             ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))
             yield pa.RecordBatch.from_arrays([*batch.columns, ids], names=[*batch.schema.names, "ids"])

@@ -218,6 +218,8 @@ def _confirmed_in_blocks(blocks: DataFrame, texts: DataFrame, width: int, percen
                 # Two probes meet twice; once is enough.
                 wanted = (comp[held] != comp[i]) & ((comp[held] == most[i]) | (cids[held] > cids[i]))
                 linked = held[wanted & (100 * both >= percent * (sizes + len(mine) - both))]
+                # One link to a component is as good as many.
+                linked = linked[np.unique(comp[linked], return_index=True)[1]]
                 found += [(min(cids[i], c), max(cids[i], c)) for c in cids[linked]]
         a, b = zip(*found) if found else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
@@ -248,7 +250,8 @@ def deduplicate(
         F.min(order).alias("first"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     classes = staged(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
 
-    tie = F.xxhash64("band", "cid")
+    # One order for all buckets, so that the same member leads in most buckets of a group.
+    tie = F.xxhash64("cid")
     banded = classes.select("cid", "n", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.count("*").alias("c")).filter("c > 1").select("band")
     members = staged(banded.join(shared, "band").select("band", "cid", "n", tie.alias("tie")),

@@ -145,7 +145,7 @@ def apply_edits(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = shared.encoder()
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 3 << 20):
             texts = batch.column("text").to_pylist()
             words = [pre_tokens(encoder, t) for t in texts]
             # One pass over the batch's distinct pre-tokens counts the leaves of all its documents.
