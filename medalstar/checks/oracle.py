@@ -454,8 +454,9 @@ STATEMENTS = {
         JOIN dim_player p ON f.player_key = p.player_key
         JOIN dim_champion c ON f.champion_key = c.champion_key""",
     "fk_orphans": """
-        SELECT l_orderkey, count(*) AS child_rows FROM lineitem
-        WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') GROUP BY l_orderkey""",
+        SELECT child_key AS l_orderkey, count(*) AS child_rows FROM (
+            SELECT CASE WHEN l_partkey % 50 = 0 THEN l_orderkey + 1000000000000 ELSE l_orderkey END AS child_key FROM lineitem)
+        WHERE child_key NOT IN (SELECT o_orderkey FROM orders) GROUP BY child_key""",
     # aggregation and set operations
     "distinct_dates": f"SELECT DISTINCT CAST(make_timestamp(game_start_timestamp * 1000) AS DATE) AS day {P}",
     "distinct_combo": f"SELECT DISTINCT queue_id, game_mode, game_version {P}",
@@ -465,8 +466,8 @@ STATEMENTS = {
     "participants_per_match": f"SELECT match_id, count(*) AS participants {P} GROUP BY match_id",
     "union_distinct": f"SELECT spell_id FROM ({BOTH_SPELLS}) WHERE spell_id IS NOT NULL",
     "unpivot_distinct": f"SELECT item_id FROM ({ALL_ITEMS}) WHERE item_id IS NOT NULL",
-    "union_all": f"""
-        SELECT puuid, tier, league_points, CAST(NULL AS VARCHAR) AS match_id FROM ladder WHERE tier IN {LADDER_LIST}
+    "union_all": """
+        SELECT puuid, tier, league_points, CAST(NULL AS VARCHAR) AS match_id FROM ladder
         UNION ALL SELECT puuid, NULL, NULL, match_id FROM match_ids""",
     # windows
     "latest_per_key": """

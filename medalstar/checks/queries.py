@@ -219,7 +219,7 @@ def match_ids(spark, sf_dir):
             lambda j: F.concat(F.lit("M_"), (k * 3 + j).cast("string")),
         ).alias("ids"),
     )
-    return bronze.match_ids(lists, "arrival", "vn2", "sea", 420, INGEST)
+    return bronze.match_ids(lists, "arrival", "vn2", "sea", 420, INGEST, per_player=20)
 
 
 # ---- projections and filters ----
@@ -293,8 +293,10 @@ def star_join(spark, sf_dir):
 
 @query
 def fk_orphans(spark, sf_dir):
-    finished = table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "F")
-    return orphans(table(spark, sf_dir, "lineitem"), "l_orderkey", finished, "o_orderkey")
+    # Some lines point to no order.
+    moved = F.when(F.col("l_partkey") % 50 == 0, F.col("l_orderkey") + 1_000_000_000_000).otherwise(F.col("l_orderkey"))
+    lines = table(spark, sf_dir, "lineitem").withColumn("l_orderkey", moved)
+    return orphans(lines, "l_orderkey", table(spark, sf_dir, "orders"), "o_orderkey")
 
 
 # ---- aggregation and set operations ----
@@ -335,6 +337,7 @@ def unpivot_distinct(spark, sf_dir):
 def union_all(spark, sf_dir):
     entries = samples.bronze(spark, sf_dir, "ladder").select("puuid", "tier", "league_points")
     tiers = [entries.filter(F.col("tier") == t) for t in lookups.LADDER_TIERS]
+    tiers.append(entries.filter(F.col("tier").isNull() | ~F.col("tier").isin(lookups.LADDER_TIERS)))
     return shape.union_all([*tiers, samples.bronze(spark, sf_dir, "match_ids").select("puuid", "match_id")])
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from medalstar import schemas
-from medalstar.plans.ingest import ingest_ladder, ingest_matches
+from medalstar.plans.ingest import ingest_ladder, ingest_matches, rejected_ladder
 from medalstar.plans.warehouse import Warehouse
 from medalstar.session import LAUNCH_SETTINGS, configure, size_for
 from medalstar.sources.tables import scan
@@ -29,9 +29,10 @@ def arguments(argv: list[str]) -> argparse.Namespace:
     ingest.add_argument("--ladder", action="append", required=True, metavar="TIER=FOLDER")
     ingest.add_argument("--platform", required=True)
     ingest.add_argument("--stamp", required=True, help="ingest time, ISO-8601")
-    ingest.add_argument("--top", type=int, default=500, help="ladder size")
+    ingest.add_argument("--top", required=True, type=lambda n: None if n == "all" else int(n), help="ladder size, or all")
     ingest.add_argument("--one-per-file", action="store_true", help="one match document per file")
     build = commands.add_parser("build")
+    build.add_argument("--dedupe", action="store_true", help="keep the newest row of repeated ingests")
     for command in (ingest, build):
         command.add_argument("--root", required=True, help="shared output folder")
         command.add_argument("--shuffled-gb", type=int, default=0, help="expected size of the largest shuffle")
@@ -39,16 +40,24 @@ def arguments(argv: list[str]) -> argparse.Namespace:
 
 
 def run(spark: SparkSession, argv: list[str]) -> int:
-    """Run one command; the exit code of ``build`` tells whether every check passed."""
+    """Run one command; the exit code of ``build`` tells whether every check passed, of ``ingest`` (2) whether
+    something was rejected."""
     args = arguments(argv)
     size_for(configure(spark), args.shuffled_gb * 1024**3)
     if args.command == "ingest":
-        ingest_matches(spark, args.matches, args.root, args.stamp, args.one_per_file)
+        matches = ingest_matches(spark, args.matches, args.root, args.stamp, args.one_per_file)
         tiers = dict(pair.split("=", 1) for pair in args.ladder)
         ingest_ladder(spark, tiers, args.root, args.platform, args.stamp, args.top)
-        return 0
+        rejected = 0
+        for name, df in (("matches", matches["rejected_matches"]), ("ladder", rejected_ladder(spark, args.root))):
+            for row in df.groupBy("reason").count().orderBy("reason").collect():
+                print(f"rejected from {name}: {row['count']} {row['reason']}")
+                rejected += row["count"]
+        return 2 if rejected else 0
     bronze = {n: scan(spark, f"{args.root}/bronze/{n}", schemas.BRONZE[n]) for n in BUILT_FROM}
-    report = Warehouse(spark, bronze, args.root).check().orderBy("passed", "table_name", "column_name")
+    grain = {"stg_matches_participants": ["match_id", "participant_id"], "stg_matches_teams": ["match_id", "team_id"]}
+    store = Warehouse(spark, bronze, args.root, grain if args.dedupe else None)
+    report = store.check().orderBy("passed", "table_name", "column_name")
     report.write.mode("overwrite").parquet(f"{args.root}/checks")
     failed = spark.read.parquet(f"{args.root}/checks").filter(~F.col("passed"))
     failed.show(100, truncate=False)

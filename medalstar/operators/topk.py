@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from medalstar.operators.keys import ascending
+from medalstar.operators.keys import ascending, dedupe_first
 
 
 def top_k(df: DataFrame, metric: str, k: int, ties: Sequence[str]) -> DataFrame:
@@ -16,9 +16,9 @@ def top_k(df: DataFrame, metric: str, k: int, ties: Sequence[str]) -> DataFrame:
 
 
 def first_n(df: DataFrame, key: str, arrival: Sequence[str], n: int) -> DataFrame:
-    """The first ``n`` distinct keys in order of arrival."""
-    seen = df.groupBy(key).agg(F.min(F.struct(*arrival)).alias("_arrival"))
-    return seen.orderBy("_arrival", key).limit(n).select(key)
+    """The first ``n`` distinct keys in order of arrival, NULLs last."""
+    seen = dedupe_first(df.select(key, *[c for c in arrival if c != key]), [key], arrival)
+    return seen.orderBy(*ascending([*arrival, key])).limit(n).select(key)
 
 
 def ladder_waterfall(

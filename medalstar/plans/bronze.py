@@ -113,24 +113,38 @@ def player_matches(documents: DataFrame, puuid: str) -> DataFrame:
     )
 
 
-def flatten_ladder(documents: DataFrame, platform: str, ingest_ts: str, k: int = 500) -> DataFrame:
-    """Top ``k`` players from parsed ladder documents (columns ``tier``, ``entries``)."""
-    entries = documents.select("tier", F.inline("entries"))
+def usable_entry(entry: Column) -> Column:
+    """A ladder entry needs a player and points."""
+    return entry["puuid"].isNotNull() & entry["leaguePoints"].isNotNull()
+
+
+def flatten_ladder(
+    documents: DataFrame, platform: str, ingest_ts: str, k: int | None, tiers: Sequence[str] = lookups.LADDER_TIERS
+) -> DataFrame:
+    """Top ``k`` players (all of them if None) from parsed ladder documents (columns ``tier``, ``entries``).
+
+    ``tiers`` names the tiers from the top; a document of another tier is an error, not a loss.
+    """
+    listed = F.col("tier").isin(list(tiers))
+    known = documents.withColumn("tier", F.when(listed, F.col("tier")).otherwise(
+        F.raise_error(F.concat(F.lit("ladder tier not listed: "), F.coalesce("tier", F.lit("none"))))))
+    entries = known.select("tier", F.inline(F.filter("entries", usable_entry)))
     rows = entries.select(
         F.lit(platform.upper()).alias("platform"), "puuid", "tier", "rank",
         F.col("leaguePoints").alias("league_points"), "wins", "losses", F.lit(ingest_ts).alias("ingest_ts"),
     )
-    return ladder_waterfall(rows, lookups.LADDER_TIERS, "tier", "league_points", k, ["tier", "puuid"])
+    return rows if k is None else ladder_waterfall(rows, tiers, "tier", "league_points", k, ["tier", "puuid"])
 
 
 def match_ids(
-    lists: DataFrame, arrival: str, platform: str, region: str, queue_id: int, ingest_ts: str, per_player: int = 20
+    lists: DataFrame, arrival: str, platform: str, region: str, queue_id: int, ingest_ts: str, per_player: int | None
 ) -> DataFrame:
     """First appearance of every match over the players' match lists (columns ``puuid``, ``ids``, ``arrival``).
 
-    Only the first ``per_player`` ids of a list count. A match stays with the earliest player.
+    Only the first ``per_player`` ids of a list count, all of them if None. A match stays with the earliest player.
     """
-    ids = lists.select(arrival, "puuid", F.posexplode(F.slice("ids", 1, per_player)).alias("_place", "match_id"))
+    counted = F.col("ids") if per_player is None else F.slice("ids", 1, per_player)
+    ids = lists.select(arrival, "puuid", F.posexplode(counted).alias("_place", "match_id"))
     return dedupe_first(ids, ["match_id"], [arrival, "puuid", "_place"]).select(
         "match_id", "puuid",
         F.lit(platform).alias("platform"), F.lit(region).alias("region"),

@@ -6,17 +6,18 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from medalstar import schemas
+from medalstar.operators.joins import broadcast_if_small
 from medalstar.operators.shape import union_all
 from medalstar.plans import bronze
 from medalstar.sources import documents
-from medalstar.sources.tables import scan
+from medalstar.sources.tables import replace_files, scan
 
 
 def _store(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
-    df.write.mode("overwrite").parquet(path)
-    return scan(spark, path, df.schema)
+    return replace_files(df, path)
 
 
 def ingest_matches(
@@ -35,23 +36,58 @@ def ingest_matches(
     staged = _store(spark, judged.select(
         "file_path", F.when(rejected, F.col("value")).alias("value"), "metadata", "info", "reason"
     ), f"{root}/staging/matches")
-    accepted = staged.filter(~rejected).select("metadata", "info")
+    accepted, repeated = _first_of_each_match(staged.filter(~rejected), root)
     return {
         "matches_participants": _store(
             spark, bronze.flatten_participants(accepted, ingest_ts), f"{root}/bronze/matches_participants"
         ),
         "matches_teams": _store(spark, bronze.flatten_teams(accepted, ingest_ts), f"{root}/bronze/matches_teams"),
-        "rejected_matches": staged.filter(rejected).select("file_path", "reason", "value"),
+        "rejected_matches": staged.filter(rejected).select("file_path", "reason", "value").unionByName(
+            repeated.select("file_path", F.lit("repeated").alias("reason"), F.lit(None).cast("string").alias("value"))),
     }
 
 
+def _first_of_each_match(staged: DataFrame, root: str) -> tuple[DataFrame, DataFrame]:
+    """(documents to flatten, places of documents that repeat a match); the first by file stays.
+
+    Only the places of repeated documents are joined back, so the wide documents are not shuffled.
+    """
+    place = F.struct(
+        "file_path", F.col("_metadata.file_path").alias("part"), F.col("_metadata.row_index").alias("row")).alias("place")
+    rows = staged.select(F.col("metadata.matchId").alias("match_id"), place)
+    first = rows.groupBy("match_id").agg(F.min("place").alias("first"), F.count("*").alias("n")).filter("n > 1")
+    repeated = rows.join(first, "match_id").filter(F.col("place") != F.col("first")).select("place.*")
+    repeated = replace_files(repeated, f"{root}/staging/repeated_matches")
+    located = staged.select(
+        "metadata", "info", F.col("_metadata.file_path").alias("part"), F.col("_metadata.row_index").alias("row"))
+    return located.join(broadcast_if_small(repeated.select("part", "row")), ["part", "row"], "left_anti").select(
+        "metadata", "info"), repeated
+
+
 def ingest_ladder(
-    spark: SparkSession, tier_paths: Mapping[str, str], root: str, platform: str, ingest_ts: str, k: int = 500
+    spark: SparkSession, tier_paths: Mapping[str, str], root: str, platform: str, ingest_ts: str, k: int | None
 ) -> DataFrame:
-    """The ladder from one folder of ladder JSON per tier."""
+    """The ladder from one folder of ladder JSON per tier, the tiers in the order of the mapping, highest first.
+
+    ``k`` players are kept, all of them if None. ``rejected_ladder`` tells what could not be used.
+    """
     landed = union_all([
-        documents.read_text_documents(spark, path, one_per_file=True).withColumn("tier", F.lit(tier))
+        documents.read_text_documents(spark, path, one_per_file=True).select(
+            "value", F.lit(tier).alias("tier"), F.col("_metadata.file_path").alias("file_path"))
         for tier, path in tier_paths.items()
     ])
-    parsed = documents.parse_documents(landed, "value", schemas.LADDER_DOCUMENT)
-    return _store(spark, bronze.flatten_ladder(parsed, platform, ingest_ts, k), f"{root}/bronze/ladder")
+    parsed = _store(spark, documents.parse_documents(landed, "value", schemas.LADDER_DOCUMENT), f"{root}/staging/ladder")
+    unreadable = F.col("entries").isNull()
+    entry = parsed.select("file_path", "tier", F.explode("entries").alias("entry"))
+    _store(spark, parsed.filter(unreadable).select("file_path", "tier", F.lit("unreadable").alias("reason"), "value").unionByName(
+        entry.filter(~bronze.usable_entry(F.col("entry"))).select(
+            "file_path", "tier", F.lit("entry without player or points").alias("reason"), F.to_json("entry").alias("value"))),
+        f"{root}/staging/rejected_ladder")
+    rows = bronze.flatten_ladder(parsed.filter(~unreadable), platform, ingest_ts, k, list(tier_paths))
+    return _store(spark, rows, f"{root}/bronze/ladder")
+
+
+def rejected_ladder(spark: SparkSession, root: str) -> DataFrame:
+    """(file_path, tier, reason, value) of the documents and entries the last ``ingest_ladder`` left out."""
+    return scan(spark, f"{root}/staging/rejected_ladder", StructType.fromDDL(
+        "file_path string, tier string, reason string, value string"))

@@ -46,8 +46,8 @@ def player_performance(fact: DataFrame) -> DataFrame:
 
 
 def _team_results(fact: DataFrame, *columns: str) -> DataFrame:
-    """The fact reduced to one row per team of a match."""
-    return fact.select("match_id", "team_id", "side", "win", *columns).distinct()
+    """The fact reduced to one row per team of a match; a value that some of its rows lack comes from the others."""
+    return fact.groupBy("match_id", "team_id").agg(*[F.max(c).alias(c) for c in ("side", "win", *columns)])
 
 
 def side_winrate(fact: DataFrame) -> DataFrame:

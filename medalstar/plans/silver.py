@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from medalstar import schemas
 from medalstar.functions.scalars import iso_timestamp, kda, per_minute, safe_ratio
-from medalstar.operators.keys import latest_per_key, top_n_per_key
+from medalstar.operators.keys import ascending, latest_per_key, top_n_per_key
 
 LADDER_COLUMNS = [
     "puuid", "platform", "tier", "league_points", "wins", "losses", "total_games", "winrate", "ingest_ts",
@@ -42,7 +42,7 @@ def stg_ladder(ladder: DataFrame) -> DataFrame:
 def _dedupe(df: DataFrame, keys: Sequence[str] | None) -> DataFrame:
     if not keys:
         return df
-    newest = [F.col("ingest_ts").desc_nulls_last(), F.xxhash64(*df.columns)]
+    newest = [F.col("ingest_ts").desc_nulls_last(), *ascending(df.columns)]
     return top_n_per_key(df, keys, newest)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from medalstar.operators import quality
 from medalstar.plans import gold, silver
 from medalstar.plans.suites import SUITES
-from medalstar.sources.tables import scan, write_months
+from medalstar.sources.tables import replace_files, write_months
 
 FACT = "fct_participant_match"
 
@@ -38,10 +38,15 @@ class Warehouse:
     Silver is stored because seven gold tables read it; a table is written on first use.
     """
 
-    def __init__(self, spark: SparkSession, bronze: Mapping[str, DataFrame], root: str):
+    def __init__(
+        self, spark: SparkSession, bronze: Mapping[str, DataFrame], root: str,
+        dedupe_keys: Mapping[str, Sequence[str]] | None = None,
+    ):
+        """``dedupe_keys``: the grain to keep the newest row of, for silver tables with repeated ingests."""
         self.spark = spark
         self.root = root.rstrip("/")
         self._bronze = bronze
+        self._dedupe = dict(dedupe_keys or {})
         self._stored: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
@@ -53,12 +58,9 @@ class Warehouse:
             return self._bronze[name]
         if name not in self._stored:
             inputs, model = MODELS[name]
-            df = model(*[self.table(i) for i in inputs])
-            if name == FACT:
-                write_months(df, self.path(name))
-            else:
-                df.write.mode("overwrite").parquet(self.path(name))
-            self._stored[name] = scan(self.spark, self.path(name), df.schema)
+            options = {"dedupe_keys": self._dedupe[name]} if name in self._dedupe else {}
+            df = model(*[self.table(i) for i in inputs], **options)
+            self._stored[name] = replace_files(df, self.path(name), *([write_months] if name == FACT else []))
         return self._stored[name]
 
     def build(self) -> dict[str, DataFrame]:

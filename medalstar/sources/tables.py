@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -39,6 +40,27 @@ def replace_table(df: DataFrame, table: str, bucket_by: Sequence[str] = (), buck
     writer.saveAsTable(table)
 
 
+def replace_files(df: DataFrame, path: str, write=lambda df, path: df.write.parquet(path)) -> DataFrame:
+    """Replace the Parquet folder at ``path`` once all of ``df`` is written: a failed write leaves the old rows.
+
+    The rows go to a folder beside it, which then takes its name.
+    """
+    spark, fresh, old = df.sparkSession, f"{path}.new-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    files = place(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    try:
+        write(df, fresh)
+    except Exception:
+        files.delete(place(fresh), True)
+        raise
+    if files.exists(place(path)):
+        files.rename(place(path), place(old))
+    if not files.rename(place(fresh), place(path)):
+        raise OSError(f"cannot move {fresh} to {path}; the old rows are in {old}")
+    files.delete(place(old), True)
+    return scan(spark, path, df.schema)
+
+
 def append_rows(df: DataFrame, table: str) -> None:
     """Append to an existing table, matching columns by name."""
     df.select(df.sparkSession.table(table).columns).write.insertInto(table)

@@ -149,7 +149,7 @@ def test_ladder_rows(spark):
     value = {"entries": [{"puuid": "p", "rank": "I", "leaguePoints": 5, "wins": 1, "losses": 2}]}
     docs = spark.createDataFrame([("MASTER", json.dumps(value))], "tier string, value string")
     parsed_docs = documents.parse_documents(docs, "value", schemas.LADDER_DOCUMENT)
-    found = bronze.flatten_ladder(parsed_docs, "vn2", STAMP)
+    found = bronze.flatten_ladder(parsed_docs, "vn2", STAMP, k=500)
     assert rows_of(found) == [("VN2", "p", "MASTER", "I", 5, 1, 2, STAMP)]
     assert found.columns == schemas.LADDER.names
 

@@ -2,9 +2,12 @@ import json
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from medalstar.jobs import run
-from medalstar.plans.ingest import ingest_ladder, ingest_matches
+from medalstar.plans.bronze import flatten_ladder
+from medalstar.plans.ingest import ingest_ladder, ingest_matches, rejected_ladder
+from medalstar.sources.tables import replace_files
 from medalstar.plans.warehouse import FACT, Warehouse
 from tests.support import rows_of
 from tests.test_documents import match, participant
@@ -39,7 +42,7 @@ def test_json_to_checked_star_schema(spark, landed):
     folder = landed
     bronze = ingest_matches(spark, f"{folder}/matches", folder, STAMP)
     tiers = {t: f"{folder}/{t}" for t in ("CHALLENGER", "MASTER")}
-    bronze["ladder"] = ingest_ladder(spark, tiers, folder, "vn2", STAMP)
+    bronze["ladder"] = ingest_ladder(spark, tiers, folder, "vn2", STAMP, 500)
     assert rows_of(bronze["rejected_matches"], "reason") == [("participant field missing",), ("unreadable",)]
     assert bronze["rejected_matches"].filter("value is null or file_path is null").count() == 0
     assert rows_of(bronze["matches_teams"], "match_id", "team_id", "ban_1") == [
@@ -62,7 +65,7 @@ def test_json_to_checked_star_schema(spark, landed):
 
 def test_stored_tables_answer_sql(spark, landed):
     bronze = ingest_matches(spark, f"{landed}/matches", landed, STAMP)
-    bronze["ladder"] = ingest_ladder(spark, {"MASTER": f"{landed}/MASTER"}, landed, "vn2", STAMP)
+    bronze["ladder"] = ingest_ladder(spark, {"MASTER": f"{landed}/MASTER"}, landed, "vn2", STAMP, None)
     Warehouse(spark, bronze, f"{landed}/lake").publish("test_silver", "test_gold")
     counts = spark.sql("SELECT match_id, count(*) AS n FROM test_gold.fct_participant_match GROUP BY match_id")
     assert rows_of(counts) == [("m1", 10), ("m2", 2)]
@@ -77,8 +80,62 @@ def test_stored_tables_answer_sql(spark, landed):
 
 def test_command_line(spark, landed):
     ingest = ["ingest", "--matches", f"{landed}/matches", "--ladder", f"CHALLENGER={landed}/CHALLENGER",
-              "--ladder", f"MASTER={landed}/MASTER", "--platform", "vn2", "--stamp", STAMP, "--root", f"{landed}/out"]
-    assert run(spark, ingest) == 0
+              "--ladder", f"MASTER={landed}/MASTER", "--platform", "vn2", "--stamp", STAMP, "--root", f"{landed}/out", "--top", "all"]
+    assert run(spark, ingest) == 2  # two match documents are bad
     assert run(spark, ["build", "--root", f"{landed}/out"]) == 0
     assert spark.read.parquet(f"{landed}/out/checks").count() == 47
     assert spark.read.parquet(f"{landed}/out/gold/{FACT}").count() == 12
+
+
+def test_tiers_come_from_the_caller_and_nothing_vanishes(spark, folder):
+    entry = {"rank": "I", "wins": 3, "losses": 1}
+    for tier, texts in {
+        "MASTER": [{"entries": [{"puuid": "a", "leaguePoints": 1, **entry}]}, '{"entries": [{"puu'],
+        "GOLD": [{"entries": [{"puuid": "b", "leaguePoints": 9, **entry}, {"leaguePoints": 5, **entry},
+                              {"puuid": "c", **entry}]}],
+    }.items():
+        os.mkdir(f"{folder}/{tier}")
+        for i, text in enumerate(texts):
+            land(f"{folder}/{tier}", f"{i}.json", text)
+    paths = {"MASTER": f"{folder}/MASTER", "GOLD": f"{folder}/GOLD"}
+    assert rows_of(ingest_ladder(spark, paths, folder, "vn2", STAMP, None), "puuid", "tier") == [("a", "MASTER"), ("b", "GOLD")]
+    assert rows_of(rejected_ladder(spark, folder), "tier", "reason") == [
+        ("GOLD", "entry without player or points"), ("GOLD", "entry without player or points"), ("MASTER", "unreadable")]
+    assert rows_of(ingest_ladder(spark, paths, folder, "vn2", STAMP, 1), "puuid") == [("a",)]
+
+
+def test_an_unlisted_tier_is_an_error(spark):
+    docs = spark.createDataFrame(
+        [("GOLD", [])], "tier string, entries array<struct<puuid string, rank string, leaguePoints bigint, wins bigint, losses bigint>>")
+    with pytest.raises(Exception, match="ladder tier not listed: GOLD"):
+        flatten_ladder(docs, "vn2", STAMP, None, ["MASTER"]).select("tier").collect()
+
+
+def test_a_match_landed_twice_counts_once(spark, folder):
+    os.mkdir(f"{folder}/matches")
+    teams = [{"teamId": 100, "win": True}, {"teamId": 200, "win": False}]
+    people = [participant("p1", participantId=1, teamId=100)]
+    for name in ("a.json", "b.json"):
+        land(f"{folder}/matches", name, match("m1", people, teams, platformId="VN2"))
+    bronze = ingest_matches(spark, f"{folder}/matches", folder, STAMP)
+    assert rows_of(bronze["rejected_matches"], "reason") == [("repeated",)]
+    assert (bronze["matches_participants"].count(), bronze["matches_teams"].count()) == (1, 2)
+
+
+def test_a_failed_rebuild_leaves_the_old_table(spark, folder):
+    path = f"{folder}/table"
+    replace_files(spark.range(5), path)
+    with pytest.raises(Exception, match="stop here"):
+        replace_files(spark.range(9, numPartitions=3).select(
+            F.when(F.col("id") == 8, F.raise_error(F.lit("stop here")).cast("bigint")).otherwise(F.col("id")).alias("id")), path)
+    assert spark.read.parquet(path).count() == 5
+    assert rows_of(replace_files(spark.range(2), path)) == [(0,), (1,)]
+    assert [f for f in os.listdir(folder) if f.startswith("table")] == ["table"]
+
+
+def test_dedupe_keys_reach_the_silver_tables(spark, landed):
+    bronze = ingest_matches(spark, f"{landed}/matches", landed, STAMP)
+    bronze["ladder"] = ingest_ladder(spark, {"MASTER": f"{landed}/MASTER"}, landed, "vn2", STAMP, None)
+    twice = bronze["matches_teams"].unionByName(bronze["matches_teams"])
+    store = Warehouse(spark, {**bronze, "matches_teams": twice}, f"{landed}/lake", {"stg_matches_teams": ["match_id", "team_id"]})
+    assert store.table("stg_matches_teams").count() == bronze["matches_teams"].count()

@@ -77,6 +77,11 @@ def test_top_k_breaks_equal_points_at_the_cut(spark):
     assert [r["p"] for r in topk.top_k(df, "lp", 2, ["p"]).collect()] == ["c", "a"]
 
 
+def test_first_n_puts_unknown_arrival_last(spark):
+    df = spark.createDataFrame([("m1", None), ("m2", 2025), ("m3", 2024)], "m string, at int")
+    assert [r["m"] for r in topk.first_n(df, "m", ["at"], 2).collect()] == ["m3", "m2"]
+
+
 def test_first_n_follows_arrival(spark):
     rows = [("m2", 1), ("m1", 2), ("m2", 3), ("m3", 4), ("m1", 0)]
     df = spark.createDataFrame(rows, "m string, at int")
