@@ -84,7 +84,7 @@ def _sketched(docs: DataFrame, width: int) -> DataFrame:
     key_type = docs.schema["key"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 4 << 20):
+        for batch in slices(batches, "text", 2 << 20):
             n = batch.num_rows
             owner, shingle = shingle_sets(batch.column("text").to_pylist(), width)
             sizes = np.bincount(owner, minlength=n)
@@ -109,7 +109,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) ->
     """The pairs (a, b) whose full sets are similar enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(slices(batches, "left", 4 << 20), "right", 4 << 20):
+        for batch in slices(slices(batches, "left", 2 << 20), "right", 2 << 20):
             n = batch.num_rows
             sets = [shingle_sets(batch.column(side).to_pylist(), width) for side in ("left", "right")]
             owner, shingle = (np.concatenate(x) for x in zip(*sets))
