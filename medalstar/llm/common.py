@@ -99,6 +99,15 @@ def bounded_sample(df: DataFrame, by: list[str], seed: int, rows: int) -> list:
     return df.withColumn("_spread", spread).orderBy("_spread", *by).limit(rows).drop("_spread").collect()
 
 
+def among_first(spread: Column, rows: int, total: Column) -> Column:
+    """Whether the hash ``spread`` is one of about ``2 * rows`` out of ``total``; always true of fewer rows.
+
+    Thins rows before their ``rows`` smallest hashes are looked for, so that what is moved for a
+    bounded sample is bounded too, however many tasks read the table.
+    """
+    return F.pmod(spread, F.lit(1 << 32)).cast("double") * total <= F.lit(2.0 * rows * (1 << 32))
+
+
 def empty_like(schema: str, spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], schema)
 

@@ -31,7 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from medalstar.llm.common import bounded_sample, held_out, map_arrow, slices
+from medalstar.llm.common import among_first, bounded_sample, held_out, map_arrow, slices, staged
+from medalstar.operators.shape import union_all
 
 WINDOW = 1024  # characters
 LEVEL = 3
@@ -43,8 +44,9 @@ FEATURES = ["difference", "worst", "densest", "density"]
 class Bounds:
     """What is learned from at most; rows are taken in the order of a hash, the same in every run."""
 
-    windows: int = 4000  # per label, for the dictionaries
-    texts: int = 8000  # for the curve
+    rows: int = 4000  # labelled rows per label, whose windows the dictionaries are trained on
+    windows: int = 4000  # of these rows, per label
+    texts: int = 8000  # labelled rows for the curve
     dictionary: int = 112_640  # bytes of a dictionary
 
 
@@ -130,12 +132,30 @@ def fit(
     documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
     bounds: Bounds = Bounds(),
 ) -> Model:
-    """Learn from labelled rows that are not held out."""
+    """Learn from labelled rows that are not held out.
+
+    The labels are sampled before they meet the texts: a bounded number of keys is broadcast, and only the
+    texts of these keys are kept, so nothing that grows with the corpus is shuffled.
+    """
     marked = labels.select(F.col(key).alias("_key"), F.col(label).cast("int").alias("_label"))
     marked = marked.filter(F.col("_label").isin(0, 1) & ~held_out(F.col("_key")))
-    known = documents.select(F.col(key).alias("_key"), F.coalesce(text, F.lit("")).alias("_text")).join(marked, "_key")
+    sizes = {r["_label"]: r["n"] for r in marked.groupBy("_label").agg(F.count("*").alias("n")).collect()}
+    share = sizes.get(1, 0) / sum(sizes.values()) if sizes else 0.5
     # Every fourth row is kept from the dictionaries, for the curve.
     for_curve = F.pmod(F.xxhash64(F.lit(11), "_key"), F.lit(4)) == 0
+
+    def sampled(rows: DataFrame, of: int, most: int, seed: int) -> DataFrame:
+        spread = F.xxhash64(F.lit(seed), "_key")
+        return rows.filter(among_first(spread, most, F.lit(float(of)))).orderBy(spread, "_key").limit(most)
+
+    picked = union_all([
+        sampled(marked.filter(for_curve), sum(sizes.values()) // 4, bounds.texts, 13),
+        *[sampled(marked.filter(~for_curve & (F.col("_label") == value)), n * 3 // 4, bounds.rows, 17)
+          for value, n in sizes.items()],
+    ])
+    known = staged(
+        documents.select(F.col(key).alias("_key"), F.coalesce(text, F.lit("")).alias("_text"))
+        .join(F.broadcast(picked), "_key"), "labelled")
     cut = known.filter(~for_curve).select("_label", F.explode(F.expr(
         f"transform(sequence(0, greatest(length(_text) - 1, 0) div {WINDOW}), i -> "
         f"substring(_text, i * {WINDOW} + 1, {WINDOW}))")).alias("_window"))
@@ -145,8 +165,6 @@ def fit(
         for value in (1, 0)
     ]
     good, bad = (train_dictionary(s, bounds.dictionary) for s in samples)
-    sizes = {r["_label"]: r["n"] for r in marked.groupBy("_label").agg(F.count("*").alias("n")).collect()}
-    share = sizes.get(1, 0) / sum(sizes.values()) if sizes else 0.5
     flat = Model(good, bad, np.zeros(4), np.ones(4), np.zeros(5), share)
     if not all(samples):
         return flat
