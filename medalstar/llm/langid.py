@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from medalstar.llm.common import held_out, map_arrow, slices
+from medalstar.llm.common import among_first, held_out, map_arrow, slices
 
 LENGTHS = (1, 2, 3)
 UNKNOWN = "und"
@@ -121,7 +121,10 @@ def fit(
         F.col(language).cast("string").alias("_lang"), F.col(text).alias("_text"),
         F.xxhash64(F.lit(5), F.col(key), F.col(text)).alias("_spread"), F.col(key).alias("_key"),
     ).filter(F.col("_lang").isNotNull() & F.col("_text").isNotNull() & ~held_out(F.col("_key")))
-    # A group limit before the shuffle: a task sends at most ``rows`` rows of a language.
+    # Thinned by hash, so that texts beyond the sample stay where they are; then the first of each language.
+    sizes = known.groupBy("_lang").agg(F.count("*").alias("_rows"))
+    known = known.join(F.broadcast(sizes), "_lang").filter(
+        among_first(F.col("_spread"), bounds.rows, F.col("_rows").cast("double")))
     first = Window.partitionBy("_lang").orderBy("_spread")
     known = known.withColumn("_place", F.row_number().over(first)).filter(F.col("_place") <= bounds.rows)
 
