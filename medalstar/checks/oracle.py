@@ -389,6 +389,14 @@ STATEMENTS = {
     "lookup_values": "SELECT CAST(r.spell_id AS BIGINT) AS spell_id, r.spell_key, r.spell_name, count(*) AS uses FROM stg_matches_participants p "
                      "JOIN spell_reference r ON p.summoner1_id = r.spell_id GROUP BY ALL",
     "json_scan": "SELECT event_id, CAST(regexp_extract(props, '\"k\": *(-?[0-9]+)', 1) AS BIGINT) AS k FROM events",
+    "insert_from_files": "SELECT * FROM orders",
+    "append_rows": "SELECT * FROM orders",
+    "replace_table": "SELECT * FROM customer",
+    "load_status": " UNION ALL ".join(
+        f"SELECT '{n}' AS table_name, count(*) AS row_count, FALSE AS failed FROM {n}"
+        for n in ("orders", "customer", "lineitem")
+    ) + " UNION ALL SELECT 'absent', NULL, TRUE",
+    "select_present": "SELECT c_name, c_custkey FROM customer",
     # JSON documents
     "flatten_participants": "SELECT * FROM json_participants",
     "flatten_teams": "SELECT * FROM json_teams",
@@ -415,6 +423,14 @@ STATEMENTS = {
         SELECT p_partkey AS id, p_name AS name FROM part
         UNION SELECT p_partkey + 1000000, upper(p_name) FROM part WHERE p_partkey % 3 <> 1 AND p_partkey % 5 <> 0""",
     "flatten_ladder": waterfall_sql("ladder_entries", 500, "tier, puuid", "*"),
+    # One entry of a document lacks its points where k % 10 is 2.
+    "reject_ladder": """
+        SELECT c_custkey AS doc_id,
+               CASE WHEN floor(c_acctbal) >= 9000 THEN 'CHALLENGER' WHEN floor(c_acctbal) >= 7000 THEN 'GRANDMASTER'
+                    ELSE 'MASTER' END AS tier,
+               CASE c_custkey % 10 WHEN 0 THEN 'unreadable' ELSE 'entry without player or points' END AS reason
+        FROM (SELECT *, unnest(CASE c_custkey % 10 WHEN 1 THEN [1, 2] ELSE [1] END) AS n FROM customer)
+        WHERE c_custkey % 10 < 3""",
     "match_ids": f"""
         SELECT match_id, puuid, 'vn2' AS platform, 'sea' AS region, CAST(420 AS BIGINT) AS queue_id,
                '{INGEST}' AS ingest_ts
@@ -463,6 +479,9 @@ STATEMENTS = {
     "dedupe_first": f"""
         SELECT {MATCH_ID_COLUMNS} FROM match_ids
         QUALIFY row_number() OVER (PARTITION BY match_id ORDER BY {ARRIVAL}) = 1""",
+    "dedupe_participants": f"""
+        SELECT * {P} QUALIFY row_number() OVER (
+            PARTITION BY match_id, participant_id ORDER BY ingest_ts DESC, {', '.join(schemas.PARTICIPANTS.names)}) = 1""",
     "participants_per_match": f"SELECT match_id, count(*) AS participants {P} GROUP BY match_id",
     "union_distinct": f"SELECT spell_id FROM ({BOTH_SPELLS}) WHERE spell_id IS NOT NULL",
     "unpivot_distinct": f"SELECT item_id FROM ({ALL_ITEMS}) WHERE item_id IS NOT NULL",

@@ -7,6 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from medalstar import schemas
 from medalstar.functions import lookups
@@ -126,8 +127,62 @@ def lookup_values(spark, sf_dir):
 
 @query
 def json_scan(spark, sf_dir):
-    props = F.from_json("props", "k bigint")
-    return table(spark, sf_dir, "events").select("event_id", props["k"].alias("k"))
+    """The events, landed as one JSON document per line and read again."""
+    path = new_shared_folder(spark, "landed")
+    table(spark, sf_dir, "events").select(F.to_json(F.struct("event_id", "props"))).write.text(path)
+    landed = documents.read_text_documents(spark, path)
+    event = landed.select(F.inline(F.array(F.from_json("value", "event_id bigint, props string"))))
+    return event.select("event_id", F.from_json("props", "k bigint")["k"].alias("k"))
+
+
+def new_database(spark: SparkSession) -> str:
+    """An empty database below the shared folder."""
+    path = new_shared_folder(spark, "database")
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{path}'")
+    return name
+
+
+@query
+def insert_from_files(spark, sf_dir):
+    """Raw files outside the warehouse, inserted into an empty table with declared types."""
+    orders, raw, name = table(spark, sf_dir, "orders"), new_shared_folder(spark, "raw"), f"{new_database(spark)}.orders"
+    orders.write.parquet(raw)
+    tables.create_table(spark, name, orders.schema)
+    tables.insert_from_files(spark, raw, orders.schema, name)
+    return spark.table(name)
+
+
+@query
+def append_rows(spark, sf_dir):
+    """A table of some orders, and the others appended with their columns in another order."""
+    orders, name = table(spark, sf_dir, "orders"), f"{new_database(spark)}.orders"
+    first = F.col("o_orderstatus").eqNullSafe("F")
+    tables.replace_table(orders.filter(first), name)
+    tables.append_rows(orders.filter(~first).select(*reversed(orders.columns)), name)
+    return spark.table(name)
+
+
+@query
+def replace_table(spark, sf_dir):
+    """A stored table replaced by rows of another shape."""
+    path = f"{new_shared_folder(spark, 'replaced')}/table"
+    tables.replace_files(table(spark, sf_dir, "orders"), path)
+    return tables.replace_files(table(spark, sf_dir, "customer"), path)
+
+
+@query
+def load_status(spark, sf_dir):
+    """Tables loaded one by one, of which one is not there."""
+    names = ["orders", "absent", "customer", "lineitem"]
+    schemas_of = {n: T.StructType.fromDDL(samples.INPUT_SCHEMAS.get(n, "id bigint")) for n in names}
+    status = tables.load_tables(spark, {n: f"{sf_dir}/{n}.parquet" for n in names}, schemas_of, new_database(spark))
+    return status.select("table_name", "row_count", F.col("error").isNotNull().alias("failed"))
+
+
+@query
+def select_present(spark, sf_dir):
+    return shape.select_present(table(spark, sf_dir, "customer"), ["c_name", "c_phone", "c_custkey"])
 
 
 # ---- JSON documents ----
@@ -208,6 +263,13 @@ def flatten_ladder(spark, sf_dir):
     return bronze.flatten_ladder(docs, "vn2", INGEST, k=500)
 
 
+@query
+def reject_ladder(spark, sf_dir):
+    damaged = samples.damaged_ladder_documents(spark, sf_dir)
+    parsed = documents.parse_documents(damaged, "value", schemas.LADDER_DOCUMENT)
+    return bronze.rejected_entries(parsed, ["doc_id", "tier"]).select("doc_id", "tier", "reason")
+
+
 @query
 def match_ids(spark, sf_dir):
     k = F.col("c_custkey")
@@ -318,6 +380,13 @@ def dedupe_first(spark, sf_dir):
     return keys.dedupe_first(ids, ["match_id"], samples.ARRIVAL).select(*schemas.MATCH_IDS.names)
 
 
+@query
+def dedupe_participants(spark, sf_dir):
+    """The participants of an ingest that ran twice, the newest row of each kept."""
+    once = samples.bronze(spark, sf_dir, "matches_participants")
+    return silver.stg_matches_participants(once.unionByName(once), ID)
+
+
 @query
 def participants_per_match(spark, sf_dir):
     return marts.participants_per_match(participants(spark, sf_dir))

@@ -3,15 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from medalstar.session import shared_dir
+from medalstar.session import new_shared_folder, remove_folder
 
-# monotonically_increasing_id() keeps the row position inside a partition in its low 33 bits.
-_POSITION_BITS = (1 << 33) - 1
+_FILE_NUMBER = r"^part-(\d+)"  # how Spark names the file of a partition
 
 
 def top_n_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], n: int = 1) -> DataFrame:
@@ -55,19 +53,26 @@ def dedupe_first(df: DataFrame, keys: Sequence[str], arrival: Sequence[str]) ->
 def dense_key(df: DataFrame, name: str, order_by: Sequence[str]) -> DataFrame:
     """Add a bigint ``name`` numbering the rows 1..N in the order of ``order_by`` (NULLs last).
 
-    ``order_by`` has to identify a row, as the grain of a dimension does. One range shuffle sorts
-    the rows; the sorted partitions are checkpointed, which fixes them against recomputation after
-    a lost executor; a key is then the row's position plus the size of the partitions before it.
-    Only the partition sizes reach the driver.
+    ``order_by`` has to identify a row, as the grain of a dimension does. The rows are stored once,
+    so that the range shuffle samples a stored table and ``df`` is computed once; the sorted
+    partitions are stored in turn, which fixes them against recomputation after a lost executor. A key
+    is then the row's position in its file plus the rows of the files before it. Nothing reaches the
+    driver. The first folder is removed here, the second by ``session.scratch`` around the final write.
     """
-    shared_dir(df.sparkSession)
-    order = ascending(order_by)
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).checkpoint()
-    sizes = {
-        row["part"]: row["rows"]
-        for row in ranged.groupBy(F.spark_partition_id().alias("part")).agg(F.count("*").alias("rows")).collect()
-    }
-    counts = [sizes.get(part, 0) for part in range(max(sizes, default=0) + 1)]
-    before = F.array(*[F.lit(total).cast("bigint") for total in accumulate([0] + counts[:-1])])
-    position = F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION_BITS))
-    return ranged.select((F.get(before, F.spark_partition_id()) + position + 1).alias(name), "*")
+    spark, order = df.sparkSession, ascending(order_by)
+    stored, ranged = new_shared_folder(spark, "unsorted"), new_shared_folder(spark, "sorted")
+    df.write.parquet(stored)
+    rows = spark.read.schema(df.schema).parquet(stored)
+    rows.repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(ranged)
+    remove_folder(spark, stored)
+    placed = spark.read.schema(df.schema).parquet(ranged).select(
+        "*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_position")
+    )
+    # One row per file, so never more than there are shuffle partitions. Files are numbered in range order.
+    number = F.regexp_extract("_file", _FILE_NUMBER, 1).cast("bigint")
+    earlier = Window.orderBy(number, "_file").rowsBetween(Window.unboundedPreceding, -1)
+    before = placed.groupBy("_file").agg(F.count("*").alias("_rows")).select(
+        "_file", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before")
+    )
+    key = (F.col("_before") + F.col("_position") + 1).alias(name)
+    return placed.join(F.broadcast(before), "_file").select(key, *df.columns)

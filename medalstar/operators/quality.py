@@ -9,8 +9,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medalstar.operators.joins import orphans
-
 
 @dataclass(frozen=True)
 class Checks:
@@ -48,27 +46,54 @@ def report(tables: Mapping[str, DataFrame], suites: Mapping[str, Checks]) -> Dat
     """One row per check: table_name, column_name, test_name, failures, passed.
 
     NULL checks and broken references count rows; the other two count offending values.
+
+    Every table is scanned once. A row gives one (check, value) per check it matters to, a parent's
+    row one for each reference to it; one aggregate by (check, value) then tells how often a value
+    occurs and whether a parent has it, so references need no join. A hot value collapses before the
+    shuffle. Values are compared as text, which suits whole numbers, text and dates.
     """
-    legs: list[DataFrame] = []
+    checks: list[tuple[str, str, str]] = []
+    found: dict[str, list[Column]] = {}
 
-    def add(found: DataFrame, table: str, test: str) -> None:
-        legs.append(found.select(
-            F.lit(table).alias("table_name"), "column_name", F.lit(test).alias("test_name"), "failures"
-        ))
+    def look(table: str, check: int, matters: Column, value: Column, parent: bool = False) -> None:
+        found.setdefault(table, []).append(F.when(matters, F.struct(
+            F.lit(check).alias("check"), value.cast("string").alias("value"),
+            F.lit(0 if parent else 1).cast("bigint").alias("rows"), F.lit(parent).alias("parent"))))
 
-    def total(found: DataFrame, column: str, failures: Column) -> DataFrame:
-        return found.agg(failures.alias("failures")).select(F.lit(column).alias("column_name"), "failures")
+    def check(table: str, column: str, test: str) -> int:
+        checks.append((table, column, test))
+        return len(checks) - 1
 
     for name, suite in suites.items():
-        df = tables[name]
-        if suite.not_null:
-            add(null_counts(df, suite.not_null), name, "not_null")
-        for column in suite.unique:
-            add(total(duplicated(df, [column]), column, F.count("*")), name, "unique")
-        for column, values in (suite.accepted or {}).items():
-            add(total(unaccepted(df, column, values), column, F.count("*")), name, "accepted_values")
-        for column, (parent, key) in (suite.relationships or {}).items():
-            broken = orphans(df, column, tables[parent], key)
-            add(total(broken, column, F.coalesce(F.sum("child_rows"), F.lit(0))), name, "relationships")
-
-    return reduce(DataFrame.unionByName, legs).withColumn("passed", F.col("failures") == 0)
+        for c in suite.not_null:
+            look(name, check(name, c, "not_null"), F.col(c).isNull(), F.lit(None))
+        for c in suite.unique:
+            look(name, check(name, c, "unique"), F.col(c).isNotNull(), F.col(c))
+        for c, values in (suite.accepted or {}).items():
+            look(name, check(name, c, "accepted_values"), ~F.col(c).isin(list(values)), F.col(c))
+        for c, (parent, key) in (suite.relationships or {}).items():
+            number = check(name, c, "relationships")
+            look(name, number, F.col(c).isNotNull(), F.col(c))
+            look(parent, number, F.col(key).isNotNull(), F.col(key), parent=True)
+
+    values = reduce(DataFrame.unionByName, [
+        tables[name].select(F.inline(F.array(*looks))).filter(F.col("check").isNotNull()) for name, looks in found.items()
+    ])
+    counted = values.groupBy("check", "value").agg(F.sum("rows").alias("rows"), F.max("parent").alias("parent"))
+    spark = counted.sparkSession
+    listed = spark.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("check"), F.lit(table).alias("table_name"), F.lit(column).alias("column_name"),
+                 F.lit(test).alias("test_name")) for i, (table, column, test) in enumerate(checks)])))
+    test = F.col("test_name")
+    failures = (
+        F.when(test == "not_null", F.col("rows"))
+        .when(test == "unique", (F.col("rows") > 1).cast("bigint"))
+        .when(test == "accepted_values", F.lit(1).cast("bigint"))
+        .when(~F.col("parent"), F.col("rows"))
+    )
+    # The list of checks is broadcast: as many rows as are declared.
+    totals = counted.join(F.broadcast(listed.select("check", "test_name")), "check").groupBy("check").agg(
+        F.sum(failures).alias("failures"))
+    return listed.join(F.broadcast(totals), "check", "left").select(
+        "table_name", "column_name", "test_name", F.coalesce("failures", F.lit(0).cast("bigint")).alias("failures")
+    ).withColumn("passed", F.col("failures") == 0)

@@ -118,6 +118,15 @@ def usable_entry(entry: Column) -> Column:
     return entry["puuid"].isNotNull() & entry["leaguePoints"].isNotNull()
 
 
+def rejected_entries(documents: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """``keep``, reason and value of parsed ladder documents that are unreadable and of entries that lack a key."""
+    entry = documents.select(*keep, F.explode("entries").alias("entry"))
+    lacking = entry.filter(~usable_entry(F.col("entry"))).select(
+        *keep, F.lit("entry without player or points").alias("reason"), F.to_json("entry").alias("value"))
+    unreadable = documents.filter(F.col("entries").isNull())
+    return unreadable.select(*keep, F.lit("unreadable").alias("reason"), "value").unionByName(lacking)
+
+
 def flatten_ladder(
     documents: DataFrame, platform: str, ingest_ts: str, k: int | None, tiers: Sequence[str] = lookups.LADDER_TIERS
 ) -> DataFrame:

@@ -77,13 +77,9 @@ def ingest_ladder(
         for tier, path in tier_paths.items()
     ])
     parsed = _store(spark, documents.parse_documents(landed, "value", schemas.LADDER_DOCUMENT), f"{root}/staging/ladder")
-    unreadable = F.col("entries").isNull()
-    entry = parsed.select("file_path", "tier", F.explode("entries").alias("entry"))
-    _store(spark, parsed.filter(unreadable).select("file_path", "tier", F.lit("unreadable").alias("reason"), "value").unionByName(
-        entry.filter(~bronze.usable_entry(F.col("entry"))).select(
-            "file_path", "tier", F.lit("entry without player or points").alias("reason"), F.to_json("entry").alias("value"))),
-        f"{root}/staging/rejected_ladder")
-    rows = bronze.flatten_ladder(parsed.filter(~unreadable), platform, ingest_ts, k, list(tier_paths))
+    _store(spark, bronze.rejected_entries(parsed, ["file_path", "tier"]), f"{root}/staging/rejected_ladder")
+    readable = parsed.filter(F.col("entries").isNotNull())
+    rows = bronze.flatten_ladder(readable, platform, ingest_ts, k, list(tier_paths))
     return _store(spark, rows, f"{root}/bronze/ladder")
 
 

@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from medalstar.operators import quality
 from medalstar.plans import gold, silver
 from medalstar.plans.suites import SUITES
+from medalstar.session import scratch
 from medalstar.sources.tables import replace_files, write_months
 
 FACT = "fct_participant_match"
@@ -59,15 +61,19 @@ class Warehouse:
         if name not in self._stored:
             inputs, model = MODELS[name]
             options = {"dedupe_keys": self._dedupe[name]} if name in self._dedupe else {}
-            df = model(*[self.table(i) for i in inputs], **options)
-            self._stored[name] = replace_files(df, self.path(name), *([write_months] if name == FACT else []))
+            read = [self.table(i) for i in inputs]
+            with scratch(self.spark):
+                df = model(*read, **options)
+                self._stored[name] = replace_files(df, self.path(name), *([write_months] if name == FACT else []))
         return self._stored[name]
 
     def build(self) -> dict[str, DataFrame]:
         """All ten tables, layer by layer; the tables of a layer are independent jobs run side by side."""
         with ThreadPoolExecutor(max_workers=6) as pool:
             for prefix in ("stg_", "dim_", "fct_"):
-                list(pool.map(self.table, [name for name in MODELS if name.startswith(prefix)]))
+                # The threads keep the caller's job group and local properties.
+                build = inheritable_thread_target(self.spark)(self.table)
+                list(pool.map(build, [name for name in MODELS if name.startswith(prefix)]))
         return dict(self._stored)
 
     def publish(self, silver_db: str = "silver", gold_db: str = "gold") -> None:

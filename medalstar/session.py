@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -88,4 +91,33 @@ def shared_dir(spark: SparkSession) -> str:
 
 def new_shared_folder(spark: SparkSession, label: str) -> str:
     """A fresh path (not yet created) below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    made = _scratch.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+_scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Folders that ``new_shared_folder`` gives out in this thread inside the block are removed at its end.
+
+    Whatever was read from them has to be written elsewhere by then.
+    """
+    made: list[str] = []
+    before = _scratch.set(made)
+    try:
+        yield
+    finally:
+        _scratch.reset(before)
+        for path in made:
+            remove_folder(spark, path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this package made, wherever Spark can reach it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)

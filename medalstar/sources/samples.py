@@ -340,7 +340,7 @@ def damaged_match_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ladder_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(tier, value): ladder documents of two entries each, one per customer."""
+    """(doc_id, tier, value): ladder documents of two entries each, one per customer."""
     customer = inputs(spark, sf_dir, "customer")["customer"]
     k, points = F.col("c_custkey"), F.floor("c_acctbal")
     entry = [
@@ -351,7 +351,20 @@ def ladder_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         for n in (1, 2)
     ]
     tier = F.when(points >= 9000, "CHALLENGER").when(points >= 7000, "GRANDMASTER").otherwise("MASTER")
-    return customer.select(tier.alias("tier"), F.to_json(F.struct(F.array(*entry).alias("entries"))).alias("value"))
+    text = F.to_json(F.struct(F.array(*entry).alias("entries")))
+    return customer.select(k.alias("doc_id"), tier.alias("tier"), text.alias("value"))
+
+
+def damaged_ladder_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ladder documents with some cut short and some entries without player or points."""
+    text, k = F.col("value"), F.col("doc_id")
+    damaged = (
+        F.when(k % 10 == 0, F.substring(text, 1, 40))
+        .when(k % 10 == 1, F.replace(text, F.lit('"puuid"'), F.lit('"id"')))
+        .when(k % 10 == 2, F.regexp_replace(text, r'^(.*)"leaguePoints"', '$1"points"'))
+        .otherwise(text)
+    )
+    return ladder_documents(spark, sf_dir).withColumn("value", damaged)
 
 
 def lookup_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from medalstar.operators import joins, quality
+from medalstar.plans.suites import SUITES
 from tests.support import physical_plan, rows_of
 
 
@@ -87,6 +88,49 @@ def test_report(spark, tables):
     ], key=repr)
 
 
+def test_the_report_scans_every_table_once(spark, folder, tables):
+    stored = {}
+    for name, df in tables.items():
+        df.write.parquet(f"{folder}/{name}")
+        stored[name] = spark.read.parquet(f"{folder}/{name}")
+    suites = {
+        "child": quality.Checks(not_null=["k"], unique=["k"], accepted={"tier": ["ok"]}, relationships={"fk": ("parent", "pk")}),
+        "parent": quality.Checks(not_null=["pk"], unique=["pk"]),
+    }
+    found = quality.report(stored, suites)
+    assert physical_plan(found).count("FileScan") == 2
+    assert {(r["column_name"], r["test_name"]): r["failures"] for r in found.collect()}[("fk", "relationships")] == 2
+
+
+def test_the_declared_checks():
+    """The declared checks, by hand."""
+    not_null = {
+        "stg_ladder": "puuid platform tier league_points ingest_ts",
+        "stg_matches_participants": "match_id participant_id puuid champion_id win ingest_ts",
+        "stg_matches_teams": "match_id team_id win",
+        "dim_date": "date_key calendar_date",
+        "dim_player": "player_key puuid platform",
+        "dim_champion": "champion_key champion_id champion_name",
+        "dim_spell": "spell_key spell_id",
+        "dim_item": "item_key item_id",
+        "dim_queue_patch": "queue_patch_key queue_id game_version",
+        "fct_participant_match": "match_id puuid date_key champion_key win",
+    }
+    unique = {
+        "stg_ladder": "puuid", "dim_date": "date_key", "dim_player": "player_key puuid", "dim_champion": "champion_key",
+        "dim_spell": "spell_key", "dim_item": "item_key", "dim_queue_patch": "queue_patch_key",
+    }
+    references = {"date_key": "dim_date", "player_key": "dim_player", "champion_key": "dim_champion",
+                  "queue_patch_key": "dim_queue_patch"}
+    assert {t: " ".join(s.not_null) for t, s in SUITES.items()} == not_null
+    assert {t: " ".join(s.unique) for t, s in SUITES.items() if s.unique} == unique
+    assert {t: s.accepted for t, s in SUITES.items() if s.accepted} == {
+        "stg_ladder": {"tier": ["CHALLENGER", "GRANDMASTER", "MASTER"]}}
+    assert {t: s.relationships for t, s in SUITES.items() if s.relationships} == {
+        "fct_participant_match": {key: (parent, key) for key, parent in references.items()}}
+    assert sum(s.count() for s in SUITES.values()) == 47
+
+
 def test_null_checks_of_a_table_are_one_scan(spark, folder):
     spark.range(5).selectExpr("id as a", "id as b", "id as c").write.parquet(f"{folder}/t")
     plan = physical_plan(quality.null_counts(spark.read.parquet(f"{folder}/t"), ["a", "b", "c"]))

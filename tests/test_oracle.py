@@ -3,6 +3,8 @@
 import pytest
 
 import __spark_entry__ as driver
+from medalstar.checks.oracle import ORACLE
+from medalstar.checks.queries import QUERIES
 from tests.compare import differences, sql_database
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -14,10 +16,13 @@ def database():
 
 
 def test_every_query_has_expected_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(driver.queries())
+    # The operators for training data have SQL where it can express them; tests/llm covers the others.
+    assert set(driver.oracle_sql()) <= set(driver.queries())
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(driver.oracle_sql()))
 def test_query(spark, database, name):
     assert differences(driver.queries()[name](spark, SF_DIR), database, driver.oracle_sql()[name]) == []
 
