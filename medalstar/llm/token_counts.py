@@ -39,21 +39,25 @@ def pre_tokens(encoder: Encoder, text: str) -> list[str]:
     return out
 
 
-def count_tokens(encoder: Encoder, words: list[str]) -> np.ndarray:
-    """Tokens of each pre-token."""
-    plain = [w for w in dict.fromkeys(words) if w not in encoder.specials]
-    _, _, sizes = encoder.merge([w.encode("utf-8", "surrogatepass") for w in plain])
-    size = dict(zip(plain, sizes.tolist()))
+def count_tokens(encoder: Encoder, words: list[str], known: dict[str, int] | None = None) -> np.ndarray:
+    """Tokens of each pre-token; ``known`` holds the counts found before and takes in the new ones."""
+    size = {} if known is None else known
+    plain = [w for w in dict.fromkeys(words) if w not in size and w not in encoder.specials]
+    if plain:
+        _, _, sizes = encoder.merge([w.encode("utf-8", "surrogatepass") for w in plain])
+        size.update(zip(plain, sizes.tolist()))
     return np.fromiter((size.get(w, 1) for w in words), np.int64, len(words))
 
 
-def leaves_of(encoder: Encoder, words: list[str]) -> tuple[list[int], list[int]]:
+def leaves_of(
+    encoder: Encoder, words: list[str], known: dict[str, int] | None = None
+) -> tuple[list[int], list[int]]:
     """(characters, tokens) of the leaves over consecutive pre-tokens."""
     chars = np.fromiter(map(len, words), np.int64, len(words))
     at = np.arange(0, len(words), LEAF)
     if not len(words):
         return [], []
-    return np.add.reduceat(chars, at).tolist(), np.add.reduceat(count_tokens(encoder, words), at).tolist()
+    return np.add.reduceat(chars, at).tolist(), np.add.reduceat(count_tokens(encoder, words, known), at).tolist()
 
 
 class SegmentTree:
@@ -64,8 +68,10 @@ class SegmentTree:
         self.n = len(chars)
         self.sums = np.zeros((2 * self.size, 2), dtype=np.int64)
         self.sums[self.size : self.size + self.n] = np.column_stack((chars, tokens)) if chars else 0
-        for i in range(self.size - 1, 0, -1):
-            self.sums[i] = self.sums[2 * i] + self.sums[2 * i + 1]
+        level = self.size
+        while level > 1:
+            level //= 2
+            self.sums[level : 2 * level] = self.sums[2 * level : 4 * level : 2] + self.sums[2 * level + 1 : 4 * level : 2]
 
     def leaf_at(self, place: int) -> tuple[int, int]:
         """(leaf that holds the character at ``place``, where it begins); the last leaf beyond the end."""
@@ -98,13 +104,15 @@ class SegmentTree:
         return self.sums[self.size : self.size + self.n]
 
 
-def edit(encoder: Encoder, tree: SegmentTree, text: str, start: int, cut: int, insert: str) -> tuple[str, int]:
-    """(the edited text, characters encoded again); the tree follows."""
+def edit(
+    encoder: Encoder, tree: SegmentTree, text: str, start: int, cut: int, insert: str, known: dict[str, int] | None = None
+) -> tuple[str, int]:
+    """(the edited text, characters encoded again); the tree follows. ``known`` as for ``count_tokens``."""
     start = min(max(start, 0), len(text))
     cut = min(max(cut, 0), len(text) - start)
     new = text[:start] + insert + text[start + cut :]
     if not tree.n or not new:
-        tree.__init__(*leaves_of(encoder, pre_tokens(encoder, new)))
+        tree.__init__(*leaves_of(encoder, pre_tokens(encoder, new), known))
         return new, len(new)
     first, begin = tree.leaf_at(max(0, start - CONTEXT))
     grown = len(insert) - cut
@@ -120,7 +128,7 @@ def edit(encoder: Encoder, tree: SegmentTree, text: str, start: int, cut: int, i
         at = len(words) if whole else int(np.searchsorted(ends, end))
         if whole or (at < len(words) and ends[at] == end):
             words = words if whole else words[: at + 1]
-            chars, tokens = leaves_of(encoder, words)
+            chars, tokens = leaves_of(encoder, words, known)
             tree.replace(first, last, chars, tokens)
             return new, sum(chars)
 
@@ -150,18 +158,19 @@ def apply_edits(
             words = [pre_tokens(encoder, t) for t in texts]
             # One pass over the batch's distinct pre-tokens counts the leaves of all its documents.
             flat = [w for own in words for w in own]
-            counted = count_tokens(encoder, flat) if flat else np.zeros(0, np.int64)
+            known: dict[str, int] = {}
+            counted = count_tokens(encoder, flat, known) if flat else np.zeros(0, np.int64)
             lengths = np.fromiter(map(len, flat), np.int64, len(flat))
             done, at = [], 0
             for text_, own, changes_ in zip(texts, words, batch.column("changes").to_pylist()):
-                cuts = np.arange(at, at + len(own), LEAF)
-                part = slice(0, at + len(own))
+                cuts = np.arange(0, len(own), LEAF)
+                part = slice(at, at + len(own))
                 tree = SegmentTree(np.add.reduceat(lengths[part], cuts).tolist() if own else [],
                                    np.add.reduceat(counted[part], cuts).tolist() if own else [])
                 at += len(own)
                 before, again = tree.tokens, 0
                 for change in changes_ or ():
-                    text_, read = edit(encoder, tree, text_, change["start"], change["cut"], change["insert"])
+                    text_, read = edit(encoder, tree, text_, change["start"], change["cut"], change["insert"], known)
                     again += read
                 leaves = tree.leaves()
                 done.append((before, tree.tokens, len(changes_ or ()), again, len(text_),
