@@ -6,15 +6,18 @@
   none is above its share. Every vector is put into the list of its nearest centroid, and a boundary
   vector also into those of centroids hardly farther away.
 * Search. Centroids are linked into a graph of near neighbours, held in memory by the tasks; queries walk
-  it best first. Of the centroids found, those within a ratio of the nearest one's distance are searched.
-  The ratio is fitted: sampled vectors are searched in the sample by brute force, and it is the one at which
-  ``recall`` of their true neighbours lie in lists within it. Long lists are cut into pieces; pieces are dealt
-  out to shelves of bounded size, and a shelf returns its best for each query.
+  it best first. A query's reach is the distance at which the lists up to there hold ``enough`` times ``k`` + 1
+  vectors, replicas not counted; lists within a ratio of the reach are searched. A query whose lists may not all
+  be among those found looks at all centroids. The ratio is fitted: sampled vectors are searched in the sample by
+  brute force, and it is the one at which ``recall`` of their true neighbours lie in lists within it. Long lists
+  are cut into pieces; pieces are dealt out to shelves of bounded size, and a shelf returns its best for each query.
+* Shortfall. Queries that are still left with fewer than ``k`` results although there are more candidates (ids
+  that repeat with many vectors) are compared to all vectors in blocks.
 
 Vectors that are null, empty, zero or hold null or non-finite components take no part, neither do those whose
 length is not the most frequent one. Equal vectors are indexed once for the ``k`` + 1 smallest ids, more can
 never be needed, and equal queries are searched once, so a very common vector costs no more than a rare one.
-Of equal scores the smaller id goes first. With no more than ``k`` candidates, all of them are returned.
+Of equal scores the smaller id goes first. Every query gets ``k`` results, or all candidates where there are fewer.
 Rows with a null id take no part. Of rows that repeat an id, vectors that differ are kept apart. Columns
 other than id and vector are not read, so their names cannot clash.
 """
@@ -51,6 +54,9 @@ class Index:
     piece: int = 4096  # vectors of a list that stay together
     shelf: int = 65_536  # vectors of a shelf
     shelves: int = 16  # at least
+    enough: int = 2  # times k + 1 vectors that the lists of a query hold at least
+    probes: int = 1024  # queries of a block of the exact search
+    targets: int = 16_384  # vectors of such a block
 
 
 def squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -147,31 +153,72 @@ class Graph:
             offer(rows, self.near[found[rows, pick]])
 
 
-def lists_of(points: np.ndarray, centroids: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray]:
-    """(row of the point, list): the nearest list of every point, and more lists for boundary points."""
+def lists_of(points: np.ndarray, centroids: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of the point, list, whether it is the point's own): the nearest list of every point is its own,
+    boundary points have more."""
     far = squared(points, centroids)
     width = min(index.replicas, len(centroids))
     near = np.argpartition(far, width - 1, axis=1)[:, :width]
     distance = np.take_along_axis(far, near, 1)
     rows, places = np.nonzero(distance <= index.boundary**2 * distance.min(axis=1, keepdims=True))
-    return rows, near[rows, places]
+    return rows, near[rows, places], places == distance.argmin(axis=1)[rows]
 
 
-def fitted_ratio(points: np.ndarray, centroids: np.ndarray, index: Index, k: int, lift) -> tuple[float, int]:
-    """(ratio of distances, number of lists within it for nearly all queries), by brute force on the sample."""
+def reach(far: np.ndarray, held: np.ndarray, least: int) -> np.ndarray:
+    """Per row of distances, nearest first, the one up to which the lists hold ``least`` vectors, which are
+    counted in ``held``; infinite where they do not."""
+    full = np.cumsum(held, axis=1) >= least
+    first = far[np.arange(len(far)), full.argmax(axis=1)]
+    return np.where(full.any(axis=1), first, np.inf)
+
+
+def fitted_ratio(
+    points: np.ndarray, centroids: np.ndarray, held: np.ndarray, index: Index, k: int, least: int, lift
+) -> tuple[float, int]:
+    """(ratio of distances, number of lists within it for nearly all queries), by brute force on the sample.
+
+    ``held``: vectors of every list, replicas not counted.
+    """
     asked = np.linspace(0, len(points) - 1, min(index.fitted, len(points))).astype(np.int64)
     scores = points[asked] @ points.T
     scores[np.arange(len(asked)), asked] = -np.inf
     true = np.argsort(-scores, axis=1, kind="stable")[:, : min(k, len(points) - 1)]
     far = np.sqrt(squared(lift(points[asked], True), centroids))
-    ratios = far / np.maximum(far.min(axis=1, keepdims=True), 1e-12)
-    rows, numbers = lists_of(lift(points[true.ravel()], False), centroids, index)
+    order = np.argsort(far, axis=1, kind="stable")
+    ratios = far / np.maximum(reach(np.take_along_axis(far, order, 1), held[order], least)[:, None], 1e-12)
+    rows, numbers, _ = lists_of(lift(points[true.ravel()], False), centroids, index)
     needed = np.full(true.size, np.inf)
     np.minimum.at(needed, rows, ratios[np.repeat(np.arange(len(asked)), true.shape[1])[rows], numbers])
-    ratio = float(np.quantile(needed, index.recall)) if needed.size else 1.0
+    ratio = max(1.0, float(np.quantile(needed, index.recall))) if needed.size else 1.0
     return ratio, int(np.quantile((ratios <= ratio).sum(axis=1), 0.99))
 
 
+def chosen(
+    graph: Graph, queries: np.ndarray, beam: int, held: np.ndarray, least: int, ratio: float
+) -> list[np.ndarray]:
+    """The lists to be searched for each query."""
+
+    def within(found: np.ndarray, far: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        far = np.sqrt(far)
+        # The small margin keeps rounding from deciding.
+        most = ratio * reach(far, np.where(found >= 0, held[found], 0), least)[:, None] * (1 + 1e-9)
+        return (found >= 0) & (far <= most), np.isinf(most[:, 0]) | (far[:, -1] <= most[:, 0])
+
+    found, far = graph.search(queries, beam)
+    use, short = within(found, far)
+    out = [numbers[mine] for numbers, mine in zip(found, use)]
+    # Where the last list found is within the ratio, more lists may be.
+    again = np.flatnonzero(short) if found.shape[1] < len(graph.centroids) or (found < 0).any() else []
+    for start in range(0, len(again), 256):
+        rows = again[start : start + 256]
+        all_far = squared(queries[rows], graph.centroids)
+        order = np.argsort(all_far, axis=1, kind="stable")
+        use, _ = within(order, np.take_along_axis(all_far, order, 1))
+        for row, numbers, mine in zip(rows, order, use):
+            out[row] = numbers[mine]
+    return out
+
+
 def usable(vector: Column) -> Column:
     """Not null, empty or zero, and free of null and non-finite components."""
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
@@ -255,24 +302,29 @@ def search(
 
     centroids = balanced_centroids(lift(sample, False), lists)
     centroids *= top / np.maximum(np.sqrt((centroids**2).sum(1, keepdims=True)), 1e-300)
-    ratio, beam = fitted_ratio(sample, centroids, index, k, lift)
-    beam = min(lists, max(32, beam + beam // 4))
     graph = spark.sparkContext.broadcast(Graph(centroids, index.links))
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 2048):
                 part = batch.slice(start, 2048)
-                at, numbers = lists_of(lift(_matrix(part.column("v")), False), graph.value.centroids, index)
+                at, numbers, own = lists_of(lift(_matrix(part.column("v")), False), graph.value.centroids, index)
                 picked = part.take(pa.array(at))
                 yield pa.RecordBatch.from_arrays(
-                    [picked.column("class"), picked.column("v"), pa.array(numbers)], names=["class", "v", "list"])
+                    [picked.column("class"), picked.column("v"), pa.array(numbers), pa.array(own)],
+                    names=["class", "v", "list", "own"])
 
     # Few bytes, much to compute: dealt out to as many tasks as a shuffle has.
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    posted = staged(map_arrow(distinct.select("class", "v").repartition(tasks), post, "class bigint, v array<double>, list bigint"), "lists")
+    posted = staged(map_arrow(distinct.select("class", "v").repartition(tasks), post, "class bigint, v array<double>, list bigint, own boolean"), "lists")
     # A row per list, so no more than there are centroids.
-    lengths = {r["list"]: r["n"] for r in posted.groupBy("list").agg(F.count("*").alias("n")).collect()}
+    counted = posted.groupBy("list").agg(F.count("*").alias("n"), F.count_if("own").alias("own")).collect()
+    lengths, held = {r["list"]: r["n"] for r in counted}, np.zeros(len(centroids), dtype=np.int64)
+    held[[r["list"] for r in counted]] = [r["own"] for r in counted]
+    # So many classes hold k ids besides the query's own.
+    least = min(index.enough * (k + 1), facts["n"])
+    ratio, beam = fitted_ratio(sample, centroids, held, index, k, least, lift)
+    beam = min(len(centroids), max(32, beam + beam // 4))
     pieces = {number: -(-n // index.piece) for number, n in lengths.items()}
     shelves = max(index.shelves, -(-sum(lengths.values()) // index.shelf))
     cut = spark.createDataFrame([*pieces.items()], "list bigint, pieces bigint")
@@ -284,13 +336,11 @@ def search(
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
-                found, far = graph.value.search(lift(_matrix(part.column("v")), True), beam)
-                # The nearest list is always searched; the small margin keeps rounding from deciding.
-                use = (found >= 0) & (np.sqrt(far) <= ratio * np.sqrt(far[:, :1]) * (1 + 1e-9))
+                asked = lift(_matrix(part.column("v")), True)
                 at, shelf, codes = [], [], []
-                for row in range(len(found)):
+                for row, numbers in enumerate(chosen(graph.value, asked, beam, held, least, ratio)):
                     own: dict[int, list[int]] = {}
-                    for number in found[row, use[row]].tolist():
+                    for number in numbers.tolist():
                         for p in range(pieces.get(number, 0)):
                             own.setdefault((number * _PIECES + p) * _SPREAD % shelves, []).append(number * _PIECES + p)
                     at += [row] * len(own)
@@ -321,5 +371,51 @@ def search(
     queries = rows.filter("asks").select(F.col("id").alias("query_id"), "v").distinct().join(asking, "v").drop("v")
     own = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     answers = queries.join(found, "q").filter(F.col("vec_id") != F.col("query_id"))
-    return answers.withColumn("rank", F.row_number().over(own).cast("int")).filter(F.col("rank") <= k).select(
+    ranked = lambda x: x.withColumn("rank", F.row_number().over(own).cast("int")).filter(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")
+    answers = staged(ranked(answers), "answers")
+    # A query may have all members but those of its own id.
+    queries, members = staged(queries, "asked"), staged(members, "members")
+    got = answers.groupBy("query_id").agg(F.count("*").alias("got"))
+    short = staged(queries.select("query_id").distinct().join(got, "query_id", "left").filter(
+        F.coalesce("got", F.lit(0)) < k).select("query_id"), "short")
+    if not short.limit(1).count():
+        return answers
+    mine = members.join(short, F.col("id") == F.col("query_id"), "left_semi").groupBy(F.col("id").alias("query_id")).agg(
+        F.count("*").alias("mine"))
+    got = short.join(got, "query_id", "left").join(mine, "query_id", "left")
+    lacking = staged(got.filter(
+        F.coalesce("got", F.lit(0)) < F.least(F.lit(k), F.lit(members.count()) - F.coalesce("mine", F.lit(0)))
+    ).select("query_id"), "lacking")
+    if not lacking.limit(1).count():
+        return answers
+    asks = queries.join(lacking, "query_id").join(asking, "q").select("query_id", "q", "v")
+    exact = _exact(asks, members, k, index)
+    return answers.join(lacking, "query_id", "left_anti").unionByName(ranked(exact))
+
+
+def _exact(asks: DataFrame, members: DataFrame, k: int, index: Index) -> DataFrame:
+    """(query_id, vec_id, score): for each of ``asks`` the ``k`` best of every block of members with other ids."""
+    asks, least = staged(asks, "asks"), F.lit(0).cast("bigint")
+    blocks, pieces = (max(1, -(-x.count() // n)) for x, n in ((asks, index.probes), (members, index.targets)))
+    spread = lambda n, *by: F.pmod(F.xxhash64(*by), F.lit(n))
+    each = lambda n: F.explode(F.sequence(least, F.lit(n - 1).cast("bigint")))
+    asks = asks.withColumn("block", spread(blocks, "q", "query_id")).withColumn("piece", each(pieces))
+    members = members.withColumn("piece", spread(pieces, "id", "v")).withColumn("block", each(blocks))
+
+    def best(key: tuple, own: pa.Table, asks: pa.Table) -> pa.Table:
+        out: list[tuple] = []
+        if own.num_rows and asks.num_rows:
+            ids, names = own.column("id").to_numpy(), asks.column("query_id").to_numpy()
+            vectors, questions = (_matrix(x.column("v").combine_chunks()) for x in (own, asks))
+            for name, question in zip(names, questions):
+                score = (vectors * question).sum(axis=1)
+                top = np.lexsort((ids, -score))
+                top = top[ids[top] != name][:k]
+                out.append((np.full(len(top), name), ids[top], score[top]))
+        columns = [np.concatenate(c) for c in zip(*out)] or [[], [], []]
+        return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()))],
+                        names=["query_id", "vec_id", "score"])
+
+    return members.groupBy("block", "piece").cogroup(asks.groupBy("block", "piece")).applyInArrow(
+        best, "query_id bigint, vec_id bigint, score double")

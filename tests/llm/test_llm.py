@@ -438,6 +438,30 @@ def test_recall_of_nearest_neighbours(spark):
     assert hits / best.size >= 0.9
 
 
+def test_tight_groups_get_all_their_neighbours(spark):
+    rng = np.random.default_rng(9)
+    rows, groups = list(np.eye(8)[0] + 0.1 * rng.normal(size=(3000, 8))), []
+    for size, centre in zip((10, 2, 19, 5), (-np.eye(8)[0], np.eye(8)[1], -np.eye(8)[2], np.eye(8)[5])):
+        groups.append(set(range(len(rows), len(rows) + size)))
+        rows += list(1.6 * centre + 1e-6 * rng.normal(size=(size, 8)))
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "vec_id bigint, embedding array<double>")
+    asks = (F.col("vec_id") % 20 == 0) | (F.col("vec_id") >= 3000)
+    got = ann.search(frame, asks, k=20).toPandas().groupby("query_id")["vec_id"].apply(list)
+    assert len(got) == 150 + 36 and all(len(set(x)) == len(x) == 20 for x in got)
+    assert all(group - {i} <= set(got[i]) for group in groups for i in group)
+
+
+def test_ids_with_many_vectors_get_neighbours(spark):
+    rng = np.random.default_rng(10)
+    rows = [(7, [1.0 + 1e-3 * float(x), 0.0, 0.0]) for x in range(60)]
+    rows += [(100 + i, [float(x) for x in rng.normal(size=3) / 9]) for i in range(50)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = [r for r in ann.search(frame, F.col("vec_id") == 7, k=5, index=ann.Index(probes=8, targets=16)).collect()]
+    scores = sorted(((-float(np.dot(v, w)), j) for i, v in rows if i == 7 for j, w in rows if j != 7))[:5]
+    assert [(r["rank"], r["vec_id"]) for r in sorted(got, key=lambda r: r["rank"])] == [
+        (n, j) for n, (_, j) in enumerate(scores, 1)]
+
+
 # --- pipeline
 
 
