@@ -1,7 +1,8 @@
 """From raw documents to token ids: every stage is written as Parquet and read again as the next one's input.
 
 All stages but the last return the columns of ``documents``. A row stands for itself: rows that repeat a
-key are judged one by one, null texts count as empty texts.
+key are judged one by one, null texts count as empty texts. A stage takes the identity of its rows once, so its
+documents need not be stored.
 """
 
 from __future__ import annotations
@@ -24,27 +25,30 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """``docs`` less the rows named by ``dropped``."""
+    """``docs``, which have ``_row``, less the rows named by ``dropped``."""
     dropped = broadcast_if_few(staged(dropped.select(ROW), "dropped"), _ROW_BYTES)
-    return with_rows(docs).join(dropped, ROW, "left_anti").select(docs.columns)
+    return docs.join(dropped, ROW, "left_anti")
 
 
 def exact_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One of each group of equal texts."""
-    return _without(docs, exact_dedup.deduplicate(docs).filter(~F.col("kept")))
+    rows = with_rows(docs)
+    return _without(rows, exact_dedup.deduplicate(rows).filter(~F.col("kept"))).select(docs.columns)
 
 
 def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One of each group of near copies: five words a shingle, similarity of 0.8 or more."""
-    return _without(docs, near_dedup.deduplicate(docs).filter(~F.col("kept")))
+    rows = with_rows(docs)
+    return _without(rows, near_dedup.deduplicate(rows).filter(~F.col("kept"))).select(docs.columns)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix enters it: not at all, once, or up to three times."""
-    parts, _, _ = mixing.mix(docs)
+    rows = with_rows(docs)
+    parts, _, _ = mixing.mix(rows)
     times = parts.groupBy(ROW).agg(F.countDistinct("epoch").alias("_times"))
     times = broadcast_if_few(staged(times, "times"), _ROW_BYTES)
-    return with_rows(docs).join(times, ROW).withColumn(
+    return rows.join(times, ROW).withColumn(
         "_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_times")))).select(docs.columns)
 
 

@@ -22,6 +22,7 @@ from medalstar.operators.joins import BROADCAST_BYTES
 from medalstar.session import new_shared_folder
 
 ROW = "_row"  # struct(file, position): identifies a stored row
+_ROW_TYPE = "struct<file:bigint,position:bigint>"
 SPACE = r"[\x20\x09-\x0D]+"  # what separates words in the contracts of the operators
 WORD = r"[^\x20\x09-\x0D]+"
 _WORD_BYTES = np.ones(256, dtype=bool)
@@ -42,18 +43,31 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 def with_rows(df: DataFrame) -> DataFrame:
     """``df`` plus ``_row``, an identity that every later read of the same files repeats.
 
-    Parquet scans know file and position of a row. A frame that is not such a scan is staged first.
+    A frame that has a ``_row`` of that type keeps it: who joins results back to their rows takes the identity
+    once and hands on the frame that has it. Parquet scans know file and position of a row. A frame that is not
+    a scan, filtered and projected at most, is staged first: joins and exploded arrays would repeat positions.
     Positions stay the same however the files are split, so results do not depend on retries.
     """
+    if ROW in df.columns and df.schema[ROW].dataType.simpleString() == _ROW_TYPE:
+        return df
     position = F.struct(
         F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("position")
     ).alias(ROW)
     try:
-        return df.select("*", position)
-    except AnalysisException:
+        return (df if _is_scan(df) else staged(df, "rows")).select("*", position)
+    except AnalysisException:  # a scan of files without positions
         return staged(df, "rows").select("*", position)
 
 
+def _is_scan(df: DataFrame) -> bool:
+    """Whether every row of ``df`` is a row of a file, the same one at every read."""
+    plan = df._jdf.queryExecution().analyzed()
+    steady = plan.deterministic()
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().head()
+    return steady and plan.nodeName() == "LogicalRelation"
+
+
 def ship(spark: SparkSession) -> None:
     """Let Python workers import this package, also where it is not installed on the executors.
 

@@ -487,6 +487,20 @@ def test_pipeline_stages(spark):
             assert len(rows) == len(before)
 
 
+def test_stages_on_frames_that_are_not_stored(spark):
+    made, keys = awkward(spark), sorted(map(str, (1, 3, 5, 6, 8, 9, 10, 11, 12, 13)))
+    stored = common.staged(made, "awkward")
+    twice = stored.join(spark.range(2).withColumnRenamed("id", "copy"), how="cross").drop("copy")
+    for docs in (made, twice):
+        once = corpus_pipeline.exact_deduplication(spark, docs, SMALL)
+        assert once.columns == docs.columns and sorted(str(r["doc_id"]) for r in once.collect()) == keys
+    mixed = corpus_pipeline.source_mixing(spark, made, SMALL)
+    assert mixed.columns == made.columns
+    assert mixed.count() == corpus_pipeline.source_mixing(spark, stored, SMALL).count() > 0
+    near = corpus_pipeline.near_deduplication(spark, made, SMALL)
+    assert near.columns == made.columns and near.count() < made.count()
+
+
 def test_stages_on_awkward_tables(spark):
     for docs in (awkward(spark), empty(spark)):
         for name, stage in corpus_pipeline.STAGES:
