@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medalstar.llm.common import broadcast_if_few, map_arrow, ship, staged
+from medalstar.llm.common import ROW, broadcast_if_few, map_arrow, ship, staged, with_rows
 from medalstar.session import new_shared_folder
 
 # Separator of records, digits of base 32 and the signs that stand for them in digests.
@@ -55,9 +55,12 @@ def base32_sha1(payload: Column) -> Column:
 
 
 def with_revisits(pages: DataFrame, page_id: str, payload: str, least: int) -> DataFrame:
-    """``page_id``, ``url`` and payload as text, and the page that a revisit refers to."""
-    rows = pages.select(
-        F.col(page_id).alias("page_id"), "url", F.coalesce(payload, F.lit("")).alias("payload"))
+    """``page_id``, ``url`` and payload as text, ``name`` that tells the row, and the page that a revisit refers to."""
+    # Name and content stay the same whenever a task is tried again; rows that repeat a page differ in their place.
+    rows = with_rows(pages).select(
+        F.col(page_id).alias("page_id"), "url", F.coalesce(payload, F.lit("")).alias("payload"),
+        F.sha1(F.to_json(F.struct(F.col(page_id).alias("a"), F.col("url").alias("b"), F.sha2(F.coalesce(payload, F.lit("")), 256).alias("c"),
+                                  F.col(ROW).alias("d")))).alias("name"))
     rows = rows.withColumn("content", F.unhex(F.sha2("payload", 256)))
     # Only contents that repeat take part in the join; copies collapse before the shuffle.
     repeated = rows.filter(F.octet_length("payload") >= least).groupBy("content").agg(
@@ -68,6 +71,14 @@ def with_revisits(pages: DataFrame, page_id: str, payload: str, least: int) -> D
     return joined.withColumn("refers_to", F.when(F.col("original").isNotNull() & other, F.col("original"))).drop("original")
 
 
+def record_id(name: Column) -> Column:
+    """A name-based UUID (version 5) from a SHA-1 in hex."""
+    part = lambda at, n: F.substring(name, at, n)
+    variant = F.translate(part(17, 1), _DIGITS[:16].lower(), "89ab" * 4)
+    return F.concat(part(1, 8), F.lit("-"), part(9, 4), F.lit("-5"), part(14, 3), F.lit("-"), variant, part(18, 3),
+                    F.lit("-"), part(21, 12))
+
+
 def record(date: str) -> Column:
     """A whole record but for its closing separator."""
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value.cast("string"), F.lit("\r\n"))
@@ -84,7 +95,7 @@ def record(date: str) -> Column:
     head = F.concat(
         F.lit("WARC/1.1\r\n"),
         line("WARC-Type", F.when(revisit, F.lit("revisit")).otherwise(F.lit("response"))),
-        line("WARC-Record-ID", F.concat(F.lit("<urn:uuid:"), F.uuid(), F.lit(">"))),
+        line("WARC-Record-ID", F.concat(F.lit("<urn:uuid:"), record_id(F.col("name")), F.lit(">"))),
         optional("WARC-Target-URI", url),
         line("WARC-Date", F.lit(date)),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), base32_sha1(F.col("payload")))),
@@ -101,10 +112,11 @@ def write_archives(
     date: str = "2025-01-01T00:00:00Z",
 ) -> None:
     """Write one record per page below ``path``."""
-    records = with_revisits(pages, page_id, payload, least).select(record(date).alias("value"))
+    records = with_revisits(pages, page_id, payload, least).select(record(date).alias("value"), "name")
     size = pages.agg(F.sum(F.octet_length(payload) + 1024)).first()[0] or 0
-    # Dealt out evenly, so that files keep to their size.
-    records.repartition(max(1, size // FILE_BYTES)).write.option("lineSep", SEPARATOR).text(path)
+    # Dealt out by name, so that files keep to their size and a task tried again sends every record where it went before.
+    dealt = records.repartition(max(1, size // FILE_BYTES), F.xxhash64("name")).drop("name")
+    dealt.write.option("lineSep", SEPARATOR).text(path)
 
 
 def parse(data: bytes) -> Iterator[tuple[int, int, dict, bytes]]:

@@ -4,7 +4,9 @@ import base64
 import hashlib
 import random
 import re
+import uuid
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -388,6 +390,22 @@ def test_archives(spark, least):
         assert history == sorted(history)
 
 
+def test_archives_are_the_same_again(spark, folder, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES", 4096)
+    rows = [(i % 90, f"http://a.org/{i % 30}", "x" * (i % 7)) for i in range(120)] + [(None, None, None)] * 3
+    pages = common.staged(spark.createDataFrame(rows, "page_id bigint, url string, html string"), "pages")
+    written = []
+    for name in ("a", "b"):
+        warc.write_archives(pages, f"{folder}/{name}")
+        files = sorted(Path(folder, name).glob("part-*"))
+        assert len(files) > 5
+        written.append({(f.name[:10], h["WARC-Record-ID"], h.get("X-Page-Id"), h.get("WARC-Target-URI"))
+                        for f in files for _, _, h, _ in warc.parse(f.read_bytes())})
+    assert written[0] == written[1] and len(written[0]) == len(rows)
+    ids = [re.fullmatch("<urn:uuid:(.*)>", i)[1] for _, i, _, _ in written[0]]
+    assert len(set(ids)) == len(rows) and all(str(uuid.UUID(i)) == i and uuid.UUID(i).version == 5 for i in ids)
+
+
 def test_loser_tree_merges():
     rng = random.Random(4)
     for k in range(0, 9):
