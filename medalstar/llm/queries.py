@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from medalstar.llm import (
     ann, bpe, chat, exact_dedup, langid, mixing, near_dedup, quality, token_counts, warc,
 )
-from medalstar.llm.common import held_out
+from medalstar.llm.common import ROW, held_out, with_rows
 from medalstar.sources.samples import inputs
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -34,8 +34,8 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    counts = token_counts.apply_edits(docs, token_counts.sample_edits(docs), vocabulary_path())
+    docs = with_rows(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = token_counts.apply_edits(docs, token_counts.sample_edits(docs, by=ROW), vocabulary_path(), by=ROW)
     return counts.select("doc_id", "tokens_before", "tokens_after", "edits", "chars_again", "chars_after",
                          F.size("leaf_chars").alias("leaves"))
 

@@ -10,7 +10,7 @@ the old leaves hold. Sums are updated along the paths of the leaves that changed
 Null texts count as empty. Edits of a document apply in the order of ``seq`` (nulls first, then by place), each
 to the text left by the one before; places beyond the end are moved to the end, and null or negative numbers
 count as 0, a null insert as empty. Edits of unknown documents are ignored, documents without edits keep
-their counts. Rows that repeat a key each get all its edits. A null key matches no edit. Columns other than
+their counts. Rows that repeat a key each get all its edits, unless edits name single rows. A null key matches no edit. Columns other than
 those named are not read, so their names cannot clash.
 """
 
@@ -20,11 +20,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medalstar.llm.bpe import Encoder, Shared, load_vocabulary
-from medalstar.llm.common import map_arrow, slices
+from medalstar.llm.common import ROW, map_arrow, slices, with_rows
 
 LEAF = 64  # pre-tokens
 CONTEXT = 16  # characters; more than the longest special string or look-ahead of the pattern
@@ -134,57 +135,81 @@ def edit(
 
 
 def apply_edits(
-    df: DataFrame, edits: DataFrame, vocabulary_path: str, key: str = "doc_id", text: str = "text"
+    df: DataFrame, edits: DataFrame, vocabulary_path: str, key: str = "doc_id", text: str = "text", by: str | None = None
 ) -> DataFrame:
     """(key, tokens_before, tokens_after, edits, chars_again, chars_after, leaf_chars, leaf_tokens, sums).
 
-    ``edits``: key, seq, start, cut, insert. An edit list travels with its document, whose size bounds what
-    a task holds of it.
+    ``edits``: ``by``, seq, start, cut, insert. ``by`` is the key unless given; ``_row`` names single rows, for
+    which ``df`` has that column too. Edits stream behind their document, sorted, so a task holds one document and
+    a batch, however many edits it gets.
     """
-    shared = Shared(df.sparkSession, load_vocabulary(vocabulary_path))
+    shared, by = Shared(df.sparkSession, load_vocabulary(vocabulary_path)), by or key
     kind = df.schema[key].dataType.simpleString()
     zero = lambda c: F.greatest(F.coalesce(F.col(c).cast("bigint"), F.lit(0)), F.lit(0)).alias(c)
-    changes = edits.filter(F.col(key).isNotNull()).select(
-        F.col(key).alias("key"), F.col("seq").cast("bigint").alias("seq"), zero("start"), zero("cut"),
+    changes = edits.filter(F.col(by).isNotNull()).select(
+        F.col(by).alias("by"), F.col("seq").cast("bigint").alias("seq"), zero("start"), zero("cut"),
         F.coalesce("insert", F.lit("")).alias("insert"))
-    changes = changes.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("seq", "start", "cut", "insert"))).alias("changes"))
-    docs = df.select(F.col(key).alias("key"), F.coalesce(text, F.lit("")).alias("text")).join(changes, "key", "left")
+    docs = with_rows(df).select(F.col(by).alias("by"), F.col(key).alias("key"), F.coalesce(text, F.lit("")).alias("text"), ROW)
+    if by == ROW:
+        changes = changes.withColumnRenamed("by", ROW)
+    else:
+        changes = docs.filter(F.col("by").isNotNull()).select("by", ROW).join(changes, "by").drop("by")
+    place = ["file", "position"]
+    own = [F.col(f"{ROW}.{c}").alias(c) for c in place]
+    rows = docs.select(*own, F.lit(False).alias("change"), "key", "text").unionByName(
+        changes.select(*own, F.lit(True).alias("change"), "seq", "start", "cut", "insert"), allowMissingColumns=True)
+    rows = rows.repartition(*place).sortWithinPartitions(*place, "change", "seq", "start", "cut", "insert")
     names = ["key", "tokens_before", "tokens_after", "edits", "chars_again", "chars_after", "leaf_chars", "leaf_tokens", "sums"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = shared.encoder()
-        for batch in slices(batches, "text", 3 << 20):
-            texts = batch.column("text").to_pylist()
-            words = [pre_tokens(encoder, t) for t in texts]
+        at = key_ = tree = None  # place, key and tree of the document in hand
+        text_, before, changed, again = "", 0, 0, 0
+
+        def packed(done: list[tuple]) -> pa.RecordBatch:
+            types = [key_type] + [pa.int64()] * 5 + [pa.list_(pa.int32())] * 2 + [pa.list_(pa.int64())]
+            return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*done), types)], names=names)
+
+        def result() -> tuple:
+            leaves = tree.leaves()
+            return key_, before, tree.tokens, changed, again, len(text_), leaves[:, 0], leaves[:, 1], tree.sums[:, 1]
+
+        for batch in slices(slices(batches, "text", 3 << 20), "insert", 3 << 20):
+            key_type = batch.schema.field("key").type
             # One pass over the batch's distinct pre-tokens counts the leaves of all its documents.
+            fresh = batch.filter(pc.invert(batch.column("change")))
+            words = [pre_tokens(encoder, t) for t in fresh.column("text").to_pylist()]
             flat = [w for own in words for w in own]
             known: dict[str, int] = {}
             counted = count_tokens(encoder, flat, known) if flat else np.zeros(0, np.int64)
             lengths = np.fromiter(map(len, flat), np.int64, len(flat))
-            done, at = [], 0
-            for text_, own, changes_ in zip(texts, words, batch.column("changes").to_pylist()):
-                cuts = np.arange(0, len(own), LEAF)
-                part = slice(at, at + len(own))
+            done, begin, next_ = [], 0, iter(words)
+            columns = (batch.column(c).to_pylist() for c in (*place, "change", "key", "text", "start", "cut", "insert"))
+            for file, position, change, new_key, new_text, start, cut, insert in zip(*columns):
+                if change:
+                    if at == (file, position):
+                        text_, read = edit(encoder, tree, text_, start, cut, insert, known)
+                        again, changed = again + read, changed + 1
+                    continue
+                if at is not None:
+                    done.append(result())
+                own = next(next_)
+                cuts, part = np.arange(0, len(own), LEAF), slice(begin, begin + len(own))
                 tree = SegmentTree(np.add.reduceat(lengths[part], cuts).tolist() if own else [],
                                    np.add.reduceat(counted[part], cuts).tolist() if own else [])
-                at += len(own)
-                before, again = tree.tokens, 0
-                for change in changes_ or ():
-                    text_, read = edit(encoder, tree, text_, change["start"], change["cut"], change["insert"], known)
-                    again += read
-                leaves = tree.leaves()
-                done.append((before, tree.tokens, len(changes_ or ()), again, len(text_),
-                             leaves[:, 0], leaves[:, 1], tree.sums[:, 1]))
-            types = [pa.int64()] * 5 + [pa.list_(pa.int32())] * 2 + [pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), *(pa.array(list(c), t) for c, t in zip(zip(*done), types))], names=names)
-
-    return map_arrow(docs, run, f"key {kind}, tokens_before bigint, tokens_after bigint, edits bigint, chars_again bigint, "
+                begin += len(own)
+                at, key_, text_, before, changed, again = (file, position), new_key, new_text, tree.tokens, 0, 0
+            if done:
+                yield packed(done)
+        if at is not None:
+            yield packed([result()])
+
+    return map_arrow(rows, run, f"key {kind}, tokens_before bigint, tokens_after bigint, edits bigint, chars_again bigint, "
                                 f"chars_after bigint, {TREE}").withColumnRenamed("key", key)
 
 
-def sample_edits(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Four edits for every document, told by its key and length: an insert near the front, a word cut in the
+def sample_edits(df: DataFrame, key: str = "doc_id", text: str = "text", by: str | None = None) -> DataFrame:
+    """Four edits for every row with a key, told by its key and length, under its ``by`` (the key unless given): an insert near the front, a word cut in the
     middle, a passage of its own repeated at the end, and a few characters replaced in the last third."""
     n = F.coalesce(F.length(text), F.lit(0))
     h = F.pmod(F.xxhash64(F.lit(17), F.col(key)), F.lit(97))
@@ -194,6 +219,6 @@ def sample_edits(df: DataFrame, key: str = "doc_id", text: str = "text") -> Data
         (3, n, F.lit(0), F.coalesce(F.substring(F.col(text), 1, 40), F.lit(""))),
         (4, F.floor(n * 2 / 3), F.least(h % 5, n), F.lit("'s\n")),
     ]
-    return df.filter(F.col(key).isNotNull()).select(F.col(key), F.explode(F.array(*[F.struct(
+    return df.filter(F.col(key).isNotNull()).select(F.col(by or key), F.explode(F.array(*[F.struct(
         F.lit(seq).alias("seq"), start.cast("bigint").alias("start"), cut.cast("bigint").alias("cut"),
-        insert.alias("insert")) for seq, start, cut, insert in rows])).alias("e")).select(key, "e.*")
+        insert.alias("insert")) for seq, start, cut, insert in rows])).alias("e")).select(by or key, "e.*")

@@ -343,6 +343,33 @@ def test_edited_counts_equal_counts_of_the_edited_text(spark):
     assert long["chars_again"] < long["chars_after"] / 10
 
 
+def test_edits_of_a_repeated_key_stream_behind_each_row(spark):
+    known = library()
+    docs = common.with_rows(common.staged(spark.createDataFrame(
+        [(1, f"some words, row {i}") for i in range(40)] + [(2, LONG[:9000]), (None, "no key")], "doc_id bigint, text string"), "docs"))
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")  # a document's edits come in several batches
+    try:
+        edits = token_counts.sample_edits(docs, by=common.ROW)
+        counts = token_counts.apply_edits(docs, edits, queries.vocabulary_path(), by=common.ROW)
+        assert sorted((r["doc_id"] or 0, r["edits"]) for r in counts.collect()) == [(0, 0)] + [(1, 4)] * 40 + [(2, 4)]
+        many = spark.createDataFrame([(1, i, i, i % 3, f"e{i}") for i in range(50)] + [(3, 0, 0, 0, "x")],
+                                     "doc_id bigint, seq bigint, start bigint, cut bigint, insert string")
+        counts = token_counts.apply_edits(docs, many, queries.vocabulary_path())
+        assert "collect_list" not in counts._jdf.queryExecution().toString()
+        got = counts.collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    expected = []
+    for r in docs.collect():
+        text = r["text"]
+        for i in range(50 if r["doc_id"] == 1 else 0):
+            start = min(i, len(text))
+            text = text[:start] + f"e{i}" + text[start + i % 3 :]
+        expected.append((r["doc_id"] or 0, len(known.encode(text, add_special_tokens=False).ids), len(text)))
+    assert sorted((r["doc_id"] or 0, r["tokens_after"], r["chars_after"]) for r in got) == sorted(expected)
+
+
 def test_random_edits_keep_the_tree_right():
     encoder, rng, known = bpe.Encoder(bpe.load_vocabulary(queries.vocabulary_path())), random.Random(8), library()
     letters = "ab  \n's re<|endoftext|>1!é"
