@@ -15,7 +15,8 @@ A null payload is the empty payload; equal empty payloads revisit each other if
 has the empty key. Control characters of a URL are percent-encoded in the archive. Rows with a null id
 are written without one and read back so; they come last among equals and share one place there. A page
 repeated with the same id and payload is a response each time. An empty table gives no archive and an
-empty index. Columns other than those named are not read, so their names cannot clash.
+empty index. Capture times come from a column if one is named, in UTC; a null time, or no such column, is the fixed
+date, and then captures of a URL stand in the order of their ids. Columns other than those named are not read, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -54,11 +55,19 @@ def base32_sha1(payload: Column) -> Column:
     return F.translate(F.concat(*groups), _DIGITS, _SIGNS)
 
 
-def with_revisits(pages: DataFrame, page_id: str, payload: str, least: int) -> DataFrame:
-    """``page_id``, ``url`` and payload as text, ``name`` that tells the row, and the page that a revisit refers to."""
+def warc_date(time: Column, date: str) -> Column:
+    """Capture time as a WARC date with microseconds, so that dates as texts stand in the order of time."""
+    return F.date_format(F.coalesce(time.cast("timestamp"), F.to_timestamp(F.lit(date))), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+
+
+def with_revisits(
+    pages: DataFrame, page_id: str, payload: str, least: int, date: str = "2025-01-01T00:00:00Z", time: str | None = None
+) -> DataFrame:
+    """``page_id``, ``url`` and payload as text, ``date``, ``name`` that tells the row, and the page that a revisit refers to."""
     # Name and content stay the same whenever a task is tried again; rows that repeat a page differ in their place.
     rows = with_rows(pages).select(
         F.col(page_id).alias("page_id"), "url", F.coalesce(payload, F.lit("")).alias("payload"),
+        (F.lit(date) if time is None else warc_date(F.col(time), date)).alias("date"),
         F.sha1(F.to_json(F.struct(F.col(page_id).alias("a"), F.col("url").alias("b"), F.sha2(F.coalesce(payload, F.lit("")), 256).alias("c"),
                                   F.col(ROW).alias("d")))).alias("name"))
     rows = rows.withColumn("content", F.unhex(F.sha2("payload", 256)))
@@ -79,7 +88,7 @@ def record_id(name: Column) -> Column:
                     F.lit("-"), part(21, 12))
 
 
-def record(date: str) -> Column:
+def record() -> Column:
     """A whole record but for its closing separator."""
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value.cast("string"), F.lit("\r\n"))
     optional = lambda name, value: F.coalesce(line(name, value), F.lit(""))
@@ -97,7 +106,7 @@ def record(date: str) -> Column:
         line("WARC-Type", F.when(revisit, F.lit("revisit")).otherwise(F.lit("response"))),
         line("WARC-Record-ID", F.concat(F.lit("<urn:uuid:"), record_id(F.col("name")), F.lit(">"))),
         optional("WARC-Target-URI", url),
-        line("WARC-Date", F.lit(date)),
+        line("WARC-Date", F.col("date")),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), base32_sha1(F.col("payload")))),
         F.when(revisit, line("WARC-Profile", F.lit(PROFILE))).otherwise(F.lit("")),
         optional("X-Page-Id", F.col("page_id")), optional("X-Refers-To-Page", F.col("refers_to")),
@@ -109,10 +118,10 @@ def record(date: str) -> Column:
 
 def write_archives(
     pages: DataFrame, path: str, page_id: str = "page_id", payload: str = "html", least: int = 0,
-    date: str = "2025-01-01T00:00:00Z",
+    date: str = "2025-01-01T00:00:00Z", time: str | None = None,
 ) -> None:
-    """Write one record per page below ``path``."""
-    records = with_revisits(pages, page_id, payload, least).select(record(date).alias("value"), "name")
+    """Write one record per page below ``path``, captured at ``time``; at ``date`` without that column or a value."""
+    records = with_revisits(pages, page_id, payload, least, date, time).select(record().alias("value"), "name")
     size = pages.agg(F.sum(F.octet_length(payload) + 1024)).first()[0] or 0
     # Dealt out by name, so that files keep to their size and a task tried again sends every record where it went before.
     dealt = records.repartition(max(1, size // FILE_BYTES), F.xxhash64("name")).drop("name")
@@ -284,10 +293,10 @@ def _packed(rows: pa.Table) -> bytes:
 
 def archive_and_index(
     pages: DataFrame, page_id: str = "page_id", payload: str = "html", least: int = 0,
-    date: str = "2025-01-01T00:00:00Z", path: str | None = None,
+    date: str = "2025-01-01T00:00:00Z", path: str | None = None, time: str | None = None,
 ) -> DataFrame:
     """Write the archives (to the shared folder unless ``path`` names another), read them back, and merge their index."""
     spark, id_type = pages.sparkSession, pages.schema[page_id].dataType.simpleString()
     path = path or new_shared_folder(spark, "warc")
-    write_archives(pages, path, page_id, payload, least, date)
+    write_archives(pages, path, page_id, payload, least, date, time)
     return merged_index(staged(captures(spark, path, id_type), "runs"))

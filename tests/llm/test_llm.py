@@ -433,6 +433,19 @@ def test_archives_are_the_same_again(spark, folder, monkeypatch):
     assert len(set(ids)) == len(rows) and all(str(uuid.UUID(i)) == i and uuid.UUID(i).version == 5 for i in ids)
 
 
+def test_captures_of_a_url_stand_in_order_of_time(spark, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES", 4096)  # many files, so many runs
+    rows = [(i, f"http://a.org/{i % 3}", f"p{i}", None if i == 40 else f"2024-03-{30 - i % 30:02d} 10:00:00.{i:06d}")
+            for i in range(60)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, seen string").withColumn(
+        "seen", F.col("seen").cast("timestamp"))
+    got = sorted(warc.archive_and_index(pages, time="seen").collect(), key=lambda r: (r["range"], r["place"]))
+    when = {i: "2025-01-01T00:00:00.000000Z" if t is None else t.replace(" ", "T") + "Z" for i, _, _, t in rows}
+    assert [(r["page_id"], r["time"]) for r in got] == [
+        (i, when[i]) for i, *_ in sorted(rows, key=lambda r: (r[0] % 3, when[r[0]], r[0]))]
+    assert len({r["file"] for r in got}) > 5
+
+
 def test_loser_tree_merges():
     rng = random.Random(4)
     for k in range(0, 9):
