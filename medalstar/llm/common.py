@@ -59,6 +59,11 @@ def with_rows(df: DataFrame) -> DataFrame:
         return staged(df, "rows").select("*", position)
 
 
+def chosen_rows(df: DataFrame, **columns: str) -> DataFrame:
+    """The named columns under the names given, plus ``_row``; other columns of ``df`` cannot clash with them."""
+    return with_rows(df.select(*[F.col(old).alias(new) for new, old in columns.items()]))
+
+
 def _is_scan(df: DataFrame) -> bool:
     """Whether every row of ``df`` is a row of a file, the same one at every read."""
     plan = df._jdf.queryExecution().analyzed()
@@ -190,4 +195,16 @@ def shingle_sets(texts: list[str | None], width: int) -> tuple[np.ndarray, np.nd
     return owner[new], shingle[new]
 
 
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit hash, text number) of every word of UTF-8 texts, in order. Words are taken unchanged."""
+    joined = b" ".join(texts) + b" "
+    raw = np.frombuffer(joined, dtype=np.uint8)
+    edges = np.diff(np.concatenate(([False], _WORD_BYTES[raw], [False])).astype(np.int8))
+    starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+    sums = np.concatenate(([np.uint64(0)], np.cumsum(_BYTE_VALUES[raw] * _powers(_UNIT, len(raw)), dtype=np.uint64)))
+    words = mixed((sums[ends] - sums[starts]) * _powers(_UNDO, len(raw) + 1)[starts] + (ends - starts).astype(np.uint64))
+    lengths = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
+    return words, np.searchsorted(np.cumsum(lengths), starts, side="right")
+
+
 WORDS = re.compile(WORD)

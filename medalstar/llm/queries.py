@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medalstar.llm import (
-    ann, bpe, chat, exact_dedup, langid, mixing, near_dedup, quality, token_counts, warc,
+    ann, bpe, chat, exact_dedup, langid, lexical, mixing, near_dedup, quality, substrings,
+    token_counts, trie, warc,
 )
-from medalstar.llm.common import ROW, held_out, with_rows
+from medalstar.llm.common import ROW, held_out, staged, with_rows
 from medalstar.sources.samples import inputs
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -79,8 +80,25 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.deduplicate(_table(spark, sf_dir, "documents"), width=2).drop("_row")
 
 
+def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = staged(trie.numbered_turns(_table(spark, sf_dir, "conversations")), "numbered")
+    nodes, ends = trie.prefix_trie(*trie.rebuilt(turns, trie.lengths_of(turns)))
+    return trie.ends_digest(nodes, ends).select(
+        F.col("conv").alias("conv_id"), "depth", F.col("parent").alias("parent_conv_id"), "n_convs", "n_children",
+        "n_leaves", F.col("saved").alias("saved_tokens"), "ends_sha256")
+
+
+def op12_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.removed(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(_table(spark, sf_dir, "benchmark"), _table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_quality, op2_token_counts, op3_bpe, op4_chat, op5_langid, op6_mixing, op7_exact_dedup, op8_warc, op9_ann,
-        op10_near_dedup)
+        op10_near_dedup, op11_trie, op12_substrings, op13_lexical)
 }
