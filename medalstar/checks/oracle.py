@@ -166,6 +166,13 @@ CTES = {
     "matches_teams": bronze_sql("matches_teams"),
     "ladder": bronze_sql("ladder"),
     "match_ids": bronze_sql("match_ids"),
+    "rank_history": bronze_sql("rank_history"),
+    # One rank per player and moment.
+    "rank_held": """
+        SELECT puuid, platform, tier, league_points, recorded_ms FROM rank_history
+        WHERE puuid IS NOT NULL AND recorded_ms IS NOT NULL
+        QUALIFY row_number() OVER (
+            PARTITION BY puuid, platform, recorded_ms ORDER BY tier NULLS LAST, league_points NULLS LAST) = 1""",
     "json_participants":
         f"SELECT {_select_list(_json_participant_columns(), schemas.PARTICIPANTS)} "
         "FROM (SELECT o_orderkey AS k, o_orderdate, unnest(range(1, o_orderkey % 10 + 2)) AS i FROM orders)",
@@ -396,6 +403,17 @@ STATEMENTS = {
         f"SELECT '{n}' AS table_name, count(*) AS row_count, FALSE AS failed FROM {n}"
         for n in ("orders", "customer", "lineitem")
     ) + " UNION ALL SELECT 'absent', NULL, TRUE",
+    "upsert_months": """
+        SELECT *, strftime(o_orderdate, '%Y-%m') AS game_month FROM (
+            SELECT o_orderkey, o_custkey,
+                   CASE WHEN o_orderkey % 50 = 7 THEN o_orderdate + INTERVAL 40 DAYS ELSE o_orderdate END AS o_orderdate,
+                   CASE WHEN o_orderkey % 50 <> 7 AND o_orderkey % 3 <> 1 AND o_orderkey % 2 = 0 THEN o_totalprice + 1
+                        ELSE o_totalprice END AS o_totalprice, o_orderstatus
+            FROM orders)""",
+    "replace_versioned": """
+        SELECT moment, count(*) AS rows, sum(o_orderkey)::BIGINT AS key_sum
+        FROM orders, (SELECT unnest(['after a failure', 'reader from before', 'after']) AS moment)
+        WHERE moment = 'after' OR o_orderkey % 2 = 0 GROUP BY moment""",
     "select_present": "SELECT c_name, c_custkey FROM customer",
     # JSON documents
     "flatten_participants": "SELECT * FROM json_participants",
@@ -446,6 +464,12 @@ STATEMENTS = {
     "filter_positive": f"SELECT match_id, participant_id, summoner1_id {P} WHERE summoner1_id > 0",
     "in_list_flag": f"SELECT match_id, participant_id, queue_id, queue_id IN (420, 440) AS is_ranked {P}",
     # joins
+    "join_rank_as_of": """
+        SELECT p.match_id, p.participant_id, p.puuid, p.platform, p.game_start_timestamp,
+               h.tier AS rank_tier_then, h.league_points AS rank_lp_then,
+               make_timestamp(h.recorded_ms * 1000) AS rank_since
+        FROM stg_matches_participants p ASOF LEFT JOIN rank_held h
+            ON p.puuid = h.puuid AND p.platform = h.platform AND p.game_start_timestamp >= h.recorded_ms""",
     "join_team_stats": """
         SELECT p.match_id, p.team_id, p.participant_id, t.dragon_kills, t.tower_kills, t.first_blood
         FROM stg_matches_participants p
@@ -500,6 +524,15 @@ STATEMENTS = {
     "surrogate_key": f"""
         SELECT row_number() OVER (ORDER BY puuid) AS player_key, puuid
         FROM (SELECT DISTINCT puuid {P} WHERE puuid IS NOT NULL)""",
+    "surrogate_key_incremental": """
+        WITH members AS (
+            SELECT p_brand AS brand, CASE WHEN p_size % 7 <> 0 THEN p_name END AS name,
+                   min(CASE WHEN p_partkey % 3 = 0 THEN 1 ELSE 2 END) AS ingest
+            FROM part WHERE p_partkey % 3 = 0 OR p_partkey % 5 <> 0 GROUP BY ALL)
+        SELECT row_number() OVER (ORDER BY ingest, brand NULLS LAST, name NULLS LAST) AS part_key, brand, name FROM members""",
+    "latest_incremental": """
+        SELECT o_custkey, o_orderdate, o_orderkey, o_totalprice FROM orders
+        QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) = 1""",
     "surrogate_key_composite": """
         SELECT row_number() OVER (ORDER BY brand NULLS LAST, name NULLS LAST) AS part_key, brand, name
         FROM (SELECT DISTINCT p_brand AS brand, CASE WHEN p_size % 7 <> 0 THEN p_name END AS name FROM part)""",

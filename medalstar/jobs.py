@@ -16,7 +16,7 @@ from medalstar import schemas
 from medalstar.plans.ingest import ingest_ladder, ingest_matches, rejected_ladder
 from medalstar.plans.warehouse import Warehouse
 from medalstar.session import LAUNCH_SETTINGS, configure, size_for
-from medalstar.sources.tables import scan
+from medalstar.sources.versions import read_current
 
 BUILT_FROM = ["ladder", "matches_participants", "matches_teams"]
 
@@ -33,6 +33,7 @@ def arguments(argv: list[str]) -> argparse.Namespace:
     ingest.add_argument("--one-per-file", action="store_true", help="one match document per file")
     build = commands.add_parser("build")
     build.add_argument("--dedupe", action="store_true", help="keep the newest row of repeated ingests")
+    build.add_argument("--keep-keys", action="store_true", help="members of earlier builds keep their surrogate keys")
     for command in (ingest, build):
         command.add_argument("--root", required=True, help="shared output folder")
         command.add_argument("--shuffled-gb", type=int, default=0, help="expected size of the largest shuffle")
@@ -54,9 +55,9 @@ def run(spark: SparkSession, argv: list[str]) -> int:
                 print(f"rejected from {name}: {row['count']} {row['reason']}")
                 rejected += row["count"]
         return 2 if rejected else 0
-    bronze = {n: scan(spark, f"{args.root}/bronze/{n}", schemas.BRONZE[n]) for n in BUILT_FROM}
+    bronze = {n: read_current(spark, f"{args.root}/bronze/{n}", schemas.BRONZE[n]) for n in BUILT_FROM}
     grain = {"stg_matches_participants": ["match_id", "participant_id"], "stg_matches_teams": ["match_id", "team_id"]}
-    store = Warehouse(spark, bronze, args.root, grain if args.dedupe else None)
+    store = Warehouse(spark, bronze, args.root, grain if args.dedupe else None, args.keep_keys)
     report = store.check().orderBy("passed", "table_name", "column_name")
     report.write.mode("overwrite").parquet(f"{args.root}/checks")
     failed = spark.read.parquet(f"{args.root}/checks").filter(~F.col("passed"))

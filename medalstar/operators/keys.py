@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -76,3 +77,27 @@ def dense_key(df: DataFrame, name: str, order_by: Sequence[str]) -> DataFrame:
     )
     key = (F.col("_before") + F.col("_position") + 1).alias(name)
     return placed.join(F.broadcast(before), "_file").select(key, *df.columns)
+
+
+def _known(members: DataFrame, registry: DataFrame, name: str, order_by: Sequence[str], how: str) -> DataFrame:
+    """``members`` joined to their entries, NULL parts of a key equal to each other."""
+    entries = registry.select(F.col(name).alias("_key"), *[F.col(c).alias(f"_known{i}") for i, c in enumerate(order_by)])
+    match = (members[c].eqNullSafe(entries[f"_known{i}"]) for i, c in enumerate(order_by))
+    return members.join(entries, reduce(Column.__and__, match), how)
+
+
+def grow_registry(registry: DataFrame, members: DataFrame, name: str, order_by: Sequence[str]) -> DataFrame:
+    """The key registry (``name``, ``order_by``) with entries for members it lacks.
+
+    Entries stay for ever, also of members that have gone, so a key is never given twice. New members get the keys
+    behind the largest one, dense and in the order of ``order_by``. Only new members are sorted and numbered.
+    """
+    fresh = _known(members.select(*order_by).distinct(), registry, name, order_by, "left_anti")
+    largest = registry.agg(F.coalesce(F.max(name), F.lit(0))).first()[0]
+    numbered = dense_key(fresh, name, order_by).withColumn(name, F.col(name) + F.lit(largest))
+    return registry.select(name, *order_by).unionByName(numbered)
+
+
+def registered_key(df: DataFrame, registry: DataFrame, name: str, order_by: Sequence[str]) -> DataFrame:
+    """Add the key of every row from a registry that knows them all."""
+    return _known(df, registry, name, order_by, "inner").select(F.col("_key").alias(name), *df.columns)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from medalstar.functions.assets import Assets
 from medalstar.functions.scalars import (
     blank_fallback, blank_to_null, code_lookup, date_key, epoch_ms, flag, patch_major, version_part,
 )
+from medalstar.operators.asof import join_as_of
 from medalstar.operators.joins import broadcast_if_small, join_lookup, join_snapshot
 from medalstar.operators.keys import dense_key, preferred_latest
 from medalstar.operators.shape import unpivot_distinct
@@ -79,10 +82,10 @@ def dim_spell(participants: DataFrame, assets: Assets = Assets()) -> DataFrame:
     )
 
 
-def dim_queue_patch(participants: DataFrame) -> DataFrame:
+def dim_queue_patch(participants: DataFrame, number: Callable = dense_key) -> DataFrame:
     """One row per (queue, mode, version), keyed in the order of queue and version."""
     combos = participants.filter(F.col("queue_id").isNotNull()).select("queue_id", "game_mode", "game_version").distinct()
-    keyed = dense_key(combos, "queue_patch_key", ["queue_id", "game_version", "game_mode"])
+    keyed = number(combos, "queue_patch_key", ["queue_id", "game_version", "game_mode"])
     return keyed.select(
         "queue_patch_key",
         "queue_id",
@@ -108,8 +111,13 @@ def current_players(participants: DataFrame) -> DataFrame:
     return preferred_latest(named, ["puuid"], F.col("_named"), "ingest_ts", ties).drop("_named", "ingest_ts")
 
 
-def dim_player(participants: DataFrame, stg_ladder: DataFrame, assets: Assets = Assets()) -> DataFrame:
-    """One row per player with identity and, where ladder and identity agree on the platform, rank."""
+def dim_player(
+    participants: DataFrame, stg_ladder: DataFrame, assets: Assets = Assets(), number: Callable = dense_key,
+) -> DataFrame:
+    """One row per player with identity and, where ladder and identity agree on the platform, rank.
+
+    ``number`` gives the surrogate keys, anew or from a registry.
+    """
     ranked = join_snapshot(current_players(participants), stg_ladder, "puuid", "platform", {
         "tier": "current_tier",
         "league_points": "current_lp",
@@ -117,7 +125,7 @@ def dim_player(participants: DataFrame, stg_ladder: DataFrame, assets: Assets =
         "losses": "current_losses",
         "winrate": "current_winrate",
     })
-    return dense_key(ranked, "player_key", ["puuid"]).withColumn(
+    return number(ranked, "player_key", ["puuid"]).withColumn(
         "rank_emblem_url", assets.rank_emblem(F.col("current_tier"))
     )
 
@@ -172,6 +180,18 @@ FACT_COLUMNS = [
 ]
 
 
+def rank_at_match(participants: DataFrame, rank_history: DataFrame) -> DataFrame:
+    """Participants with the rank that their player held on their platform when the match started.
+
+    ``rank_history`` has puuid, platform, tier, league_points and since (a timestamp). ``rank_tier_at_match`` of the fact
+    is the latest rank known, whenever that was; this is the one at the time.
+    """
+    timed = participants.withColumn("_started", epoch_ms("game_start_timestamp"))
+    ranked = join_as_of(timed, rank_history, ["puuid", "platform"], "_started", "since", {
+        "tier": "rank_tier_then", "league_points": "rank_lp_then", "since": "rank_since"}, ["tier", "league_points"])
+    return ranked.drop("_started")
+
+
 def _player_lookup(dim_player: DataFrame, stg_ladder: DataFrame) -> DataFrame:
     """Surrogate key and ladder row per player, for one join instead of two on the same key."""
     keys = dim_player.select("puuid", "player_key")

@@ -13,7 +13,8 @@ from medalstar.operators.joins import broadcast_if_small
 from medalstar.operators.shape import union_all
 from medalstar.plans import bronze
 from medalstar.sources import documents
-from medalstar.sources.tables import replace_files, scan
+from medalstar.sources.tables import replace_files
+from medalstar.sources.versions import read_current
 
 
 def _store(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
@@ -85,5 +86,5 @@ def ingest_ladder(
 
 def rejected_ladder(spark: SparkSession, root: str) -> DataFrame:
     """(file_path, tier, reason, value) of the documents and entries the last ``ingest_ladder`` left out."""
-    return scan(spark, f"{root}/staging/rejected_ladder", StructType.fromDDL(
+    return read_current(spark, f"{root}/staging/rejected_ladder", StructType.fromDDL(
         "file_path string, tier string, reason string, value string"))

@@ -7,14 +7,18 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import LongType, StructField, StructType
 
 from medalstar.operators import quality
+from medalstar.operators.keys import grow_registry, registered_key
 from medalstar.plans import gold, silver
 from medalstar.plans.suites import SUITES
-from medalstar.session import scratch
+from medalstar.session import new_shared_folder, scratch
 from medalstar.sources.tables import replace_files, write_months
+from medalstar.sources.versions import current_version, has_version, read_current
 
 FACT = "fct_participant_match"
+NUMBERED = {"dim_player", "dim_queue_patch"}  # dimensions with surrogate keys
 
 # table -> (inputs in argument order, function)
 MODELS: dict[str, tuple[tuple[str, ...], Callable[..., DataFrame]]] = {
@@ -42,16 +46,22 @@ class Warehouse:
 
     def __init__(
         self, spark: SparkSession, bronze: Mapping[str, DataFrame], root: str,
-        dedupe_keys: Mapping[str, Sequence[str]] | None = None,
+        dedupe_keys: Mapping[str, Sequence[str]] | None = None, keep_keys: bool = False,
     ):
-        """``dedupe_keys``: the grain to keep the newest row of, for silver tables with repeated ingests."""
+        """``dedupe_keys``: the grain to keep the newest row of, for silver tables with repeated ingests.
+
+        ``keep_keys``: members of an earlier build below ``root`` keep their surrogate keys, so that facts stored with
+        them stay right; otherwise every build numbers its members anew.
+        """
         self.spark = spark
         self.root = root.rstrip("/")
         self._bronze = bronze
         self._dedupe = dict(dedupe_keys or {})
+        self._keep_keys = keep_keys
         self._stored: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
+        """The folder of a table's versions."""
         layer = "silver" if name.startswith("stg_") else "gold"
         return f"{self.root}/{layer}/{name}"
 
@@ -61,12 +71,25 @@ class Warehouse:
         if name not in self._stored:
             inputs, model = MODELS[name]
             options = {"dedupe_keys": self._dedupe[name]} if name in self._dedupe else {}
+            if self._keep_keys and name in NUMBERED:
+                options["number"] = self._number
             read = [self.table(i) for i in inputs]
             with scratch(self.spark):
                 df = model(*read, **options)
                 self._stored[name] = replace_files(df, self.path(name), *([write_months] if name == FACT else []))
         return self._stored[name]
 
+    def _number(self, df: DataFrame, name: str, order_by: Sequence[str]) -> DataFrame:
+        """Keys from the registry stored below ``root``, which first grows by the members it lacks."""
+        folder, stored = f"{self.root}/keys/{name}", new_shared_folder(self.spark, "members")
+        df.write.parquet(stored)
+        members = self.spark.read.schema(df.schema).parquet(stored)
+        schema = StructType([StructField(name, LongType()), *[df.schema[c] for c in order_by]])
+        known = has_version(self.spark, folder)
+        registry = read_current(self.spark, folder, schema) if known else self.spark.createDataFrame([], schema)
+        grown = replace_files(grow_registry(registry, members, name, order_by), folder)
+        return registered_key(members, grown, name, order_by)
+
     def build(self) -> dict[str, DataFrame]:
         """All ten tables, layer by layer; the tables of a layer are independent jobs run side by side."""
         with ThreadPoolExecutor(max_workers=6) as pool:
@@ -83,7 +106,7 @@ class Warehouse:
         for name in self.build():
             table = f"{silver_db if name.startswith('stg_') else gold_db}.{name}"
             self.spark.sql(f"DROP TABLE IF EXISTS {table}")
-            self.spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{self.path(name)}'")
+            self.spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{current_version(self.spark, self.path(name))}'")
             if name == FACT:
                 self.spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
 

@@ -109,6 +109,7 @@ LADDER = _struct({
     "platform": TEXT, "puuid": TEXT, "tier": TEXT, "rank": TEXT,
     "league_points": LONG, "wins": LONG, "losses": LONG, "ingest_ts": TEXT,
 })
+RANK_HISTORY = _struct({"puuid": TEXT, "platform": TEXT, "tier": TEXT, "league_points": LONG, "recorded_ms": LONG})
 MATCH_IDS = _struct({
     "match_id": TEXT, "puuid": TEXT, "platform": TEXT, "region": TEXT, "queue_id": LONG, "ingest_ts": TEXT,
 })

@@ -194,6 +194,18 @@ MATCH_ID_VALUES = {
 }
 
 
+# Past ranks: one per order, some of one player at one moment, some of nobody.
+RANK_HISTORY_VALUES = {
+    "puuid": "CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE concat('P_', CAST("
+             "(o_custkey * 7 + (o_orderkey % 5) * 13) % (SELECT count(*) FROM {customer}) AS STRING)) END",
+    "platform": "CASE WHEN o_orderkey % 13 = 0 THEN 'OC1' ELSE 'VN2' END",
+    "tier": "CASE WHEN o_totalprice >= 300000 THEN 'CHALLENGER' WHEN o_totalprice >= 150000 THEN 'GRANDMASTER' "
+            "WHEN o_orderkey % 31 = 0 THEN NULL ELSE 'MASTER' END",
+    "league_points": "CAST(floor(o_totalprice) AS BIGINT) % 1000",
+    "recorded_ms": "CASE WHEN o_orderkey % 89 = 0 THEN NULL ELSE @order_ms@ + (o_orderkey % 3) * 43200000 END",
+}
+
+
 def _select(values: dict[str, str], schema) -> str:
     """The select list, each column cast to its bronze type."""
     return ", ".join(f"CAST({values[f.name]} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema.fields)
@@ -213,6 +225,7 @@ SQL = {
     "match_ids":
         f"SELECT {_select(MATCH_ID_VALUES, schemas.MATCH_IDS)}, "
         "l_orderkey, l_linenumber, l_partkey, l_suppkey FROM {lineitem}",
+    "rank_history": f"SELECT {_select(RANK_HISTORY_VALUES, schemas.RANK_HISTORY)} FROM {{orders}}",
 }
 # Columns that order the match_ids rows by arrival; rows equal in all of them are equal throughout.
 ARRIVAL = ["ingest_ts", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]

@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medalstar.functions.scalars import month_key
+from medalstar.operators.keys import top_n_per_key
+from medalstar.session import new_shared_folder, remove_folder
+from medalstar.sources.versions import new_version, release_versions, write_files, write_version
 
 MONTH = "game_month"
 LOAD_STATUS = "table_name string, row_count bigint, error string"
@@ -30,35 +34,65 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return total
 
 
-def replace_table(df: DataFrame, table: str, bucket_by: Sequence[str] = (), buckets: int = 0) -> None:
-    """Create or fully replace a managed Parquet table, optionally bucketed for co-located joins."""
-    writer = df.write.mode("overwrite").format("parquet")
-    if bucket_by:
-        # One writing task per bucket, so each bucket is one file.
-        writer = df.repartition(buckets, *bucket_by).write.mode("overwrite").format("parquet")
-        writer = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
-    writer.saveAsTable(table)
+def _storage(spark: SparkSession, table: str) -> tuple:
+    """Schema and bucketing of a stored table."""
+    buckets = spark._jsparkSession.sessionState().catalog().getTableMetadata(
+        spark._jsparkSession.sessionState().sqlParser().parseTableIdentifier(table)).bucketSpec().toString()
+    return spark.table(table).schema, buckets
+
 
+def versions_folder(spark: SparkSession, table: str) -> str:
+    """Where the versions of a table that ``replace_table`` writes are."""
+    database, _, name = table.rpartition(".")
+    home = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
+    return f"{home.rstrip('/')}/{name}.versions"
 
-def replace_files(df: DataFrame, path: str, write=lambda df, path: df.write.parquet(path)) -> DataFrame:
-    """Replace the Parquet folder at ``path`` once all of ``df`` is written: a failed write leaves the old rows.
 
-    The rows go to a folder beside it, which then takes its name.
+def replace_table(
+    df: DataFrame, table: str, bucket_by: Sequence[str] = (), buckets: int = 0, keep: int = 2, in_place: bool = False,
+) -> None:
+    """Create or fully replace a Parquet table, optionally bucketed for co-located joins.
+
+    ``in_place`` tells that a task's rows belong to few buckets already, so they are not shuffled for the write.
+
+    The rows are written as a new version; then the table's location is switched to it in one step of the catalog. A
+    failed write leaves the table as it is, and whoever reads during the switch sees the old rows or the new ones,
+    all of them. ``keep`` versions stay for such readers. Only where columns or bucketing change is the entry of the
+    catalog exchanged, by two steps without any data; files are never renamed.
     """
-    spark, fresh, old = df.sparkSession, f"{path}.new-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
-    place = spark._jvm.org.apache.hadoop.fs.Path
-    files = place(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    spark = df.sparkSession
+    folder, fresh = versions_folder(spark, table), f"{table}__{uuid.uuid4().hex}"
+    path = new_version(spark, folder)
+    writer = df.write.format("parquet")
+    if bucket_by:
+        # One writing task per bucket, so each bucket is one file.
+        writer = (df if in_place else df.repartition(buckets, *bucket_by)).write.format("parquet")
+        writer = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
     try:
-        write(df, fresh)
+        writer.option("path", path).saveAsTable(fresh)
     except Exception:
-        files.delete(place(fresh), True)
+        spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+        remove_folder(spark, path)
         raise
-    if files.exists(place(path)):
-        files.rename(place(path), place(old))
-    if not files.rename(place(fresh), place(path)):
-        raise OSError(f"cannot move {fresh} to {path}; the old rows are in {old}")
-    files.delete(place(old), True)
-    return scan(spark, path, df.schema)
+    if spark.catalog.tableExists(table) and _storage(spark, table) == _storage(spark, fresh):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+        spark.sql(f"DROP TABLE {fresh}")
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+    spark.catalog.refreshTable(table)
+    release_versions(spark, folder, keep)
+
+
+def replace_files(df: DataFrame, path: str, write: Callable[[DataFrame, str], None] = write_files, keep: int = 2) -> DataFrame:
+    """Replace the table stored in versions below ``path``: a failed write leaves the old rows, see ``versions``.
+
+    ``keep`` versions stay, so that readers of the last one can finish. Returns the new rows.
+    """
+    spark = df.sparkSession
+    fresh = write_version(df, path, write)
+    release_versions(spark, path, keep)
+    return scan(spark, fresh, df.schema)
 
 
 def append_rows(df: DataFrame, table: str) -> None:
@@ -123,6 +157,70 @@ def write_months(df: DataFrame, path: str, keep_other_months: bool = False) -> N
     df.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(MONTH).parquet(path)
 
 
+def upsert_months(
+    changes: DataFrame, path: str, keys: Sequence[str], ts: Column | str, newest: Sequence[Column], moves: bool = False,
+) -> list[str | None]:
+    """Merge an ingest into a folder partitioned by month; returns the months that were rewritten.
+
+    Of rows with one key the first in the order of ``newest`` counts. A stored row with the key is replaced if any of its
+    other columns differs, told by 128 bits of hash; rows that are stored as they are change nothing. Only
+    months with changed rows are rewritten, so an ingest that comes twice rewrites none, and other months keep their files.
+    Months the ingest does not touch are not read, unless ``moves`` says that the month of a stored key may change: then
+    their keys are, and nothing else. Keys and months may be NULL. A month is exchanged when its new rows are
+    written in full.
+    """
+    spark = changes.sparkSession
+    incoming, staged = new_shared_folder(spark, "incoming"), new_shared_folder(spark, "changed")
+    one = top_n_per_key(changes.withColumn(MONTH, month_key(ts)), keys, newest)
+    one.write.parquet(incoming)
+    news = scan(spark, incoming, one.schema)
+    stored = scan(spark, path, one.schema) if _is_folder(spark, path) else spark.createDataFrame([], one.schema)
+    data = [c for c in one.columns if c not in (*keys, MONTH)]
+    digest = [F.xxhash64(F.lit(seed), *data, *[F.col(c).isNull() for c in data]).alias(f"_h{seed}") for seed in (1, 2)]
+    known = stored.filter(_in_months(_months(news))).select(*keys, F.col(MONTH).alias("_month"), *digest)
+    if moves:
+        elsewhere = stored.filter(~F.coalesce(_in_months(_months(news)), F.lit(False)))
+        known = known.unionByName(elsewhere.select(*keys, F.col(MONTH).alias("_month")), allowMissingColumns=True)
+    known = known.withColumn("_stored", F.lit(True))
+    given = news.select("*", *[h.alias(f"_n{i}") for i, h in enumerate(digest, 1)])
+    joined = given.join(known.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)], "_month", "_h1", "_h2", "_stored"),
+                        reduce(Column.__and__, (given[c].eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(keys))), "left")
+    equal = F.col("_stored").isNotNull() & F.col("_month").eqNullSafe(F.col(MONTH)) & F.col("_h1").eqNullSafe(
+        F.col("_n1")) & F.col("_h2").eqNullSafe(F.col("_n2"))
+    joined.filter(~equal).select(*one.columns, "_month", "_stored").write.parquet(staged)
+    changed = spark.read.parquet(staged)
+    left = changed.filter("_stored").select(F.col("_month").alias(MONTH))
+    touched = _months(changed.select(MONTH).unionByName(left))
+    rows = changed.select(one.columns)
+    if touched:
+        gone = rows.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)])
+        kept = stored.filter(_in_months(touched))
+        kept = kept.join(gone, reduce(Column.__and__, (kept[c].eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(keys))), "left_anti")
+        # A month that loses its last row gets no new files to take the place of the old ones.
+        emptied = set(touched) - set(_months(rows)) - set(_months(kept)) if moves else set()
+        write_months(kept.unionByName(rows).hint("rebalance", MONTH).sortWithinPartitions(MONTH), path, keep_other_months=True)
+        for month in emptied:
+            remove_folder(spark, f"{path}/{MONTH}={'__HIVE_DEFAULT_PARTITION__' if month is None else month}")
+    for folder in (incoming, staged):
+        remove_folder(spark, folder)
+    return sorted(touched, key=lambda m: (m is None, m or ""))
+
+
+def _months(df: DataFrame) -> list[str | None]:
+    return [r[0] for r in df.select(MONTH).distinct().collect()]
+
+
+def _in_months(months: Sequence[str | None]) -> Column:
+    """A filter that prunes partitions."""
+    named = F.col(MONTH).isin([m for m in months if m is not None])
+    return named | F.col(MONTH).isNull() if None in months else named
+
+
+def _is_folder(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(place)
+
+
 def read_period(df: DataFrame, ts: str, start: str, end: str) -> DataFrame:
     """Rows with start <= ts < end of a month-partitioned table.
 
