@@ -470,6 +470,13 @@ STATEMENTS = {
                make_timestamp(h.recorded_ms * 1000) AS rank_since
         FROM stg_matches_participants p ASOF LEFT JOIN rank_held h
             ON p.puuid = h.puuid AND p.platform = h.platform AND p.game_start_timestamp >= h.recorded_ms""",
+    "join_hot_keys": """
+        SELECT l.*, o.o_orderkey, o.o_custkey FROM (
+            SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+                   CASE WHEN l_suppkey % 3 = 0 THEN 7 WHEN l_partkey % 90 <> 1 THEN l_orderkey END AS key FROM lineitem) l
+        LEFT JOIN (
+            SELECT CASE WHEN o_orderkey <= 12 THEN 7 ELSE o_orderkey END AS key, o_orderkey, o_custkey
+            FROM orders WHERE o_orderkey % 10 <> 5) o ON l.key = o.key""",
     "join_team_stats": """
         SELECT p.match_id, p.team_id, p.participant_id, t.dragon_kills, t.tower_kills, t.first_blood
         FROM stg_matches_participants p
@@ -625,5 +632,7 @@ STATEMENTS = {
 STATEMENTS["date_dim"] = CTES["dim_date"].replace(
     "make_timestamp(game_start_timestamp * 1000)", "l_shipdate"
 ).replace("FROM stg_matches_participants WHERE game_start_timestamp IS NOT NULL", "FROM lineitem")
+for _name in ("champion_winrate_by_patch", "player_performance", "side_winrate", "objective_impact", "role_analysis"):
+    STATEMENTS[f"{_name}_partials"] = STATEMENTS[_name]
 
 ORACLE = {name: " ".join(complete(sql).split()) for name, sql in STATEMENTS.items()}

@@ -81,10 +81,25 @@ def ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.stg_ladder(samples.bronze(spark, sf_dir, "ladder"))
 
 
+_parsed: dict[tuple[str, str, bool], DataFrame] = {}
+
+
+def parsed_matches(spark: SparkSession, sf_dir: str, damaged: bool = False) -> DataFrame:
+    """Match documents parsed and judged, as an ingest stages them: once per application, read by column after that."""
+    where = (spark.sparkContext.applicationId, sf_dir, damaged)
+    if where not in _parsed:
+        texts = (samples.damaged_match_documents if damaged else samples.match_documents)(spark, sf_dir)
+        judged = documents.match_rejection(documents.parse_documents(texts, "value", schemas.MATCH_DOCUMENT))
+        judged = judged.select("doc_id", "metadata", "info", "reason")
+        path = new_shared_folder(spark, "parsed_matches")
+        judged.write.parquet(path)
+        _parsed[where] = spark.read.schema(judged.schema).parquet(path)
+    return _parsed[where]
+
+
 def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Accepted match documents, parsed."""
-    parsed = documents.parse_documents(samples.match_documents(spark, sf_dir), "value", schemas.MATCH_DOCUMENT)
-    return documents.accepted_matches(parsed)
+    """Accepted match documents."""
+    return parsed_matches(spark, sf_dir).filter(F.col("reason").isNull()).select("metadata", "info")
 
 
 # ---- scans and sinks ----
@@ -238,9 +253,7 @@ def code_label(spark, sf_dir):
 
 @query
 def reject_malformed(spark, sf_dir):
-    damaged = samples.damaged_match_documents(spark, sf_dir)
-    parsed = documents.parse_documents(damaged, "value", schemas.MATCH_DOCUMENT)
-    return documents.quarantined_matches(parsed).select("doc_id", "reason")
+    return parsed_matches(spark, sf_dir, damaged=True).filter(F.col("reason").isNotNull()).select("doc_id", "reason")
 
 
 @query

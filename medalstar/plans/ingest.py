@@ -84,6 +84,34 @@ def ingest_ladder(
     return _store(spark, rows, f"{root}/bronze/ladder")
 
 
+def ingest_match_ids(
+    spark: SparkSession, path: str, root: str, platform: str, region: str, queue_id: int, ingest_ts: str,
+    per_player: int | None,
+) -> DataFrame:
+    """The matches to fetch, from a folder of players' match lists: a JSON line ``{"puuid", "ids"}`` per player.
+
+    A match on several lists stays with the first of them, in the order of files and of lines in a file. Lines without player
+    or list are kept aside with their reason, see ``rejected_lists``.
+    """
+    landed = documents.read_text_documents(spark, path).select(
+        "value", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"))
+    parsed = _store(spark, documents.parse_documents(landed, "value", schemas.MATCH_LIST), f"{root}/staging/match_lists")
+    usable = F.col("puuid").isNotNull() & F.col("ids").isNotNull()
+    _store(spark, parsed.filter(~usable).select(
+        "file_path", F.when(F.col("_corrupt").isNotNull(), "unreadable").otherwise("player or list missing").alias("reason"),
+        "value"), f"{root}/staging/rejected_lists")
+    lists = parsed.filter(usable).withColumn("arrival", F.struct("file_path", "block", "line"))
+    return _store(spark, bronze.match_ids(lists, "arrival", platform, region, queue_id, ingest_ts, per_player),
+                  f"{root}/bronze/match_ids")
+
+
+def rejected_lists(spark: SparkSession, root: str) -> DataFrame:
+    """(file_path, reason, value) of the lines the last ``ingest_match_ids`` left out."""
+    return read_current(spark, f"{root}/staging/rejected_lists", StructType.fromDDL(
+        "file_path string, reason string, value string"))
+
+
 def rejected_ladder(spark: SparkSession, root: str) -> DataFrame:
     """(file_path, tier, reason, value) of the documents and entries the last ``ingest_ladder`` left out."""
     return read_current(spark, f"{root}/staging/rejected_ladder", StructType.fromDDL(

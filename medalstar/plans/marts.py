@@ -45,22 +45,22 @@ def player_performance(fact: DataFrame) -> DataFrame:
     )
 
 
-def _team_results(fact: DataFrame, *columns: str) -> DataFrame:
+def team_results(fact: DataFrame, *columns: str) -> DataFrame:
     """The fact reduced to one row per team of a match; a value that some of its rows lack comes from the others."""
     return fact.groupBy("match_id", "team_id").agg(*[F.max(c).alias(c) for c in ("side", "win", *columns)])
 
 
 def side_winrate(fact: DataFrame) -> DataFrame:
     """Win rate per map side, counting each team of a match once."""
-    return _team_results(fact).groupBy("side").agg(*_wins())
+    return team_results(fact).groupBy("side").agg(*_wins())
 
 
 def _kill_bucket(kills: Column) -> Column:
     return F.when(kills == 0, "0").when(kills <= 2, "1-2").when(kills > 2, "3+")
 
 
-def objective_impact(fact: DataFrame) -> DataFrame:
-    """Win rate by who took the first objective and by objective count, at team grain, in one pass."""
+def team_objectives(fact: DataFrame, *columns: str) -> DataFrame:
+    """(objective, bucket, win) of every team of a match, and ``columns``."""
     firsts = ["team_first_blood", "team_first_dragon", "team_first_baron"]
     kills = ["team_dragon_kills", "team_baron_kills"]
     bucket = {
@@ -68,11 +68,13 @@ def objective_impact(fact: DataFrame) -> DataFrame:
         **{name: _kill_bucket(F.col(name)) for name in kills},
     }
     pairs = F.array(*[F.struct(F.lit(n).alias("objective"), b.alias("bucket")) for n, b in bucket.items()])
-    teams = _team_results(fact, *firsts, *kills)
-    return (
-        teams.select("win", F.inline(pairs)).filter(F.col("bucket").isNotNull())
-        .groupBy("objective", "bucket").agg(*_wins())
-    )
+    teams = team_results(fact, *firsts, *kills, *columns)
+    return teams.select("win", *columns, F.inline(pairs)).filter(F.col("bucket").isNotNull())
+
+
+def objective_impact(fact: DataFrame) -> DataFrame:
+    """Win rate by who took the first objective and by objective count, at team grain, in one pass."""
+    return team_objectives(fact).groupBy("objective", "bucket").agg(*_wins())
 
 
 def role_analysis(fact: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from medalstar.operators import quality
 from medalstar.operators.keys import grow_registry, registered_key
-from medalstar.plans import gold, silver
+from medalstar.plans import gold, partials, silver
 from medalstar.plans.suites import SUITES
 from medalstar.session import new_shared_folder, scratch
 from medalstar.sources.tables import replace_files, write_months
@@ -110,6 +110,14 @@ class Warehouse:
             if name == FACT:
                 self.spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
 
+    def refresh_marts(self, months: Sequence[str | None] | None = None) -> None:
+        """Store the monthly partials of the business questions, of these months of the fact only if they are given."""
+        partials.refresh(self.table(FACT), f"{self.root}/gold", months)
+
+    def mart(self, name: str) -> DataFrame:
+        """A business question from its stored partials."""
+        return partials.combine(name, partials.stored(self.spark, f"{self.root}/gold", name), self.table("dim_queue_patch"))
+
     def check(self) -> DataFrame:
         """The report of all declared checks."""
         return quality.report(self.build(), SUITES)

@@ -105,6 +105,8 @@ LADDER_DOCUMENT = _struct({
     })),
 })
 
+MATCH_LIST = _struct({"puuid": TEXT, "ids": T.ArrayType(TEXT)})
+
 LADDER = _struct({
     "platform": TEXT, "puuid": TEXT, "tier": TEXT, "rank": TEXT,
     "league_points": LONG, "wins": LONG, "losses": LONG, "ingest_ts": TEXT,

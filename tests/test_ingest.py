@@ -1,15 +1,18 @@
 import json
 import os
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
+from medalstar import schemas
 from medalstar.jobs import run
+from medalstar.plans import marts
 from medalstar.plans.bronze import flatten_ladder
-from medalstar.plans.ingest import ingest_ladder, ingest_matches, rejected_ladder
-from medalstar.sources.tables import replace_files
-from medalstar.sources.versions import current_version
+from medalstar.plans.ingest import ingest_ladder, ingest_matches, rejected_ladder, rejected_lists
 from medalstar.plans.warehouse import FACT, Warehouse
+from medalstar.sources.tables import replace_files
+from medalstar.sources.versions import current_version, read_current
 from tests.support import rows_of
 from tests.test_documents import match, participant
 
@@ -140,3 +143,42 @@ def test_dedupe_keys_reach_the_silver_tables(spark, landed):
     twice = bronze["matches_teams"].unionByName(bronze["matches_teams"])
     store = Warehouse(spark, {**bronze, "matches_teams": twice}, f"{landed}/lake", {"stg_matches_teams": ["match_id", "team_id"]})
     assert store.table("stg_matches_teams").count() == bronze["matches_teams"].count()
+
+
+def test_match_lists_reach_bronze(spark, landed, capsys):
+    os.mkdir(f"{landed}/lists")
+    land(f"{landed}/lists", "a.json", {"puuid": "p1", "ids": ["m1", "m2", "m3"]}, {"puuid": "p2", "ids": ["m2", "m4"]}, "{broken", {"ids": ["m9"]})
+    land(f"{landed}/lists", "b.json", {"puuid": "p0", "ids": ["m4", "m1", "m5"]}, {"puuid": "p3", "ids": []}, {"puuid": "p4", "ids": None})
+    ingest = ["ingest", "--matches", f"{landed}/matches", "--ladder", f"MASTER={landed}/MASTER", "--platform", "vn2", "--stamp", STAMP,
+              "--root", f"{landed}/out", "--top", "all", "--match-lists", f"{landed}/lists", "--region", "sea", "--per-player", "2"]
+    assert run(spark, ingest) == 2
+    stored = read_current(spark, f"{landed}/out/bronze/match_ids", schemas.MATCH_IDS)
+    assert rows_of(stored, "match_id", "puuid") == [("m1", "p1"), ("m2", "p1"), ("m4", "p2")]
+    assert rows_of(stored, "platform", "region", "queue_id", "ingest_ts")[0] == ("vn2", "sea", 420, STAMP)
+    assert rows_of(rejected_lists(spark, f"{landed}/out"), "reason") == [("player or list missing",)] * 2 + [("unreadable",)]
+    assert "rejected from match lists: 1 unreadable" in capsys.readouterr().out
+
+
+def test_build_loads_bronze_and_tells_what_failed(spark, landed, capsys):
+    ingest = ["ingest", "--matches", f"{landed}/matches", "--ladder", f"CHALLENGER={landed}/CHALLENGER", "--ladder", f"MASTER={landed}/MASTER",
+              "--platform", "vn2", "--stamp", STAMP, "--root", f"{landed}/out", "--top", "all"]
+    run(spark, ingest)
+    build = ["build", "--root", f"{landed}/out", "--load", "test_bronze", "--keep-keys"]
+    assert run(spark, build) == 0
+    assert spark.table("test_bronze.matches_participants").count() == 12
+    assert "loaded ladder: 2" in capsys.readouterr().out
+    shutil.rmtree(f"{landed}/out/bronze/ladder")
+    assert run(spark, build) == 3
+    assert "loaded ladder: AnalysisException" in capsys.readouterr().out
+    assert spark.table("test_bronze.ladder").count() == 2  # the table of the load before
+    spark.sql("DROP DATABASE test_bronze CASCADE")
+
+
+def test_marts_of_a_warehouse_come_from_partials(spark, landed):
+    bronze = ingest_matches(spark, f"{landed}/matches", landed, STAMP)
+    bronze["ladder"] = ingest_ladder(spark, {"MASTER": f"{landed}/MASTER"}, landed, "vn2", STAMP, None)
+    store = Warehouse(spark, bronze, f"{landed}/lake")
+    store.refresh_marts()
+    assert rows_of(store.mart("side_winrate")) == rows_of(marts.side_winrate(store.table(FACT)))
+    assert rows_of(store.mart("champion_winrate_by_patch")) == rows_of(
+        marts.champion_winrate_by_patch(store.table(FACT), store.table("dim_queue_patch")))

@@ -1,11 +1,14 @@
 """A third and more of the rows under one key: results stay whole, and the plan splits or pre-reduces."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
-from medalstar.operators import joins, keys, shape, topk
+from medalstar.operators import joins, keys, shape, skew, topk
+from medalstar.operators.skew import hot_keys, join_hot_keys
 from medalstar.plans import gold
-from tests.support import rows_of
+from tests.support import physical_plan, rows_of
 
 ROWS = 60000
 
@@ -131,3 +134,47 @@ def test_players_of_a_hot_puuid(spark, hot):
         F.timestamp_millis(F.col("id")).alias("ingest_ts"),
     )
     assert gold.current_players(rows).count() == hot.select("k").filter("k is not null").distinct().count()
+
+
+# --- salted joins
+
+
+def _sides(spark, hot_left, hot_right):
+    """3000 rows left, 900 right; key 1 is hot as asked, key 2 is missing right, some keys are NULL."""
+    rng = random.Random(5)
+    left = [(1 if hot_left and i % 3 == 0 else 2 if i % 11 == 0 else rng.choice([None, *range(3, 400)]), "x" if i % 2 else None, i) for i in range(3000)]
+    right = [(1 if hot_right and i % 3 == 0 else rng.choice([None, *range(3, 400)]), "x", i) for i in range(900)]
+    if hot_left and not hot_right:
+        right.append((1, "x", 9999))
+    return (spark.createDataFrame(left, "k int, side string, l int").repartition(4),
+            spark.createDataFrame(right, "k int, side string, r int").repartition(3))
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("hot", [(True, False), (False, True), (True, True), (False, False)])
+@pytest.mark.parametrize("keys", [["k"], ["k", "side"]])
+def test_salted_joins_agree_with_plain_ones(spark, how, hot, keys):
+    left, right = _sides(spark, *hot)
+    if keys == ["k"]:
+        right = right.drop("side")
+    got = join_hot_keys(left, right, keys, how, share=0.15, salts=5)
+    plain = left.join(right, keys, how).select(got.columns)
+    # A key that is hot on one side only has few rows on the other; compare counts and checksums of large results.
+    told = [df.groupBy(F.xxhash64(*df.columns).alias("h")).count().agg(F.count("*"), F.sum("count"), F.bit_xor(F.xxhash64("h", "count"))).first() for df in (got, plain)]
+    assert told[0] == told[1] and told[0][1] > 0
+    assert ("_salt" in physical_plan(got) or "_right" in physical_plan(got)) == any(hot)
+
+
+def test_hot_keys_are_found_and_dealt_out(spark):
+    left, right = _sides(spark, True, True)
+    found = hot_keys(left, ["k"], 0.05)
+    assert len(found) == 2 and max(found.values()) >= 1000
+    assert hot_keys(spark.createDataFrame([], "k int"), ["k"], 0.05) == {}
+    assert hot_keys(spark.range(5000), ["id"], 0.01) == {}
+    with pytest.raises(ValueError):
+        hot_keys(left, ["k"], 0.0001)
+    with pytest.raises(ValueError):
+        join_hot_keys(left, right, ["k"], "full")
+    # No part of the hot key holds much more than its share of the salts.
+    dealt = skew._salted(left.filter("k = 1"), "_salt", 8).groupBy("_salt").count().agg(F.count("*"), F.max("count")).first()
+    assert dealt[0] == 8 and dealt[1] < 2 * 1000 / 8
