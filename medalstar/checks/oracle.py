@@ -393,6 +393,16 @@ STATEMENTS = {
     "pruned_scan": "SELECT match_id, participant_id, date_key, strftime(game_start_datetime, '%Y-%m') AS game_month, "
                    "kills FROM fct_participant_match WHERE game_start_datetime >= TIMESTAMP '1996-03-10 00:00:00' "
                    "AND game_start_datetime < TIMESTAMP '1997-02-05 12:00:00'",
+    "footer_profile": "SELECT strftime(game_start_datetime, '%Y-%m') AS game_month, count(*) AS rows, "
+                      "count(*) - count(date_key) AS nulls, min(date_key) AS min_value, max(date_key) AS max_value, "
+                      "TRUE AS known FROM fct_participant_match GROUP BY 1",
+    "pruned_by_dimension": """
+        SELECT match_id, participant_id, date_key, strftime(game_start_datetime, '%Y-%m') AS game_month, kills
+        FROM fct_participant_match WHERE date_key IN (
+            SELECT date_key FROM dim_date WHERE year = 1996 AND quarter = 2 AND is_weekend)""",
+    "clustered_scan": f"""
+        SELECT match_id, participant_id, puuid, champion_id, game_start_timestamp, kills {P}
+        WHERE puuid = 'P_42' OR champion_id = 17""",
     "lookup_values": "SELECT CAST(r.spell_id AS BIGINT) AS spell_id, r.spell_key, r.spell_name, count(*) AS uses FROM stg_matches_participants p "
                      "JOIN spell_reference r ON p.summoner1_id = r.spell_id GROUP BY ALL",
     "json_scan": "SELECT event_id, CAST(regexp_extract(props, '\"k\": *(-?[0-9]+)', 1) AS BIGINT) AS k FROM events",
@@ -516,6 +526,11 @@ STATEMENTS = {
     "participants_per_match": f"SELECT match_id, count(*) AS participants {P} GROUP BY match_id",
     "union_distinct": f"SELECT spell_id FROM ({BOTH_SPELLS}) WHERE spell_id IS NOT NULL",
     "unpivot_distinct": f"SELECT item_id FROM ({ALL_ITEMS}) WHERE item_id IS NOT NULL",
+    "distinct_bitmap": f"SELECT item_id FROM ({ALL_ITEMS}) WHERE item_id IS NOT NULL",
+    "distinct_bitmap_counts": " UNION ALL ".join(
+        f"SELECT '{name}' AS of, strftime(game_start_datetime, '{period}') AS period, count(DISTINCT id) AS ids "
+        f"FROM (SELECT game_start_datetime, unnest([{slots}]) AS id FROM fct_participant_match) GROUP BY 2"
+        for name, slots in (("champion", "champion_id"), ("spell", "spell1_id, spell2_id")) for period in ("%Y-%m", "%Y")),
     "union_all": """
         SELECT puuid, tier, league_points, CAST(NULL AS VARCHAR) AS match_id FROM ladder
         UNION ALL SELECT puuid, NULL, NULL, match_id FROM match_ids""",

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from medalstar.checks.queries import new_database, participants, query, query_as, stored, table
+from medalstar.checks.queries import new_database, participants, query, query_as, stored, table, warehouse
 from medalstar.functions.scalars import epoch_ms
-from medalstar.operators import keys, skew, state
+from medalstar.operators import bitmaps, keys, skew, state
 from medalstar.plans import gold, partials
 from medalstar.plans.warehouse import FACT
 from medalstar.session import new_shared_folder
-from medalstar.sources import samples, tables, versions
+from medalstar.sources import clustering, footers, samples, tables, versions
 
 
 @query
@@ -122,3 +122,54 @@ def join_hot_keys(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 10 != 5)
     rows = orders.select(F.when(F.col("o_orderkey") <= 12, 7).otherwise(F.col("o_orderkey")).alias("key"), "o_orderkey", "o_custkey")
     return skew.join_hot_keys(lines, rows, ["key"], "left")
+
+
+@query
+def footer_profile(spark, sf_dir):
+    """Rows and range of days per month of the stored fact, from the footers of its files."""
+    kind = stored(spark, sf_dir, FACT).schema["date_key"].dataType
+    files = footers.footer_profile(spark, versions.current_version(spark, warehouse(spark, sf_dir).path(FACT)), "date_key", kind)
+    month = F.regexp_extract("file_path", f"{tables.MONTH}=([^/]+)", 1).alias(tables.MONTH)
+    return files.groupBy(month).agg(
+        F.sum("rows").alias("rows"), F.sum("nulls").alias("nulls"), F.min("min_value").alias("min_value"),
+        F.max("max_value").alias("max_value"), F.bool_and("known").alias("known"))
+
+
+@query
+def pruned_by_dimension(spark, sf_dir):
+    """Fact rows of the weekends of one quarter; which months to read follows from the date dimension."""
+    dates = stored(spark, sf_dir, "dim_date").filter("year = 1996 AND quarter = 2 AND is_weekend")
+    fact = tables.read_dates(stored(spark, sf_dir, FACT), dates)
+    return fact.select("match_id", "participant_id", "date_key", "game_month", "kills")
+
+
+@query
+def distinct_bitmap(spark, sf_dir):
+    """The items of all slots, from bitmaps stored per month."""
+    path = new_shared_folder(spark, "bitmaps")
+    fact = stored(spark, sf_dir, FACT)
+    bitmaps.id_bitmaps(fact, gold.ITEM_SLOTS, [tables.MONTH]).write.parquet(path)
+    return bitmaps.ids(spark.read.parquet(path), "item_id")
+
+
+@query
+def distinct_bitmap_counts(spark, sf_dir):
+    """Distinct champions and spells per month, and of quarters from the bitmaps of their months."""
+    fact = stored(spark, sf_dir, FACT)
+    legs = []
+    for name, slots in (("champion", ["champion_id"]), ("spell", ["spell1_id", "spell2_id"])):
+        months = bitmaps.id_bitmaps(fact, slots, [tables.MONTH])
+        year = months.withColumn("period", F.substring(tables.MONTH, 1, 4)).drop(tables.MONTH)
+        for rows in (months.withColumnRenamed(tables.MONTH, "period"), year):
+            legs.append(bitmaps.id_counts(rows, ["period"]).select(F.lit(name).alias("of"), "period", "ids"))
+    return legs[0].unionByName(legs[1]).unionByName(legs[2]).unionByName(legs[3])
+
+
+@query
+def clustered_scan(spark, sf_dir):
+    """One player's and one champion's rows of a table clustered on player, champion and day."""
+    path, rows = new_shared_folder(spark, "clustered"), stored(spark, sf_dir, "stg_matches_participants")
+    narrow = rows.select("match_id", "participant_id", "puuid", "champion_id", "game_start_timestamp", "kills")
+    clustering.cluster_rows(narrow, ["puuid", "champion_id", "game_start_timestamp"], 64).write.parquet(path)
+    found = spark.read.schema(narrow.schema).parquet(path)
+    return found.filter("puuid = 'P_42' OR champion_id = 17")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medalstar.functions.scalars import month_key
+from medalstar.operators.joins import broadcast_if_small
 from medalstar.operators.keys import top_n_per_key
 from medalstar.session import new_shared_folder, remove_folder
 from medalstar.sources.versions import new_version, release_versions, write_files, write_version
@@ -231,6 +232,16 @@ def read_period(df: DataFrame, ts: str, start: str, end: str) -> DataFrame:
     return df.filter(months & (F.col(ts) >= first) & (F.col(ts) < last))
 
 
+def read_dates(df: DataFrame, dates: DataFrame) -> DataFrame:
+    """Rows of a month-partitioned table on the days of a filtered date dimension (``date_key``, ``calendar_date``).
+
+    The months of those days join as well: they are the partition column, so the scan learns at run time, from the
+    dimension, which months to read.
+    """
+    days = dates.select("date_key", month_key(F.col("calendar_date")).alias(MONTH))
+    return df.join(broadcast_if_small(days), ["date_key", MONTH], "left_semi")
+
+
 def partition_profile(df: DataFrame, by: str, value: str) -> DataFrame:
     """Rows and value range per partition."""
     return df.groupBy(by).agg(
