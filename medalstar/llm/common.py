@@ -7,6 +7,7 @@ import re
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -23,6 +24,7 @@ from medalstar.session import new_shared_folder
 
 ROW = "_row"  # struct(file, position): identifies a stored row
 _ROW_TYPE = "struct<file:bigint,position:bigint>"
+HIDING = (ROW, "_metadata")  # columns of a caller's table that stand in the way of the identity
 SPACE = r"[\x20\x09-\x0D]+"  # what separates words in the contracts of the operators
 WORD = r"[^\x20\x09-\x0D]+"
 _WORD_BYTES = np.ones(256, dtype=bool)
@@ -46,10 +48,12 @@ def with_rows(df: DataFrame) -> DataFrame:
     A frame that has a ``_row`` of that type keeps it: who joins results back to their rows takes the identity
     once and hands on the frame that has it. Parquet scans know file and position of a row. A frame that is not
     a scan, filtered and projected at most, is staged first: joins and exploded arrays would repeat positions.
-    Positions stay the same however the files are split, so results do not depend on retries.
+    Positions stay the same however the files are split, so results do not depend on retries. Other columns named
+    ``_row`` or ``_metadata`` would hide what is needed and are left out.
     """
     if ROW in df.columns and df.schema[ROW].dataType.simpleString() == _ROW_TYPE:
         return df
+    df = df.drop(*[c for c in HIDING if c in df.columns])
     position = F.struct(
         F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("position")
     ).alias(ROW)
@@ -93,6 +97,18 @@ def ship(spark: SparkSession) -> None:
 _SHIPPED: set[str] = set()
 
 
+@contextmanager
+def small_batches(spark: SparkSession, most_bytes: int = 8 << 20) -> Iterator[None]:
+    """Arrow batches of bounded bytes for the jobs that run inside: Spark counts rows only, however wide they are."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(most_bytes))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def map_arrow(df: DataFrame, run: Callable, schema: str | T.StructType) -> DataFrame:
     """``mapInArrow`` with this package at hand."""
     ship(df.sparkSession)

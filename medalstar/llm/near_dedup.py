@@ -34,12 +34,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medalstar.llm.bpe import gather
-from medalstar.llm.common import ROW, broadcast_if_few, map_arrow, mixed, shingle_sets, slices, staged, with_rows
+from medalstar.llm.common import (
+    ROW, broadcast_if_few, map_arrow, mixed, shingle_sets, slices, small_batches, staged, with_rows,
+)
 
 ROWS, BANDS = 8, 60
 T = ROWS * BANDS
 PROBES, TARGETS = 256, 2048  # members of a bucket in a block
-PER_SHELF = 2000  # rows of blocks that a group takes at least
+PER_SHELF = 1000  # rows of blocks that a group takes at least
 _EMPTY = np.uint64(2**64 - 1)
 _SEEDS = mixed(np.arange(1, 2 * T + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _SIDE_BYTES = 64  # of a broadcast row of a few numbers, generously
@@ -84,7 +86,7 @@ def _sketched(docs: DataFrame, width: int) -> DataFrame:
     key_type = docs.schema["key"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 2 << 20):
+        for batch in slices(batches, "text", 1 << 20):
             n = batch.num_rows
             owner, shingle = shingle_sets(batch.column("text").to_pylist(), width)
             sizes = np.bincount(owner, minlength=n)
@@ -109,7 +111,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) ->
     """The pairs (a, b) whose full sets are similar enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(slices(batches, "left", 2 << 20), "right", 2 << 20):
+        for batch in slices(slices(batches, "left", 1 << 20), "right", 1 << 20):
             n = batch.num_rows
             sets = [shingle_sets(batch.column(side).to_pylist(), width) for side in ("left", "right")]
             owner, shingle = (np.concatenate(x) for x in zip(*sets))
@@ -241,7 +243,12 @@ def _components(members: DataFrame, texts: DataFrame, width: int, percent: int)
 def deduplicate(
     df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80
 ) -> DataFrame:
-    """(key, n_shingles, component_id, kept, _row) for every row of ``df``."""
+    """(key, n_shingles, component_id, kept, _row) for every row of ``df``; ``kept`` marks one row per component."""
+    with small_batches(df.sparkSession):  # all that runs in Python is staged inside
+        return _deduplicated(df, key, text, width, percent)
+
+
+def _deduplicated(df: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
     rows = with_rows(df)
     docs = rows.select(F.col(key).alias("key"), F.col(text).alias("text"), ROW)
     sketched = staged(_sketched(docs, width), "sketches")
@@ -267,7 +274,8 @@ def deduplicate(
         named = named.withColumn("lowest", F.col("first"))
     else:
         named = staged(named.join(labels, "cid", "left").withColumn("comp", F.coalesce("comp", "cid")), "named")
-        lowest = named.groupBy("comp").agg(F.min("first").alias("lowest"))
+        # Staged, so that both sides of the join are shuffled right below it and a hot component can be split.
+        lowest = staged(named.groupBy("comp").agg(F.min("first").alias("lowest")), "lowest")
         named = named.join(lowest, "comp")
     named = staged(named.select("a", "b", "lowest"), "components")
     own = F.struct("file", "position")

@@ -77,7 +77,8 @@ def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.deduplicate(_table(spark, sf_dir, "documents"), width=2).drop("_row")
+    found = near_dedup.deduplicate(_table(spark, sf_dir, "documents"), width=2)
+    return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
 
 
 def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
