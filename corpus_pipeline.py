@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medalstar.llm import bpe, exact_dedup, mixing, near_dedup, quality
-from medalstar.llm.common import ROW, broadcast_if_few, staged, with_rows
+from medalstar.llm.common import HIDING, ROW, broadcast_if_few, staged, with_rows
 from medalstar.llm.queries import vocabulary_path
 from medalstar.sources.samples import inputs
 
@@ -24,6 +24,16 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return quality.score(docs, model).filter(F.col("score") >= quality.KEEP).select(docs.columns)
 
 
+def _identified(docs: DataFrame) -> tuple[DataFrame, list]:
+    """(``docs`` with the identity of their rows, the columns of ``docs`` in it).
+
+    Columns of the table that bear the identity's names have other names meanwhile.
+    """
+    names = {c: f"_own{i}" if c in HIDING else c for i, c in enumerate(docs.columns)}
+    return with_rows(docs.withColumnsRenamed({c: n for c, n in names.items() if c != n})), [
+        F.col(n).alias(c) for c, n in names.items()]
+
+
 def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """``docs``, which have ``_row``, less the rows named by ``dropped``."""
     dropped = broadcast_if_few(staged(dropped.select(ROW), "dropped"), _ROW_BYTES)
@@ -32,24 +42,24 @@ def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
 
 def exact_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One of each group of equal texts."""
-    rows = with_rows(docs)
-    return _without(rows, exact_dedup.deduplicate(rows).filter(~F.col("kept"))).select(docs.columns)
+    rows, columns = _identified(docs)
+    return _without(rows, exact_dedup.deduplicate(rows).filter(~F.col("kept"))).select(columns)
 
 
 def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One of each group of near copies: five words a shingle, similarity of 0.8 or more."""
-    rows = with_rows(docs)
-    return _without(rows, near_dedup.deduplicate(rows).filter(~F.col("kept"))).select(docs.columns)
+    rows, columns = _identified(docs)
+    return _without(rows, near_dedup.deduplicate(rows).filter(~F.col("kept"))).select(columns)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix enters it: not at all, once, or up to three times."""
-    rows = with_rows(docs)
+    rows, columns = _identified(docs)
     parts, _, _ = mixing.mix(rows)
     times = parts.groupBy(ROW).agg(F.countDistinct("epoch").alias("_times"))
     times = broadcast_if_few(staged(times, "times"), _ROW_BYTES)
     return rows.join(times, ROW).withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_times")))).select(docs.columns)
+        "_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_times")))).select(columns)
 
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
