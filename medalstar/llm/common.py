@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import re
 import tempfile
@@ -147,6 +148,14 @@ def empty_like(schema: str, spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Python workers are kept for later tasks, of other stages too."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # absent outside glibc
+    if trim is not None:
+        trim(0)
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Zero-copy pieces of the batches whose ``column`` holds at most ``most_bytes``, or one row."""
     for batch in batches:

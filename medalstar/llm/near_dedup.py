@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from medalstar.llm.bpe import gather
 from medalstar.llm.common import (
-    ROW, broadcast_if_few, map_arrow, mixed, shingle_sets, slices, small_batches, staged, with_rows,
+    ROW, broadcast_if_few, give_back, map_arrow, mixed, shingle_sets, slices, small_batches, staged, with_rows,
 )
 
 ROWS, BANDS = 8, 60
@@ -101,6 +101,7 @@ def _sketched(docs: DataFrame, width: int) -> DataFrame:
                  pa.ListArray.from_arrays(pa.array(offsets, pa.int32()),
                                           pa.array(keys[sizes > 0].reshape(-1).view(np.int64)))],
                 names=["key", "file", "position", "n", "a", "b", "bands"])
+        give_back()
 
     picked = docs.select("key", F.col(f"{ROW}.file").alias("file"), F.col(f"{ROW}.position").alias("position"), "text")
     return map_arrow(
@@ -121,6 +122,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) ->
             union = np.bincount(owner, minlength=n) - both
             linked = pa.array((100 * both >= percent * union) & (union > 0))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(linked)
+        give_back()
 
     both = pairs.join(texts.select(F.col("cid").alias("b"), F.col("text").alias("right")), "b").join(
         texts.select(F.col("cid").alias("a"), F.col("text").alias("left")), "a")
@@ -224,6 +226,8 @@ def _confirmed_in_blocks(blocks: DataFrame, texts: DataFrame, width: int, percen
                 linked = linked[np.unique(comp[linked], return_index=True)[1]]
                 found += [(min(cids[i], c), max(cids[i], c)) for c in cids[linked]]
         a, b = zip(*found) if found else ((), ())
+        del owner, shingle, number, marked, group
+        give_back()
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return rows.join(texts, "cid").groupBy("shelf").applyInArrow(compare, "a bigint, b bigint")
