@@ -10,6 +10,17 @@ ORACLE = {
         SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = min(doc_id) OVER w AS kept, sha256(norm) AS text_sha256
         FROM d WINDOW w AS (PARTITION BY norm)""",
+    "op8_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+        q AS (SELECT page_id, html, sha1(html) AS hex, min(page_id) OVER (PARTITION BY html) AS first FROM p)
+        SELECT page_id, strlen(html) AS payload_bytes,
+               array_to_string(list_transform(range(32), lambda i: substr(
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   ((('0x' || substr(hex, 5 * (i // 4) + 1, 5))::BIGINT >> (5 * (3 - i % 4))) & 31) + 1, 1)), '')
+                   AS payload_digest,
+               CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first THEN first END AS refers_to
+        FROM q""",
     "op10_near_dedup": r"""
         WITH RECURSIVE d AS (
             SELECT doc_id, list_filter(regexp_split_to_array(

@@ -3,13 +3,15 @@
 Writing. Payloads are told by their SHA-256; of equal ones of at least ``least`` bytes the page with the
 smallest id becomes a response record, the others revisit it. A record is one text row; the record
 separator of the format is the line separator of the text writer, so files are committed as any of
-Spark's output and survive lost tasks.
+Spark's output and survive lost tasks. Pages are written by the tasks that scan them; only payloads far longer
+than the mean are dealt out anew, so that no archive file grows with its longest records.
 
 Reading. Every archive file is cut by the records' own lengths, payloads are digested anew, and the
-captures of a task form a run, sorted by URL key, time and record. Boundaries between ranges come from
-a bounded sample of the captures. Every run sends each range its sorted slice, and the range's task
-merges the slices with a loser tree, so the ranges in order are one ordered history of all captures.
-A URL captured very often spreads over ranges by time and record.
+captures of a task form a run, sorted (and spilled, where it is long) by URL key, time and record. Boundaries
+between ranges come from a bounded sample of the captures. Runs are read in batches, each of which sends every
+range its sorted slice, and the range's task merges the slices with a loser tree, so the ranges in order are one
+ordered history of all captures. A URL captured very often spreads over ranges by time and record. A payload
+longer than a file should be has a file of its own; a task holds one file at a time.
 
 A null payload is the empty payload; equal empty payloads revisit each other if ``least`` is 0. A null URL
 has the empty key. Control characters of a URL are percent-encoded in the archive. Rows with a null id
@@ -24,28 +26,29 @@ from __future__ import annotations
 import base64
 import bisect
 import hashlib
+import itertools
 import re
 from collections.abc import Callable, Iterator
 from urllib.parse import urlsplit
 
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medalstar.llm.common import ROW, broadcast_if_few, map_arrow, ship, staged, with_rows
+from medalstar.llm.common import ROW, among_first, broadcast_if_few, map_arrow, ship, small_batches, staged, with_rows
 from medalstar.session import new_shared_folder
 
 # Separator of records, digits of base 32 and the signs that stand for them in digests.
 SEPARATOR = "\r\n\r\n"
 _DIGITS, _SIGNS = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-FILE_BYTES = 16 << 20  # of an archive file, unless one record is larger
+FILE_BYTES = 16 << 20  # that an archive file has on average at most, unless one record is larger
+LONG = 16  # times the mean size beyond which a page is not written where it is read
 RANGE_CAPTURES = 200_000  # captures a range should have
 SAMPLE = 20_000  # captures from which the boundaries of ranges are taken
 CAPTURE = (
     "urlkey string, time string, page_id {id}, url string, record_type string, refers_to {id}, "
-    "payload_bytes bigint, payload_digest string, file string, offset bigint, length bigint, run bigint")
+    "payload_bytes bigint, payload_digest string, file string, offset bigint, length bigint")
 
 
 def base32_sha1(payload: Column) -> Column:
@@ -121,11 +124,18 @@ def write_archives(
     date: str = "2025-01-01T00:00:00Z", time: str | None = None,
 ) -> None:
     """Write one record per page below ``path``, captured at ``time``; at ``date`` without that column or a value."""
-    records = with_revisits(pages, page_id, payload, least, date, time).select(record().alias("value"), "name")
-    size = pages.agg(F.sum(F.octet_length(payload) + 1024)).first()[0] or 0
-    # Dealt out by name, so that files keep to their size and a task tried again sends every record where it went before.
-    dealt = records.repartition(max(1, size // FILE_BYTES), F.xxhash64("name")).drop("name")
-    dealt.write.option("lineSep", SEPARATOR).text(path)
+    records = with_revisits(pages, page_id, payload, least, date, time)
+    bytes_ = F.coalesce(F.octet_length(payload), F.lit(0)) + 1024
+    facts = pages.agg(F.sum(bytes_).alias("all"), F.count("*").alias("n"), F.max(bytes_).alias("most")).first()
+    mean = max(1, (facts["all"] or 0) // max(1, facts["n"]))
+    if (facts["most"] or 0) > LONG * mean:
+        # Dealt out by name: a task tried again sends every record where it went before.
+        long = F.octet_length("payload") + 1024 > LONG * mean
+        held = pages.filter(bytes_ > LONG * mean).agg(F.sum(bytes_)).first()[0]
+        records = records.filter(~long).unionByName(
+            records.filter(long).repartition(max(1, held // FILE_BYTES), F.xxhash64("name")))
+    writer = records.select(record().alias("value")).write
+    writer.option("lineSep", SEPARATOR).option("maxRecordsPerFile", max(1, FILE_BYTES // mean)).text(path)
 
 
 def parse(data: bytes) -> Iterator[tuple[int, int, dict, bytes]]:
@@ -161,14 +171,18 @@ _ENCODED = re.compile(r"%(25|[01][0-9A-F]|7F)")
 
 
 def captures(spark: SparkSession, path: str, id_type: str) -> DataFrame:
-    """One row per record of the archives below ``path``, each task's rows sorted: a run."""
+    """One row per record of the archives below ``path``, the rows of each task sorted: a run."""
     numeric = id_type in ("tinyint", "smallint", "int", "bigint")
     as_id = lambda x: x if x is None or not numeric else int(x)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[tuple] = []
+
+        def packed() -> pa.RecordBatch:
+            arrays = [pa.array(c, f.type) for c, f in zip(zip(*found), schema)]
+            found.clear()
+            return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
-        found, number = [], TaskContext.get().partitionId()
         for batch in batches:
             for path, content in zip(batch.column("path"), batch.column("content")):
                 name = path.as_py().rsplit("/", 1)[-1]
@@ -183,24 +197,20 @@ def captures(spark: SparkSession, path: str, id_type: str) -> DataFrame:
                     url = url and _ENCODED.sub(lambda m: chr(int(m[1], 16)), url)
                     found.append((url_key(url), headers["WARC-Date"], as_id(headers.get("X-Page-Id")), url,
                                   headers["WARC-Type"], as_id(headers.get("X-Refers-To-Page")), size, digest,
-                                  name, offset, length, number))
-        found.sort(key=order_of)
-        for start in range(0, len(found), 10_000):
-            columns = zip(*found[start : start + 10_000])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+                                  name, offset, length))
+                    if len(found) == 10_000:
+                        yield packed()
+        if found:
+            yield packed()
 
     kind = {"bigint": pa.int64(), "int": pa.int32(), "smallint": pa.int16(), "tinyint": pa.int8()}.get(id_type, pa.string())
     schema = pa.schema([
         (n, {"{id}": kind, "string": pa.string(), "bigint": pa.int64()}[t])
         for n, t in (c.split(" ") for c in CAPTURE.split(", "))])
     files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return map_arrow(files, run, CAPTURE.replace("{id}", id_type if numeric else "string"))
-
-
-def order_of(capture: tuple) -> tuple:
-    """Place of a capture in the history: URL key, time, page (null last), file and offset."""
-    return capture[0], capture[1], capture[2] is None, capture[2] or 0, capture[8], capture[9]
+    rows = map_arrow(files, read, CAPTURE.replace("{id}", id_type if numeric else "string"))
+    # Place in the history. Spark compares texts by bytes of UTF-8, which is by code points too.
+    return rows.sortWithinPartitions("urlkey", "time", F.asc_nulls_last("page_id"), "file", "offset")
 
 
 class LoserTree:
@@ -246,40 +256,46 @@ class LoserTree:
 def merged_index(runs: DataFrame) -> DataFrame:
     """All captures with ``range`` and ``place``: ordered by them, they are one sorted history."""
     ship(runs.sparkSession)
-    names = [n for n in runs.columns if n != "run"]
-    at = {n: i for i, n in enumerate(names)}
-
-    def place_of(row: tuple) -> tuple:
-        return order_of(tuple(row[at[n]] for n in names))
-
-    sampled = runs.select(*names).orderBy(F.xxhash64("file", "offset")).limit(SAMPLE).collect()
-    keys = sorted(place_of(tuple(r)) for r in sampled)
-    ranges = max(1, -(-runs.count() // RANGE_CAPTURES), min(8, len(keys)))
+    names = runs.columns
+    keyed = [names.index(c) for c in ("urlkey", "time", "page_id", "file", "offset")]
+
+    def places(columns: list) -> list[tuple]:
+        return [(u, t, p is None, p or 0, f, o) for u, t, p, f, o in zip(*(columns[i].to_pylist() for i in keyed))]
+
+    total = runs.count()
+    spread = F.xxhash64("file", "offset")
+    sampled = runs.filter(among_first(spread, SAMPLE, F.lit(float(total)))).select(
+        "urlkey", "time", "page_id", "file", "offset").orderBy(spread).limit(SAMPLE).collect()
+    keys = sorted((u, t, p is None, p or 0, f, o) for u, t, p, f, o in sampled)
+    ranges = max(1, -(-total // RANGE_CAPTURES), min(8, len(keys)))
     bounds = [keys[i * len(keys) // ranges] for i in range(1, ranges)] if keys else []
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own: dict[int, list[pa.RecordBatch]] = {}
         for batch in batches:
-            for run in pc.unique(batch.column("run")).to_pylist():
-                own.setdefault(run, []).append(batch.filter(pc.equal(batch.column("run"), run)).drop_columns("run"))
-        for parts in own.values():
-            run = pa.Table.from_batches(parts).combine_chunks()
-            places = [place_of(r) for r in zip(*(c.to_pylist() for c in run.columns))]
-            ends = [0, *(bisect.bisect_left(places, b) for b in bounds), len(places)]
-            pieces = [(i, run.slice(a, b - a)) for i, (a, b) in enumerate(zip(ends, ends[1:])) if a < b]
+            own, pieces = places(batch.columns), []
+            # A batch may hold the end of a run and the begin of the next.
+            turns = [0, *(i for i in range(1, len(own)) if own[i] < own[i - 1]), len(own)]
+            for first, last in zip(turns, turns[1:]):
+                ends = [first, *(bisect.bisect_left(own, b, first, last) for b in bounds), last]
+                pieces += [(i, batch.slice(a, b - a)) for i, (a, b) in enumerate(zip(ends, ends[1:])) if a < b]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([i for i, _ in pieces], pa.int32()), pa.array([_packed(x) for _, x in pieces], pa.binary())],
-                names=["range", "slice"])
-
-    def merge(key: tuple, group: pa.Table) -> pa.Table:
-        slices = [pa.ipc.open_stream(x.as_buffer()).read_all() for x in group.column("slice")]
-        rows = [zip(*(c.to_pylist() for c in x.columns)) for x in slices]
-        out = list(LoserTree(rows, place_of))
-        columns = [pa.array(c, f.type) for c, f in zip(zip(*out), slices[0].schema)]
-        return pa.table([*columns, pa.array([key[0].as_py()] * len(out), pa.int32()), pa.array(range(len(out)), pa.int64())],
-                        names=[*names, "range", "place"])
-
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in runs.schema if f.name != "run")
+                [pa.array([i for i, _ in pieces], pa.int32()),
+                 pa.array([_packed(pa.Table.from_batches([x])) for _, x in pieces], pa.binary())], names=["range", "slice"])
+
+    def merge(key: tuple[pa.Scalar, ...], group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slices = [pa.ipc.open_stream(x.as_buffer()).read_all().combine_chunks() for b in group for x in b.column("slice")]
+        heads = [zip(places(x.columns), itertools.repeat(i), itertools.count()) for i, x in enumerate(slices)]
+        merged, begin = iter(LoserTree(heads, lambda head: head[0])), 0
+        held = pa.Table.from_batches([x.to_batches()[0] for x in slices])
+        starts = [0, *itertools.accumulate(x.num_rows for x in slices)]
+        while rows := [starts[i] + j for _, i, j in itertools.islice(merged, 10_000)]:
+            out = held.take(pa.array(rows)).combine_chunks().to_batches()[0]
+            yield pa.RecordBatch.from_arrays(
+                [*out.columns, pa.array([key[0].as_py()] * len(rows), pa.int32()),
+                 pa.array(range(begin, begin + len(rows)), pa.int64())], names=[*names, "range", "place"])
+            begin += len(rows)
+
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in runs.schema)
     return map_arrow(runs, cut, "range int, slice binary").groupBy("range").applyInArrow(
         merge, f"{kinds}, range int, place bigint")
 
@@ -299,4 +315,6 @@ def archive_and_index(
     spark, id_type = pages.sparkSession, pages.schema[page_id].dataType.simpleString()
     path = path or new_shared_folder(spark, "warc")
     write_archives(pages, path, page_id, payload, least, date, time)
-    return merged_index(staged(captures(spark, path, id_type), "runs"))
+    with small_batches(spark):
+        runs = staged(captures(spark, path, id_type), "runs")
+    return merged_index(runs)

@@ -446,6 +446,26 @@ def test_captures_of_a_url_stand_in_order_of_time(spark, monkeypatch):
     assert len({r["file"] for r in got}) > 5
 
 
+def test_payloads_longer_than_a_file_and_runs_longer_than_a_batch(spark, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES", 1 << 18)
+    rows = [(i, f"http://h{i % 7}.org/{i % 50}", "x" * 2_000_000 if i in (5, 900) else f"page {i % 3000}") for i in range(12_000)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").coalesce(1)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    try:
+        got = sorted(warc.archive_and_index(pages).collect(), key=lambda r: (r["range"], r["place"]))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert len({r["file"] for r in got}) > 10
+    assert [r["page_id"] for r in got] == [i for _, i in sorted((warc.url_key(u), i) for i, u, _ in rows)]
+    sizes = {i: len(t) for i, _, t in rows}
+    first = {}
+    for i, _, t in rows:
+        first.setdefault(t, i)
+    assert all(r["payload_bytes"] == sizes[r["page_id"]] for r in got)
+    assert {r["page_id"]: r["refers_to"] for r in got} == {i: first[t] if first[t] != i else None for i, _, t in rows}
+
+
 def test_loser_tree_merges():
     rng = random.Random(4)
     for k in range(0, 9):
