@@ -10,7 +10,8 @@
   vectors, replicas not counted; lists within a ratio of the reach are searched. A query whose lists may not all
   be among those found looks at all centroids. The ratio is fitted: sampled vectors are searched in the sample by
   brute force, and it is the one at which ``recall`` of their true neighbours lie in lists within it. Long lists
-  are cut into pieces; pieces are dealt out to shelves of bounded size, and a shelf returns its best for each query.
+  are cut into pieces; pieces are dealt out to shelves of bounded size. A task holds one shelf at a time; the queries
+  that ask it stream behind in blocks, each of which returns its best of the shelf.
 * Shortfall. Queries that are still left with fewer than ``k`` results although there are more candidates (ids
   that repeat with many vectors) are compared to all vectors in blocks.
 
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from medalstar.llm.common import map_arrow, ship, staged
+from medalstar.llm.common import among_first, give_back, map_arrow, ship, small_batches, staged
 
 
 _PIECES = 1 << 20  # pieces of a list are numbered below this
@@ -54,6 +55,7 @@ class Index:
     piece: int = 4096  # vectors of a list that stay together
     shelf: int = 65_536  # vectors of a shelf
     shelves: int = 16  # at least
+    asks: int = 256  # queries that are compared to a shelf at a time
     enough: int = 2  # times k + 1 vectors that the lists of a query hold at least
     probes: int = 1024  # queries of a block of the exact search
     targets: int = 16_384  # vectors of such a block
@@ -88,7 +90,7 @@ def balanced_centroids(points: np.ndarray, count: int, seed: int = 1) -> np.ndar
         groups += [group[order[:half]], group[order[half:]]]
     centroids = np.array([points[g].mean(0) for g in done])
     for _ in range(3):  # a few rounds of plain k-means settle the borders
-        nearest = np.concatenate([squared(points[i : i + 4096], centroids).argmin(1) for i in range(0, len(points), 4096)])
+        nearest = np.concatenate([squared(points[i : i + 512], centroids).argmin(1) for i in range(0, len(points), 512)])
         sums = np.zeros_like(centroids)
         np.add.at(sums, nearest, points)
         size = np.bincount(nearest, minlength=len(centroids))
@@ -103,10 +105,10 @@ class Graph:
         self.centroids, n = centroids, len(centroids)
         links = min(links, n - 1)
         near = np.zeros((n, links), dtype=np.int64)
-        for i in range(0, n, 1024):
-            far = squared(centroids[i : i + 1024], centroids)
+        for i in range(0, n, 256):
+            far = squared(centroids[i : i + 256], centroids)
             far[np.arange(len(far)), np.arange(i, i + len(far))] = np.inf
-            near[i : i + 1024] = np.argsort(far, axis=1)[:, :links]
+            near[i : i + 256] = np.argsort(far, axis=1)[:, :links]
         # Links go both ways, and a ring makes sure that every centroid can be reached.
         lists = [[*r] for r in near.tolist()]
         for i, row in enumerate(near.tolist()):
@@ -180,15 +182,21 @@ def fitted_ratio(
     ``held``: vectors of every list, replicas not counted.
     """
     asked = np.linspace(0, len(points) - 1, min(index.fitted, len(points))).astype(np.int64)
-    scores = points[asked] @ points.T
-    scores[np.arange(len(asked)), asked] = -np.inf
-    true = np.argsort(-scores, axis=1, kind="stable")[:, : min(k, len(points) - 1)]
-    far = np.sqrt(squared(lift(points[asked], True), centroids))
-    order = np.argsort(far, axis=1, kind="stable")
-    ratios = far / np.maximum(reach(np.take_along_axis(far, order, 1), held[order], least)[:, None], 1e-12)
-    rows, numbers, _ = lists_of(lift(points[true.ravel()], False), centroids, index)
-    needed = np.full(true.size, np.inf)
-    np.minimum.at(needed, rows, ratios[np.repeat(np.arange(len(asked)), true.shape[1])[rows], numbers])
+    all_needed, all_ratios = [], []
+    for start in range(0, len(asked), 32):
+        some = asked[start : start + 32]
+        scores = points[some] @ points.T
+        scores[np.arange(len(some)), some] = -np.inf
+        true = np.argsort(-scores, axis=1, kind="stable")[:, : min(k, len(points) - 1)]
+        far = np.sqrt(squared(lift(points[some], True), centroids))
+        order = np.argsort(far, axis=1, kind="stable")
+        ratios = far / np.maximum(reach(np.take_along_axis(far, order, 1), held[order], least)[:, None], 1e-12)
+        rows, numbers, _ = lists_of(lift(points[true.ravel()], False), centroids, index)
+        needed = np.full(true.size, np.inf)
+        np.minimum.at(needed, rows, ratios[np.repeat(np.arange(len(some)), true.shape[1])[rows], numbers])
+        all_needed.append(needed)
+        all_ratios.append(ratios)
+    needed, ratios = np.concatenate(all_needed), np.concatenate(all_ratios)
     ratio = max(1.0, float(np.quantile(needed, index.recall))) if needed.size else 1.0
     return ratio, int(np.quantile((ratios <= ratio).sum(axis=1), 0.99))
 
@@ -230,32 +238,39 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-def _best_of_shelf(own: pa.Table, asks: pa.Table, keep: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+class Shelf:
+    """The vectors of some pieces, in the order of the pieces' codes."""
+
+    def __init__(self, parts: list[pa.RecordBatch]):
+        own = pa.Table.from_batches(parts)
+        code, self.vectors = own.column("code").to_numpy(), np.concatenate([_matrix(b.column("v")) for b in parts])
+        order = np.argsort(code, kind="stable")
+        self.code, self.ids, self.vectors = code[order], own.column("class").to_numpy()[order], self.vectors[order]
+        self.number = np.unique(self.ids, return_inverse=True)[1]  # of the class, for telling pairs apart
+
+
+def _best_of_shelf(shelf: Shelf, asks: pa.RecordBatch, keep: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query, class, score): the ``keep`` best of the shelf's pieces for each query that asks them."""
-    own = own.sort_by("code")
-    code, ids = own.column("code").to_numpy(), own.column("class").to_numpy()
-    vectors, questions = _matrix(own.column("v").combine_chunks()), _matrix(asks.column("v").combine_chunks())
-    lists = asks.column("codes").combine_chunks()
+    code, ids, vectors, questions = shelf.code, shelf.ids, shelf.vectors, _matrix(asks.column("v"))
+    lists = asks.column("codes")
     asker = np.repeat(np.arange(asks.num_rows), np.diff(lists.offsets.to_numpy()))
     wanted = lists.flatten().to_numpy()
     order = np.argsort(wanted, kind="stable")
     asker, wanted = asker[order], wanted[order]
     rows, places = [], []
-    for piece in np.unique(code):
+    for piece in np.unique(wanted):
         a, b = np.searchsorted(code, (piece, piece + 1))
         who = asker[slice(*np.searchsorted(wanted, (piece, piece + 1)))]
-        for start in range(0, len(who), 1024):
-            some = who[start : start + 1024]
-            scores = questions[some] @ vectors[a:b].T
-            n = min(keep, b - a)
-            top = np.argpartition(-scores, n - 1, axis=1)[:, :n]
-            rows.append(np.repeat(some, n))
+        n = min(keep, b - a)
+        if n:
+            top = np.argpartition(-(questions[who] @ vectors[a:b].T), n - 1, axis=1)[:, :n]
+            rows.append(np.repeat(who, n))
             places.append(a + top.ravel())
     row, place = np.concatenate(rows or [[]]).astype(np.int64), np.concatenate(places or [[]]).astype(np.int64)
     # Scored anew, pair by pair: the same pair gets the same bits on whatever shelf it is scored.
     score = np.concatenate([(vectors[place[i : i + 65536]] * questions[row[i : i + 65536]]).sum(axis=1)
                             for i in range(0, len(row), 65536)] or [[]])
-    _, once = np.unique(row * (len(ids) + 1) + np.searchsorted(np.unique(ids), ids)[place], return_index=True)
+    _, once = np.unique(row * (len(ids) + 1) + shelf.number[place], return_index=True)
     row, place, score = row[once], place[once], score[once]
     order = np.lexsort((ids[place], -score, row))
     row, place, score = row[order], place[order], score[order]
@@ -290,8 +305,9 @@ def search(
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
     facts = distinct.agg(F.count("*").alias("n"), F.max(norm).alias("norm")).first()
     lists = int(min(index.centroids, max(1, facts["n"] // index.per_list)))
-    spread = distinct.select("v").orderBy(F.xxhash64(F.lit(3), "class"), "class").limit(index.sample)
-    sample = _matrix(spread.toArrow().column("v").combine_chunks())
+    spread = F.xxhash64(F.lit(3), "class")
+    spread = distinct.filter(among_first(spread, index.sample, F.lit(float(facts["n"])))).orderBy(spread, "class").limit(index.sample)
+    sample = _matrix(spread.select("v").toArrow().column("v").combine_chunks())
     top = facts["norm"]
 
     def lift(points: np.ndarray, asking: bool) -> np.ndarray:
@@ -306,8 +322,8 @@ def search(
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 2048):
-                part = batch.slice(start, 2048)
+            for start in range(0, batch.num_rows, 512):
+                part = batch.slice(start, 512)
                 at, numbers, own = lists_of(lift(_matrix(part.column("v")), False), graph.value.centroids, index)
                 picked = part.take(pa.array(at))
                 yield pa.RecordBatch.from_arrays(
@@ -353,13 +369,34 @@ def search(
 
     aimed = map_arrow(asking.repartition(tasks), aim, "shelf bigint, q bigint, v array<double>, codes array<bigint>")
 
-    def best(key: tuple, own: pa.Table, asks: pa.Table) -> pa.Table:
-        found = _best_of_shelf(own, asks, k + 1) if own.num_rows and asks.num_rows else ([], [], [])
-        return pa.table([pa.array(c, t) for c, t in zip(found, (pa.int64(), pa.int64(), pa.float64()))],
+    # The vectors of a shelf, then the queries that ask it.
+    dealt = posted.withColumn("asks", F.lit(False)).unionByName(
+        aimed.withColumn("asks", F.lit(True)), allowMissingColumns=True)
+    dealt = dealt.repartition(shelves, "shelf").sortWithinPartitions("shelf", "asks")
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, parts, shelf = None, [], None
+        for batch in batches:
+            shelf_of, asking_ = batch.column("shelf").to_numpy(), batch.column("asks").to_numpy(zero_copy_only=False)
+            turns = np.flatnonzero((np.diff(shelf_of) != 0) | (asking_[1:] != asking_[:-1])) + 1
+            for a, b in zip([0, *turns.tolist()], [*turns.tolist(), batch.num_rows]):
+                if a == b:
+                    continue
+                if shelf_of[a] != number:
+                    number, parts, shelf = shelf_of[a], [], None
+                if not asking_[a]:
+                    parts.append(batch.slice(a, b - a).select(["code", "class", "v"]))
+                    continue
+                if parts:
+                    shelf, parts = Shelf(parts), []
+                for start in range(a, b if shelf else a, index.asks):
+                    found = _best_of_shelf(shelf, batch.slice(start, min(index.asks, b - start)), k + 1)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, t) for c, t in zip(found, (pa.int64(), pa.int64(), pa.float64()))],
                         names=["q", "class", "score"])
+        give_back()
 
-    scored = posted.groupBy("shelf").cogroup(aimed.groupBy("shelf")).applyInArrow(
-        best, "q bigint, class bigint, score double")
+    scored = map_arrow(dealt, best, "q bigint, class bigint, score double")
     # A class may come from several lists. The k + 1 best classes hold the k + 1 best candidates.
     nearest = Window.partitionBy("q").orderBy(F.desc("score"), "lowest")
     classes = distinct.select("class", "ids", F.col("ids")[0].alias("lowest"))
@@ -367,7 +404,8 @@ def search(
     found = found.withColumn("place", F.row_number().over(nearest)).filter(F.col("place") <= k + 1)
     found = found.select("q", "score", F.explode("ids").alias("vec_id"))
     first = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
-    found = staged(found.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= k + 1).drop("place"), "found")
+    with small_batches(spark, 4 << 20):
+        found = staged(found.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= k + 1).drop("place"), "found")
     queries = rows.filter("asks").select(F.col("id").alias("query_id"), "v").distinct().join(asking, "v").drop("v")
     own = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     answers = queries.join(found, "q").filter(F.col("vec_id") != F.col("query_id"))
