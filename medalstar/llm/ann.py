@@ -37,7 +37,6 @@ from medalstar.llm.common import among_first, give_back, map_arrow, ship, small_
 
 
 _PIECES = 1 << 20  # pieces of a list are numbered below this
-_SPREAD = 2654435761  # an odd number that deals pieces out to shelves
 
 
 @dataclass(frozen=True)
@@ -344,9 +343,10 @@ def search(
     pieces = {number: -(-n // index.piece) for number, n in lengths.items()}
     shelves = max(index.shelves, -(-sum(lengths.values()) // index.shelf))
     cut = spark.createDataFrame([*pieces.items()], "list bigint, pieces bigint")
-    code = F.col("list") * _PIECES + F.pmod(F.xxhash64("class"), F.col("pieces"))
-    posted = posted.join(F.broadcast(cut), "list").withColumn("code", code).withColumn(
-        "shelf", F.col("code") * _SPREAD % shelves).select("shelf", "code", "class", "v")
+    # Lists and their pieces go round the shelves. Neighbouring lists have close numbers, so a query asks all alike.
+    posted = posted.join(F.broadcast(cut), "list").withColumn("piece", F.pmod(F.xxhash64("class"), F.col("pieces")))
+    posted = posted.select(((F.col("list") + F.col("piece")) % shelves).alias("shelf"),
+                           (F.col("list") * _PIECES + F.col("piece")).alias("code"), "class", "v")
 
     def aim(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -358,7 +358,7 @@ def search(
                     own: dict[int, list[int]] = {}
                     for number in numbers.tolist():
                         for p in range(pieces.get(number, 0)):
-                            own.setdefault((number * _PIECES + p) * _SPREAD % shelves, []).append(number * _PIECES + p)
+                            own.setdefault((number + p) % shelves, []).append(number * _PIECES + p)
                     at += [row] * len(own)
                     shelf += own
                     codes += own.values()
@@ -372,7 +372,7 @@ def search(
     # The vectors of a shelf, then the queries that ask it.
     dealt = posted.withColumn("asks", F.lit(False)).unionByName(
         aimed.withColumn("asks", F.lit(True)), allowMissingColumns=True)
-    dealt = dealt.repartition(shelves, "shelf").sortWithinPartitions("shelf", "asks")
+    dealt = dealt.repartitionById(shelves, F.col("shelf").cast("int")).sortWithinPartitions("shelf", "asks")
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, parts, shelf = None, [], None
