@@ -30,6 +30,7 @@ from medalstar.llm.common import map_arrow, slices
 
 SHORT = 48  # bytes of a word that is merged by scanning
 REMEMBERED = 250_000  # units whose ids a worker keeps before it starts anew
+LONGEST = 400  # characters of a unit that is kept
 NONE = np.int32(2**31 - 1)  # rank of a pair that cannot be merged
 # Fixed value: the pattern that splits text into words before the merges.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -92,6 +93,7 @@ class Encoder:
             "(" + "|".join(map(re.escape, sorted(self.specials, key=len, reverse=True))) + ")"
         ) if self.specials else None
         self.units: dict[str, bytes | None] = {}
+        self.counts: dict[str, int] = {}  # tokens of words, for those who only count
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left << 32 | right
@@ -196,7 +198,11 @@ class Encoder:
         new = [u for u in units if u not in self.units]
         if new:
             self.learn(new)
-        return [self.units[u] for u in units]
+        out = [self.units[u] for u in units]
+        for unit in new:
+            if len(unit) > LONGEST:
+                self.units.pop(unit, None)
+        return out
 
     def encode_one(self, text: str) -> bytes:
         """Ids of any text. Special strings are cut out first, as the vocabulary's own library does."""
@@ -227,8 +233,13 @@ class Encoder:
         bounds = np.asarray(lists.offsets, dtype=np.int64)
         found = pc.dictionary_encode(lists.flatten())
         stored, codes = self.known(found.dictionary.to_pylist()), np.asarray(found.indices, dtype=np.int64)
-        wrong = np.fromiter((x is None for x in stored), bool, len(stored))
-        odd = np.add.reduceat(wrong[codes], bounds[:-1]) > 0 if len(codes) else np.zeros(len(texts), bool)
+        units = found.dictionary.to_pylist()
+        wrong = np.fromiter((x is None for x in stored), bool, len(stored))[codes]
+        if "" in units and len(codes):
+            # Before a first cut and behind a last one stands nothing, so there is no word either.
+            edges = np.concatenate((bounds[:-1], bounds[1:] - 1))
+            wrong[edges] &= codes[edges] != units.index("")
+        odd = np.add.reduceat(wrong, bounds[:-1]) > 0 if len(codes) else np.zeros(len(texts), bool)
         for special in [*self.specials, "\0"]:
             odd |= np.asarray(pc.match_substring(texts, special).to_numpy(zero_copy_only=False), dtype=bool)
         if odd.any():
