@@ -16,9 +16,11 @@ those named are not read, so their names cannot clash.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
+from operator import add
 
-import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -27,7 +29,9 @@ from pyspark.sql import functions as F
 from medalstar.llm.bpe import Encoder, Shared, load_vocabulary
 from medalstar.llm.common import ROW, map_arrow, slices, with_rows
 
-LEAF = 64  # pre-tokens
+LEAF = 8  # pre-tokens
+FEW = 48  # pre-tokens that are merged one by one; more are merged together
+REMEMBERED, LONGEST = 400_000, 64  # pre-tokens whose counts a worker keeps, and characters of one at most
 CONTEXT = 16  # characters; more than the longest special string or look-ahead of the pattern
 TREE = "leaf_chars array<int>, leaf_tokens array<int>, sums array<bigint>"
 
@@ -40,69 +44,82 @@ def pre_tokens(encoder: Encoder, text: str) -> list[str]:
     return out
 
 
-def count_tokens(encoder: Encoder, words: list[str], known: dict[str, int] | None = None) -> np.ndarray:
+def count_tokens(encoder: Encoder, words: list[str], known: dict[str, int] | None = None) -> list[int]:
     """Tokens of each pre-token; ``known`` holds the counts found before and takes in the new ones."""
     size = {} if known is None else known
     plain = [w for w in dict.fromkeys(words) if w not in size and w not in encoder.specials]
-    if plain:
+    if 0 < len(plain) <= FEW:
+        size.update((w, len(encoder.merge_long(w.encode("utf-8", "surrogatepass")))) for w in plain)
+    elif plain:
         _, _, sizes = encoder.merge([w.encode("utf-8", "surrogatepass") for w in plain])
         size.update(zip(plain, sizes.tolist()))
-    return np.fromiter((size.get(w, 1) for w in words), np.int64, len(words))
+    return [size.get(w, 1) for w in words]
+
+
+def trim(known: dict[str, int]) -> None:
+    """Bound what a worker remembers after a batch, in number and in length."""
+    if len(known) > REMEMBERED:
+        known.clear()
+    for word in [w for w in known if len(w) > LONGEST]:
+        del known[word]
 
 
 def leaves_of(
     encoder: Encoder, words: list[str], known: dict[str, int] | None = None
 ) -> tuple[list[int], list[int]]:
     """(characters, tokens) of the leaves over consecutive pre-tokens."""
-    chars = np.fromiter(map(len, words), np.int64, len(words))
-    at = np.arange(0, len(words), LEAF)
-    if not len(words):
-        return [], []
-    return np.add.reduceat(chars, at).tolist(), np.add.reduceat(count_tokens(encoder, words, known), at).tolist()
+    chars, tokens, at = list(map(len, words)), count_tokens(encoder, words, known), range(0, len(words), LEAF)
+    return [sum(chars[i : i + LEAF]) for i in at], [sum(tokens[i : i + LEAF]) for i in at]
+
+
+def _levels(leaves: list[int], size: int) -> list[int]:
+    """The nodes of a tree of ``size`` leaves, root at 1, each the sum of its children."""
+    levels = [leaves + [0] * (size - len(leaves))]
+    while len(levels[-1]) > 1:
+        below = levels[-1]
+        levels.append(list(map(add, below[::2], below[1::2])))
+    return [0, *(x for level in reversed(levels) for x in level)]
 
 
 class SegmentTree:
     """Sums of characters and tokens over the leaves. Node i has the children 2i and 2i + 1."""
 
     def __init__(self, chars: list[int], tokens: list[int]):
-        self.size = 1 << max(0, len(chars) - 1).bit_length()
-        self.n = len(chars)
-        self.sums = np.zeros((2 * self.size, 2), dtype=np.int64)
-        self.sums[self.size : self.size + self.n] = np.column_stack((chars, tokens)) if chars else 0
-        level = self.size
-        while level > 1:
-            level //= 2
-            self.sums[level : 2 * level] = self.sums[2 * level : 4 * level : 2] + self.sums[2 * level + 1 : 4 * level : 2]
+        self.size, self.n = 1 << max(0, len(chars) - 1).bit_length(), len(chars)
+        self.chars, self.sums = _levels(chars, self.size), _levels(tokens, self.size)
 
     def leaf_at(self, place: int) -> tuple[int, int]:
         """(leaf that holds the character at ``place``, where it begins); the last leaf beyond the end."""
-        node, begin = 1, 0
+        node, begin, chars = 1, 0, self.chars
         while node < self.size:
-            left = int(self.sums[2 * node, 0])
             node *= 2
-            if place >= begin + left and self.sums[node + 1, 0]:
+            left = chars[node]
+            if place >= begin + left and chars[node + 1]:
                 begin, node = begin + left, node + 1
         return node - self.size, begin
 
     def replace(self, first: int, last: int, chars: list[int], tokens: list[int]) -> None:
         """Put new leaves in the place of [first, last). As many as before: only their paths change."""
         if last - first == len(chars):
-            for i, pair in enumerate(zip(chars, tokens), self.size + first):
-                self.sums[i] = pair
-                while i > 1:
-                    i //= 2
-                    self.sums[i] = self.sums[2 * i] + self.sums[2 * i + 1]
+            for sums, new in ((self.chars, chars), (self.sums, tokens)):
+                low, high = self.size + first, self.size + last - 1
+                sums[low : high + 1] = new
+                while low > 1:
+                    low, high = low // 2, high // 2
+                    for i in range(low, high + 1):
+                        sums[i] = sums[2 * i] + sums[2 * i + 1]
             return
-        old = self.sums[self.size : self.size + self.n]
-        self.__init__([*old[:first, 0].tolist(), *chars, *old[last:, 0].tolist()],
-                      [*old[:first, 1].tolist(), *tokens, *old[last:, 1].tolist()])
+        old_chars, old_tokens = self.leaves()
+        self.__init__([*old_chars[:first], *chars, *old_chars[last:]], [*old_tokens[:first], *tokens, *old_tokens[last:]])
 
     @property
     def tokens(self) -> int:
-        return int(self.sums[1, 1])
+        return self.sums[1]
 
-    def leaves(self) -> np.ndarray:
-        return self.sums[self.size : self.size + self.n]
+    def leaves(self) -> tuple[list[int], list[int]]:
+        """Characters and tokens of the leaves."""
+        own = slice(self.size, self.size + self.n)
+        return self.chars[own], self.sums[own]
 
 
 def edit(
@@ -119,16 +136,16 @@ def edit(
     grown = len(insert) - cut
     last, stop = tree.leaf_at(start + cut + CONTEXT)
     while True:
-        stop += int(tree.sums[tree.size + last, 0])  # end of the leaf, in the old text
+        stop += tree.chars[tree.size + last]  # end of the leaf, in the old text
         last += 1
         end = stop + grown
         whole = last >= tree.n
         # Some characters more, so that the last pre-token ends where it does in the whole text.
         words = pre_tokens(encoder, new[begin:] if whole else new[begin : end + CONTEXT])
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words))) + begin
-        at = len(words) if whole else int(np.searchsorted(ends, end))
-        if whole or (at < len(words) and ends[at] == end):
-            words = words if whole else words[: at + 1]
+        ends = list(accumulate(map(len, words), initial=begin))
+        at = len(words) if whole else bisect_left(ends, end)
+        if whole or (at < len(ends) and ends[at] == end):
+            words = words[:at]
             chars, tokens = leaves_of(encoder, words, known)
             tree.replace(first, last, chars, tokens)
             return new, sum(chars)
@@ -165,25 +182,22 @@ def apply_edits(
         encoder = shared.encoder()
         at = key_ = tree = None  # place, key and tree of the document in hand
         text_, before, changed, again = "", 0, 0, 0
+        known = encoder.counts
 
         def packed(done: list[tuple]) -> pa.RecordBatch:
             types = [key_type] + [pa.int64()] * 5 + [pa.list_(pa.int32())] * 2 + [pa.list_(pa.int64())]
             return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*done), types)], names=names)
 
         def result() -> tuple:
-            leaves = tree.leaves()
-            return key_, before, tree.tokens, changed, again, len(text_), leaves[:, 0], leaves[:, 1], tree.sums[:, 1]
+            return key_, before, tree.tokens, changed, again, len(text_), *tree.leaves(), tree.sums
 
         for batch in slices(slices(batches, "text", 3 << 20), "insert", 3 << 20):
             key_type = batch.schema.field("key").type
             # One pass over the batch's distinct pre-tokens counts the leaves of all its documents.
             fresh = batch.filter(pc.invert(batch.column("change")))
             words = [pre_tokens(encoder, t) for t in fresh.column("text").to_pylist()]
-            flat = [w for own in words for w in own]
-            known: dict[str, int] = {}
-            counted = count_tokens(encoder, flat, known) if flat else np.zeros(0, np.int64)
-            lengths = np.fromiter(map(len, flat), np.int64, len(flat))
-            done, begin, next_ = [], 0, iter(words)
+            count_tokens(encoder, [w for own in words for w in own], known)
+            done, next_ = [], iter(words)
             columns = (batch.column(c).to_pylist() for c in (*place, "change", "key", "text", "start", "cut", "insert"))
             for file, position, change, new_key, new_text, start, cut, insert in zip(*columns):
                 if change:
@@ -193,14 +207,11 @@ def apply_edits(
                     continue
                 if at is not None:
                     done.append(result())
-                own = next(next_)
-                cuts, part = np.arange(0, len(own), LEAF), slice(begin, begin + len(own))
-                tree = SegmentTree(np.add.reduceat(lengths[part], cuts).tolist() if own else [],
-                                   np.add.reduceat(counted[part], cuts).tolist() if own else [])
-                begin += len(own)
+                tree = SegmentTree(*leaves_of(encoder, next(next_), known))
                 at, key_, text_, before, changed, again = (file, position), new_key, new_text, tree.tokens, 0, 0
             if done:
                 yield packed(done)
+            trim(known)
         if at is not None:
             yield packed([result()])
 

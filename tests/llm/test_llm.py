@@ -100,6 +100,19 @@ def test_bpe_agrees_with_the_library():
             assert decoded[i] == known.decode(ids, skip_special_tokens=False)
 
 
+def test_line_ends_at_the_edges_take_the_fast_path(monkeypatch):
+    known, encoder = library(), bpe.Encoder(bpe.load_vocabulary(queries.vocabulary_path()))
+    plain = ["a turn that ends\n", "\nbegins so", " one blank first", "\n", "mid\nline and\n"]
+    runs = ["two ends\n\n", "\n\n", " \n", "blank then end \n", "\n x", "", " ", "ends in blank ", "  two", "long" * 300 + "\n"]
+    for texts in (plain, runs, plain + runs):
+        values, offsets = encoder.encode(pa.array(texts))
+        for text, a, b in zip(texts, offsets, offsets[1:]):
+            assert values[a:b].tolist() == known.encode(text, add_special_tokens=False).ids, repr(text)
+    monkeypatch.setattr(encoder, "encode_one", None)
+    encoder.encode(pa.array(plain))
+    assert max(map(len, encoder.units)) <= bpe.LONGEST
+
+
 @pytest.mark.parametrize("table", [documents, awkward, empty])
 def test_bpe_digests(spark, table):
     known = library()
@@ -379,7 +392,19 @@ def test_random_edits_keep_the_tree_right():
         insert = rng.choice(["", "<|endoftext|>", "   ", "'re", "x" * 50, "\n\n", "".join(rng.choices(letters, k=300))])
         text, _ = token_counts.edit(encoder, tree, text, rng.randint(0, len(text)), rng.randint(0, 40), insert)
         assert tree.tokens == len(known.encode(text, add_special_tokens=False).ids)
-        assert int(tree.sums[1, 0]) == len(text)
+        assert tree.chars[1] == len(text)
+
+
+def test_few_characters_are_encoded_again(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    counts = token_counts.apply_edits(docs, token_counts.sample_edits(docs), queries.vocabulary_path())
+    again, after = counts.agg(F.sum("chars_again"), F.sum("chars_after")).first()
+    assert again < 0.3 * after
+
+
+def test_edits_of_an_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id bigint, text string")
+    assert token_counts.apply_edits(docs, token_counts.sample_edits(docs), queries.vocabulary_path()).count() == 0
 
 
 # --- operator 8
