@@ -643,6 +643,17 @@ STATEMENTS = {
                  "GROUP BY match_id, puuid HAVING count(*) > 1",
     "dq_accepted_values": f"SELECT tier, count(*) AS rows FROM stg_ladder WHERE tier NOT IN {LADDER_LIST} GROUP BY tier",
     "dq_report": report_sql(),
+    "json_presence": """
+        SELECT path, objects, absent, nulls FROM (
+            SELECT '$.event_id' AS path, count(*) AS objects, 0::BIGINT AS absent, 0::BIGINT AS nulls FROM events
+            UNION ALL SELECT '$.event_type', count(*), count(*) FILTER (event_id % 7 = 0),
+                count(*) FILTER (event_id % 7 = 1) FROM events
+            UNION ALL SELECT '$.parts', count(*), 0, 0 FROM events
+            UNION ALL SELECT '$.parts[*].k', count(*) + count(*) FILTER (event_id % 3 = 0),
+                count(*) FILTER (props IS NULL), count(*) FILTER (event_id % 3 = 0) FROM events)""",
+    "json_unknown_keys": """
+        SELECT '$' AS path, 'debug' AS key, count(*) AS documents FROM events WHERE user_id % 5 = 0
+        UNION ALL SELECT '$.parts[*]', 'old', count(*) FROM events WHERE event_id % 3 = 0""",
 }
 STATEMENTS["date_dim"] = CTES["dim_date"].replace(
     "make_timestamp(game_start_timestamp * 1000)", "l_shipdate"

@@ -22,7 +22,7 @@ from medalstar.plans import bronze, gold, marts, silver
 from medalstar.plans.suites import SUITES
 from medalstar.plans.warehouse import FACT, Warehouse
 from medalstar.session import configure, new_shared_folder
-from medalstar.sources import documents, samples, tables
+from medalstar.sources import documents, presence, samples, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -150,6 +150,33 @@ def json_scan(spark, sf_dir):
     return event.select("event_id", F.from_json("props", "k bigint")["k"].alias("k"))
 
 
+EVENT_DOCUMENT = T.StructType([
+    T.StructField("event_id", T.LongType()), T.StructField("event_type", T.StringType()),
+    T.StructField("parts", T.ArrayType(T.StructType([T.StructField("k", T.LongType())])))])
+
+
+def event_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as documents that lack keys, hold nulls, or have keys that ``EVENT_DOCUMENT`` does not declare."""
+    number, nothing = F.col("event_id"), F.lit("")
+    kind = F.when(number % 7 == 0, nothing).when(number % 7 == 1, F.lit(', "event_type": null')).otherwise(
+        F.concat(F.lit(', "event_type": '), F.to_json(F.array(F.coalesce("event_type", F.lit(""))))))
+    debug = F.when(F.col("user_id") % 5 == 0, F.lit(', "debug": {"level": 1}')).otherwise(nothing)
+    old = F.when(number % 3 == 0, F.lit(', {"k": null, "old": 1}')).otherwise(nothing)
+    return table(spark, sf_dir, "events").select(F.concat(
+        F.lit('{"event_id": '), number.cast("string"), kind, debug, F.lit(', "parts": ['),
+        F.coalesce("props", F.lit("{}")), old, F.lit("]}")).alias("value"))
+
+
+@query
+def json_presence(spark, sf_dir):
+    return presence.field_presence(event_documents(spark, sf_dir), "value", EVENT_DOCUMENT)
+
+
+@query
+def json_unknown_keys(spark, sf_dir):
+    return presence.unknown_keys(event_documents(spark, sf_dir), "value", EVENT_DOCUMENT)
+
+
 def new_database(spark: SparkSession) -> str:
     """An empty database below the shared folder."""
     path = new_shared_folder(spark, "database")
