@@ -49,9 +49,13 @@ def partial(name: str, fact: DataFrame) -> DataFrame:
         F.count("*").alias("games"), F.count_if(F.col("win")).alias("wins"), F.count("win").alias("decided"), *exact)
 
 
-def refresh(fact: DataFrame, root: str, months: Sequence[str | None] | None = None) -> None:
+def refresh(
+    fact: DataFrame, root: str, months: Sequence[str | None] | None = None, names: Sequence[str] = tuple(MARTS),
+) -> None:
     """Store the partials of ``months`` of the fact, in place of what is stored for them; of all months if None.
 
+    ``names`` are the questions whose partials are stored, all of them unless given.
+
     Only those months of ``fact``, which is partitioned by month, are read. A month that has no rows any more loses
     its partials.
     """
@@ -59,7 +63,7 @@ def refresh(fact: DataFrame, root: str, months: Sequence[str | None] | None = No
     if months is not None:
         named = F.col(MONTH).isin([m for m in months if m is not None])
         fact = fact.filter(named | F.col(MONTH).isNull() if None in months else named)
-    for name in MARTS:
+    for name in names:
         stored = new_shared_folder(spark, name)
         part = partial(name, fact)
         part.write.parquet(stored)  # computed once; a month that fails to compute replaces nothing

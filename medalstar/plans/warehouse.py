@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -47,17 +47,24 @@ class Warehouse:
     def __init__(
         self, spark: SparkSession, bronze: Mapping[str, DataFrame], root: str,
         dedupe_keys: Mapping[str, Sequence[str]] | None = None, keep_keys: bool = False,
+        columns: Mapping[str, Sequence[str]] | None = None, in_plan: Collection[str] = (),
     ):
         """``dedupe_keys``: the grain to keep the newest row of, for silver tables with repeated ingests.
 
         ``keep_keys``: members of an earlier build below ``root`` keep their surrogate keys, so that facts stored with
         them stay right; otherwise every build numbers its members anew.
+
+        For a store that serves few questions: ``columns`` names the columns that are kept of a table, so that no other
+        is computed, shuffled or written on its way there; tables of ``in_plan`` are not stored but computed by whoever
+        reads them, in the columns that it reads. All rows are there in either case.
         """
         self.spark = spark
         self.root = root.rstrip("/")
         self._bronze = bronze
         self._dedupe = dict(dedupe_keys or {})
         self._keep_keys = keep_keys
+        self._columns = dict(columns or {})
+        self._in_plan = frozenset(in_plan)
         self._stored: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
@@ -76,6 +83,10 @@ class Warehouse:
             read = [self.table(i) for i in inputs]
             with scratch(self.spark):
                 df = model(*read, **options)
+                if name in self._columns:
+                    df = df.select(*self._columns[name])
+                if name in self._in_plan:
+                    return df
                 self._stored[name] = replace_files(df, self.path(name), *([write_months] if name == FACT else []))
         return self._stored[name]
 
@@ -90,14 +101,14 @@ class Warehouse:
         grown = replace_files(grow_registry(registry, members, name, order_by), folder)
         return registered_key(members, grown, name, order_by)
 
-    def build(self) -> dict[str, DataFrame]:
-        """All ten tables, layer by layer; the tables of a layer are independent jobs run side by side."""
+    def build(self, names: Collection[str] = tuple(MODELS)) -> dict[str, DataFrame]:
+        """These tables, all ten unless given, layer by layer; the tables of a layer are independent jobs run side by side."""
         with ThreadPoolExecutor(max_workers=6) as pool:
             for prefix in ("stg_", "dim_", "fct_"):
                 # The threads keep the caller's job group and local properties.
                 build = inheritable_thread_target(self.spark)(self.table)
-                list(pool.map(build, [name for name in MODELS if name.startswith(prefix)]))
-        return dict(self._stored)
+                list(pool.map(build, [name for name in MODELS if name in names and name.startswith(prefix)]))
+        return {name: self.table(name) for name in MODELS if name in names}
 
     def publish(self, silver_db: str = "silver", gold_db: str = "gold") -> None:
         """Make the stored tables available to SQL as ``silver.<table>`` and ``gold.<table>``."""

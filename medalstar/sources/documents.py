@@ -30,6 +30,18 @@ def parse_documents(df: DataFrame, text: str, schema: T.StructType) -> DataFrame
     return df.select("*", F.inline(F.array(parsed)))
 
 
+def may_hold(text: Column | str, value: str) -> Column:
+    """Whether a JSON text can hold ``value`` as a parsed string: false only where it surely does not.
+
+    A string stands in the text as it is, or with escapes. A number or an object may be read as a string of another
+    spelling, so a value that could come from one is looked for nowhere.
+    """
+    if not value or value[0] in "{[+-.0123456789" or value in ("NaN", "INF", "Infinity"):
+        return F.lit(True)
+    column = F.col(text) if isinstance(text, str) else text
+    return column.contains(value) | column.contains("\\")
+
+
 def _present(fields: Iterable[str], within: Column) -> Column:
     return reduce(Column.__and__, [within[f].isNotNull() for f in fields])
 

@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType
 
 from medalstar import schemas
 from medalstar.functions.lookups import KEYSTONES
+from medalstar.session import bytes_of
 from medalstar.sources.tables import scan
 
 INPUT_SCHEMAS = {
@@ -254,6 +255,10 @@ def bronze_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 # ---- JSON documents, one match per order ----
 
+# Bytes of JSON text per stored byte of the orders, as measured, and what one task writes or parses of them.
+_TEXT_PER_BYTE = 400
+_TEXT_PER_TASK = 128 * 1024 * 1024
+
 
 def _json_participant(k: Column, i: Column) -> Column:
     """Participant ``i`` of order ``k``; optional keys are left out for some."""
@@ -313,8 +318,9 @@ def _json_team(k: Column, team: int, team_id: Column) -> Column:
 def match_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, value): the JSON text of one match per order, with 1 to 10 participants."""
     k = F.col("o_orderkey")
-    # A narrow row grows into a large document, so the rows are spread before that.
-    tasks = spark.sparkContext.defaultParallelism
+    # A narrow row grows into a large document, so the rows are spread before that, over more tasks the more there are.
+    text_bytes = _TEXT_PER_BYTE * bytes_of(spark, f"{sf_dir}/orders.parquet")
+    tasks = max(spark.sparkContext.defaultParallelism, -(-text_bytes // _TEXT_PER_TASK))
     orders = inputs(spark, sf_dir, "orders")["orders"].select(k, "o_orderdate").repartition(tasks, k)
     players = F.sequence(F.lit(1).cast("bigint"), k % 10 + 1)
     start = F.unix_millis(F.col("o_orderdate").cast("timestamp"))
