@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -130,6 +130,15 @@ def dim_player(
     )
 
 
+PLAYER_KEY = ("puuid", "player_key")
+
+
+def player_keys(participants: DataFrame, number: Callable = dense_key) -> DataFrame:
+    """``PLAYER_KEY`` of ``dim_player``, whose keys follow from the players alone, without a look at their identities."""
+    players = participants.select("puuid").filter(F.col("puuid").isNotNull()).distinct()
+    return number(players, "player_key", ["puuid"]).select(*PLAYER_KEY)
+
+
 TEAM_STATS = {
     "baron_kills": "team_baron_kills",
     "dragon_kills": "team_dragon_kills",
@@ -192,17 +201,35 @@ def rank_at_match(participants: DataFrame, rank_history: DataFrame) -> DataFrame
     return ranked.drop("_started")
 
 
-def _player_lookup(dim_player: DataFrame, stg_ladder: DataFrame) -> DataFrame:
+# What the fact takes from the tables that hold one row per player.
+_BY_PLAYER = {"dim_player": ("player_key",), "stg_ladder": ("rank_tier_at_match", "rank_lp_at_match")}
+
+
+def unread(columns: Collection[str]) -> list[str]:
+    """Tables of the fact that give none of ``columns`` and, with one row per player, no further rows either.
+
+    The team rows and the queue dimension are always read: a repeated team row or a second mode multiplies fact rows.
+    """
+    return [name for name, given in _BY_PLAYER.items() if not set(given) & set(columns)]
+
+
+def _player_lookup(dim_player: DataFrame | None, stg_ladder: DataFrame | None) -> DataFrame | None:
     """Surrogate key and ladder row per player, for one join instead of two on the same key."""
-    keys = dim_player.select("puuid", "player_key")
-    ranks = stg_ladder.select(
-        "puuid", F.col("platform").alias("_platform"), F.col("tier").alias("_tier"), F.col("league_points").alias("_lp")
-    )
-    return keys.join(ranks, "puuid", "full")
+    lookups_by_player = []
+    if dim_player is not None:
+        lookups_by_player.append(dim_player.select(*PLAYER_KEY))
+    if stg_ladder is not None:
+        lookups_by_player.append(stg_ladder.select(
+            "puuid", F.col("platform").alias("_platform"), F.col("tier").alias("_tier"), F.col("league_points").alias("_lp")
+        ))
+    if len(lookups_by_player) == 2:
+        return lookups_by_player[0].join(lookups_by_player[1], "puuid", "full")
+    return lookups_by_player[0] if lookups_by_player else None
 
 
 def fact_joins(
-    participants: DataFrame, teams: DataFrame, stg_ladder: DataFrame, dim_player: DataFrame, dim_queue_patch: DataFrame
+    participants: DataFrame, teams: DataFrame, stg_ladder: DataFrame | None, dim_player: DataFrame | None,
+    dim_queue_patch: DataFrame,
 ) -> DataFrame:
     """Participants with team statistics, ladder rank and dimension keys.
 
@@ -210,19 +237,25 @@ def fact_joins(
     travel through the two large shuffles. ``stg_ladder`` and ``dim_player`` hold one row per
     player, so they merge into one lookup and the participants are shuffled by player once.
     A second mode for one (queue, version), or a repeated team row, multiplies fact rows.
+    Where neither ranks nor keys of players are asked for, see ``unread``, ``stg_ladder`` or ``dim_player`` are None and
+    their columns are left out; without both there is no shuffle by player.
     """
     patch = broadcast_if_small(dim_queue_patch.select("queue_id", "game_version", "queue_patch_key"))
     stats = teams.select("match_id", "team_id", *[F.col(old).alias(new) for old, new in TEAM_STATS.items()])
     same_platform = F.col("platform") == F.col("_platform")
-    return (
+    joined = (
         participants.join(patch, ["queue_id", "game_version"], "left").drop("queue_id", "game_version")
         .join(stats, ["match_id", "team_id"], "left")
-        .join(_player_lookup(dim_player, stg_ladder), "puuid", "left")
-        .withColumns({
-            "rank_tier_at_match": F.when(same_platform, F.col("_tier")),
-            "rank_lp_at_match": F.when(same_platform, F.col("_lp")),
-        })
     )
+    by_player = _player_lookup(dim_player, stg_ladder)
+    if by_player is not None:
+        joined = joined.join(by_player, "puuid", "left")
+    if stg_ladder is None:
+        return joined
+    return joined.withColumns({
+        "rank_tier_at_match": F.when(same_platform, F.col("_tier")),
+        "rank_lp_at_match": F.when(same_platform, F.col("_lp")),
+    })
 
 
 def fact_columns(joined: DataFrame, assets: Assets = Assets()) -> DataFrame:
@@ -244,22 +277,23 @@ def fact_columns(joined: DataFrame, assets: Assets = Assets()) -> DataFrame:
         **{f"{slot}_image_url": assets.item_slot(F.col(slot)) for slot in ITEM_SLOTS},
         "role_icon": code_lookup("team_position", lookups.ROLE_ICONS, lookups.UNKNOWN_ROLE_ICON),
     }
-    names = FACT_COLUMNS + [MONTH] * (MONTH in joined.columns)
+    absent = {n for given in _BY_PLAYER.values() for n in given} - set(joined.columns)
+    names = [n for n in FACT_COLUMNS if n not in absent] + [MONTH] * (MONTH in joined.columns)
     return joined.select(*[derived.get(n, F.col(FACT_RENAMES.get(n, n))).alias(n) for n in names])
 
 
 def fct_participant_match(
     participants: DataFrame,
     teams: DataFrame,
-    stg_ladder: DataFrame,
-    dim_player: DataFrame,
+    stg_ladder: DataFrame | None,
+    dim_player: DataFrame | None,
     dim_queue_patch: DataFrame,
     assets: Assets = Assets(),
 ) -> DataFrame:
-    """One row per participant row, with everything a report needs."""
+    """One row per participant row, with everything a report needs; tables may be None as for ``fact_joins``."""
     return fact_columns(fact_joins(participants, teams, stg_ladder, dim_player, dim_queue_patch), assets)
 
 
-def fct_participant_match_by_month(*tables: DataFrame) -> DataFrame:
+def fct_participant_match_by_month(*tables: DataFrame | None) -> DataFrame:
     """The fact with its month, gathered by month for writing. Takes the tables of the fact."""
     return fact_columns(gather_months(fact_joins(*tables), epoch_ms("game_start_timestamp")))

@@ -55,7 +55,7 @@ class Warehouse:
         them stay right; otherwise every build numbers its members anew.
 
         For a store that serves few questions: ``columns`` names the columns that are kept of a table, so that no other
-        is computed, shuffled or written on its way there; tables of ``in_plan`` are not stored but computed by whoever
+        is computed, shuffled or written on its way there, nor a table built that gives none of them; tables of ``in_plan`` are not stored but computed by whoever
         reads them, in the columns that it reads. All rows are there in either case.
         """
         self.spark = spark
@@ -77,14 +77,18 @@ class Warehouse:
             return self._bronze[name]
         if name not in self._stored:
             inputs, model = MODELS[name]
+            kept = self._columns.get(name)
+            if name == "dim_player" and kept and set(kept) <= set(gold.PLAYER_KEY):
+                inputs, model = ("stg_matches_participants",), gold.player_keys
+            unread = gold.unread(kept) if name == FACT and kept else []
             options = {"dedupe_keys": self._dedupe[name]} if name in self._dedupe else {}
             if self._keep_keys and name in NUMBERED:
                 options["number"] = self._number
-            read = [self.table(i) for i in inputs]
+            read = [None if i in unread else self.table(i) for i in inputs]
             with scratch(self.spark):
                 df = model(*read, **options)
-                if name in self._columns:
-                    df = df.select(*self._columns[name])
+                if kept:
+                    df = df.select(*kept)
                 if name in self._in_plan:
                     return df
                 self._stored[name] = replace_files(df, self.path(name), *([write_months] if name == FACT else []))

@@ -87,3 +87,15 @@ def test_questions_take_only_their_columns_of_the_fact(spark):
     stored = queries.stored_fact(spark, SF_DIR, "date_key")
     assert stored.columns == ["date_key", MONTH]
     assert stored.count() == queries.fct_participant_match(spark, SF_DIR).count()
+
+
+def test_tables_by_player_are_built_only_for_questions_that_read_them(spark, folder):
+    store = Warehouse(spark, fact_bronze(spark), f"{folder}/none", columns={FACT: ["match_id", MONTH]}, in_plan=queries.WIDE)
+    assert store.table(FACT).count() == Warehouse(spark, fact_bronze(spark), f"{folder}/whole").table(FACT).count() == 12 + 3
+    assert bytes_of(spark, store.path("dim_player"), store.path("stg_ladder")) == 0
+    keys = Warehouse(spark, fact_bronze(spark), f"{folder}/keys", columns={"dim_player": ["puuid", "player_key"]}, in_plan=queries.WIDE)
+    whole = Warehouse(spark, fact_bronze(spark), f"{folder}/other").table("dim_player")
+    assert rows_of(keys.table("dim_player")) == rows_of(whole, "puuid", "player_key")
+    assert bytes_of(spark, keys.path("stg_ladder")) == 0
+    plan = optimized_plan(queries.fact(spark, SF_DIR, "match_id", "champion_key", "queue_patch_key"))
+    assert "puuid" not in plan and "_platform" not in plan
