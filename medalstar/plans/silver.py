@@ -39,11 +39,11 @@ def stg_ladder(ladder: DataFrame) -> DataFrame:
     return latest_per_key(typed, ["puuid"], "ingest_ts", ["platform", "tier", "league_points", "wins", "losses"])
 
 
-def _dedupe(df: DataFrame, keys: Sequence[str] | None) -> DataFrame:
+def _dedupe(bronze: DataFrame, keys: Sequence[str] | None) -> DataFrame:
+    """The newest bronze row of every key; columns derived from a row decide nothing and need not be shuffled."""
     if not keys:
-        return df
-    newest = [F.col("ingest_ts").desc_nulls_last(), *ascending(df.columns)]
-    return top_n_per_key(df, keys, newest)
+        return bronze
+    return top_n_per_key(bronze, keys, [iso_timestamp("ingest_ts").desc_nulls_last(), *ascending(bronze.columns)])
 
 
 def stg_matches_participants(participants: DataFrame, dedupe_keys: Sequence[str] | None = None) -> DataFrame:
@@ -52,17 +52,16 @@ def stg_matches_participants(participants: DataFrame, dedupe_keys: Sequence[str]
     Repeated ingests stay as they are unless ``dedupe_keys`` names the grain to keep the newest of.
     """
     minions = F.col("total_minions_killed") + F.col("neutral_minions_killed")
-    enriched = participants.withColumns({
+    enriched = _dedupe(participants.select(*schemas.PARTICIPANTS.names), dedupe_keys).withColumns({
         "kda": kda("kills", "deaths", "assists"),
         "total_cs": minions,
         "gold_per_minute": per_minute("gold_earned", "game_duration"),
         "cs_per_minute": per_minute(minions, "game_duration"),
         "ingest_ts": iso_timestamp("ingest_ts"),
     })
-    return _dedupe(enriched.select(*PARTICIPANT_COLUMNS), dedupe_keys)
+    return enriched.select(*PARTICIPANT_COLUMNS)
 
 
 def stg_matches_teams(teams: DataFrame, dedupe_keys: Sequence[str] | None = None) -> DataFrame:
     """Team rows with a typed ingest time; ``dedupe_keys`` as for participants."""
-    typed = teams.select(*schemas.TEAMS.names).withColumn("ingest_ts", iso_timestamp("ingest_ts"))
-    return _dedupe(typed, dedupe_keys)
+    return _dedupe(teams.select(*schemas.TEAMS.names), dedupe_keys).withColumn("ingest_ts", iso_timestamp("ingest_ts"))

@@ -8,7 +8,7 @@ from medalstar.plans.warehouse import FACT, Warehouse
 from medalstar.session import bytes_of
 from medalstar.sources import documents, samples
 from medalstar.sources.tables import MONTH
-from tests.support import bronze_rows, optimized_plan, rows_of
+from tests.support import bronze_rows, optimized_plan, physical_plan, rows_of
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -99,3 +99,17 @@ def test_tables_by_player_are_built_only_for_questions_that_read_them(spark, fol
     assert bytes_of(spark, keys.path("stg_ladder")) == 0
     plan = optimized_plan(queries.fact(spark, SF_DIR, "match_id", "champion_key", "queue_patch_key"))
     assert "puuid" not in plan and "_platform" not in plan
+
+
+def test_derived_columns_do_not_travel_with_the_rows_of_repeated_ingests(spark):
+    rows = bronze_rows(spark, "matches_participants", [
+        {"match_id": "M", "participant_id": 1, "kills": k, "ingest_ts": f"2025-01-0{day}T00:00:00"} for k, day in ((1, 1), (5, 2), (4, 2))])
+    newest = queries.silver.stg_matches_participants(rows, queries.ID)
+    assert rows_of(newest, "kills", "kda") == [(4, 4.0)]
+    above, below = physical_plan(newest).split("hashpartitioning(match_id", 1)
+    assert "gold_per_minute" in above and "gold_per_minute" not in below
+
+
+def test_a_repeated_ingest_is_derived_once(spark):
+    plan = optimized_plan(queries.dedupe_participants(spark, SF_DIR))
+    assert plan.count("l_linenumber#") > 0 and "Union" not in plan
