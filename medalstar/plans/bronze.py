@@ -40,6 +40,14 @@ def rune_columns(perks: Column) -> dict[str, Column]:
     return dict(zip(schemas.RUNE_COLUMNS, values))
 
 
+def optional_columns(participant: Column) -> dict[str, Column]:
+    """The keys that a participant may lack: empty text and zero in their place."""
+    return {
+        **{schemas.snake(name): F.coalesce(participant[name], F.lit("")) for name in schemas.IDENTITY_OPTIONAL},
+        **{schemas.snake(name): or_zero(participant[name]) for name in schemas.ECONOMY_OPTIONAL},
+    }
+
+
 def objective_columns(objectives: Column) -> dict[str, Column]:
     """Kills and first-taken flag per objective; champion takedowns count as first blood."""
     kills = {f"{schemas.snake(n)}_kills": or_zero(objectives[n]["kills"]) for n in schemas.OBJECTIVE_NAMES}
@@ -71,8 +79,7 @@ def flatten_participants(documents: DataFrame, ingest_ts: str) -> DataFrame:
         "platform": F.col("platform_id"),
         "game_duration": or_zero(F.col("game_duration")),
         **{schemas.snake(name): p[name] for name in schemas.PARTICIPANT_REQUIRED},
-        **{schemas.snake(name): F.coalesce(p[name], F.lit("")) for name in schemas.IDENTITY_OPTIONAL},
-        **{schemas.snake(name): or_zero(p[name]) for name in schemas.ECONOMY_OPTIONAL},
+        **optional_columns(p),
         "side": side_of(p["teamId"]),
         **rune_columns(p["perks"]),
         "ingest_ts": F.lit(ingest_ts),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,9 +25,12 @@ def parse_documents(df: DataFrame, text: str, schema: T.StructType) -> DataFrame
     The parsed struct passes through a generator, which later filters cannot be pushed below; as a
     plain projection it would be parsed again for every reference in such a filter.
     """
+    return df.select("*", F.inline(F.array(_parsed(text, schema))))
+
+
+def _parsed(text: str, schema: T.StructType) -> Column:
     with_corrupt = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
-    parsed = F.from_json(text, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
-    return df.select("*", F.inline(F.array(parsed)))
+    return F.from_json(text, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
 
 
 def may_hold(text: Column | str, value: str) -> Column:
@@ -50,21 +53,51 @@ def _every(elements: Column, fields: Iterable[str]) -> Column:
     return F.coalesce(F.forall(elements, lambda e: _present(fields, e)), F.lit(False))
 
 
+def _match_reason(corrupt: Column, metadata: Column, info: Column) -> Column:
+    return (
+        F.when(corrupt.isNotNull(), "unreadable")
+        .when(metadata["matchId"].isNull(), "match id missing")
+        .when(~_present(schemas.MATCH_REQUIRED, info), "match field missing")
+        .when(~_every(info["participants"], schemas.PARTICIPANT_REQUIRED), "participant field missing")
+        .when(~_every(info["teams"], ["teamId", "win"]), "team field missing")
+    )
+
+
 def match_rejection(df: DataFrame) -> DataFrame:
     """Add ``reason``: why a parsed match document is unusable, NULL when it is fine.
 
     A required key that is missing or null rejects the whole document, for both bronze tables.
     Extra document columns, such as a file name, pass through.
     """
-    info = F.col("info")
-    reason = (
-        F.when(F.col(_CORRUPT).isNotNull(), "unreadable")
-        .when(F.col("metadata.matchId").isNull(), "match id missing")
-        .when(~_present(schemas.MATCH_REQUIRED, info), "match field missing")
-        .when(~_every(info["participants"], schemas.PARTICIPANT_REQUIRED), "participant field missing")
-        .when(~_every(info["teams"], ["teamId", "win"]), "team field missing")
-    )
-    return df.withColumn("reason", reason)
+    return df.withColumn("reason", _match_reason(F.col(_CORRUPT), F.col("metadata"), F.col("info")))
+
+
+def _document_reason(document: Column) -> Column:
+    return _match_reason(document[_CORRUPT], document["metadata"], document["info"])
+
+
+def _one_match(text: str) -> Column:
+    """A list of the one parsed match, judged and cut inside a generator: what no question reads is never copied."""
+    return F.array(_parsed(text, schemas.MATCH_DOCUMENT))
+
+
+def match_reasons(df: DataFrame, text: str) -> DataFrame:
+    """``reason`` of ``match_rejection`` for a text column, without the parsed parts."""
+    return df.select("*", F.explode(F.transform(_one_match(text), _document_reason)).alias("reason"))
+
+
+def _accepted_match(text: str) -> Column:
+    return F.filter(_one_match(text), lambda d: _document_reason(d).isNull())
+
+
+def matches_of(df: DataFrame, text: str) -> DataFrame:
+    """(metadata, info) of the match documents in a text column that ``match_rejection`` finds fine."""
+    return df.select(F.inline(_accepted_match(text))).select("metadata", "info")
+
+
+def match_rows(df: DataFrame, text: str, rows: Callable[[Column], Column]) -> DataFrame:
+    """The rows of those documents: ``rows`` makes an array of structs of one."""
+    return df.select(F.inline(F.flatten(F.transform(_accepted_match(text), rows))))
 
 
 def accepted_matches(df: DataFrame) -> DataFrame:

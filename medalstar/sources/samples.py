@@ -9,13 +9,14 @@ from __future__ import annotations
 
 from functools import lru_cache
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from medalstar import schemas
 from medalstar.functions.lookups import KEYSTONES
 from medalstar.session import bytes_of
+from medalstar.sources import match_texts
 from medalstar.sources.tables import scan
 
 INPUT_SCHEMAS = {
@@ -260,60 +261,6 @@ _TEXT_PER_BYTE = 400
 _TEXT_PER_TASK = 128 * 1024 * 1024
 
 
-def _json_participant(k: Column, i: Column) -> Column:
-    """Participant ``i`` of order ``k``; optional keys are left out for some."""
-
-    def number(a: int, b: int, modulus: int) -> Column:
-        return (k * a + i * b) % modulus
-
-    fields: dict[str, Column] = {}
-    for place, (name, dtype) in enumerate(schemas.PARTICIPANT_REQUIRED.items(), start=1):
-        fields[name] = number(place, 3, 2) == 0 if dtype == schemas.FLAG else number(place, 5, 500 + place)
-        if dtype == schemas.TEXT:
-            fields[name] = F.concat(F.lit(f"{name}_"), number(place, 1, 20).cast("string"))
-    fields["puuid"] = F.concat(F.lit("P_"), number(1, 7, 100).cast("string"))
-    fields["participantId"] = i
-    fields["teamId"] = F.when(i <= 5, 100).when((k % 9) == 0, 300).otherwise(200)
-    for place, name in enumerate(schemas.PARTICIPANT_OPTIONAL, start=2):
-        present = number(1, place, 4) != 0
-        value = number(place, 1, 90)
-        if schemas.PARTICIPANT_OPTIONAL[name] == schemas.TEXT:
-            value = F.concat(F.lit("n"), value.cast("string"))
-        fields[name] = F.when(present, value)
-    fields["perks"] = F.struct(_json_styles(k, i).alias("styles"), F.when(k % 4 != 0, F.struct(
-        number(1, 1, 3).alias("defense"), number(1, 2, 4).alias("flex"), number(1, 3, 5).alias("offense")
-    )).alias("statPerks"))
-    return F.struct(*[value.alias(name) for name, value in fields.items()])
-
-
-def _json_styles(k: Column, i: Column) -> Column:
-    """0 to 2 styles, with 0 to 4 picks each."""
-    def style(s: int) -> Column:
-        picks = F.array(*[F.struct((F.lit(8000 + 10 * p + s) + k % 7).alias("perk")) for p in range(4)])
-        return F.struct(
-            (F.lit(8000 + 100 * s) + i).alias("style"), F.slice(picks, 1, (k + i * (s + 1)) % 5).alias("selections")
-        )
-
-    return F.slice(F.array(style(0), style(1)), 1, (k + i) % 3)
-
-
-def _json_team(k: Column, team: int, team_id: Column) -> Column:
-    objectives = [
-        F.when((k + place) % 6 != 0, F.struct(
-            F.when((k + place) % 5 != 0, (k + team + place) % 12).alias("kills"),
-            F.when((k + place) % 7 != 0, (k + team + place) % 2 == 0).alias("first"),
-        )).alias(name)
-        for place, name in enumerate(schemas.OBJECTIVE_NAMES)
-    ]
-    bans = F.array(*[F.struct(F.when((k + b) % 8 != 0, (k * b + team) % 160).alias("championId")) for b in range(1, 7)])
-    return F.struct(
-        team_id.alias("teamId"),
-        ((k + team) % 2 == 0).alias("win"),
-        F.struct(*objectives).alias("objectives"),
-        F.slice(bans, 1, (k + team) % 7).alias("bans"),
-    )
-
-
 @lru_cache(maxsize=4)
 def match_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, value): the JSON text of one match per order, with 1 to 10 participants."""
@@ -321,27 +268,9 @@ def match_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     # A narrow row grows into a large document, so the rows are spread before that, over more tasks the more there are.
     text_bytes = _TEXT_PER_BYTE * bytes_of(spark, f"{sf_dir}/orders.parquet")
     tasks = max(spark.sparkContext.defaultParallelism, -(-text_bytes // _TEXT_PER_TASK))
-    orders = inputs(spark, sf_dir, "orders")["orders"].select(k, "o_orderdate").repartition(tasks, k)
-    players = F.sequence(F.lit(1).cast("bigint"), k % 10 + 1)
     start = F.unix_millis(F.col("o_orderdate").cast("timestamp"))
-    info = F.struct(
-        F.lit("VN2").alias("platformId"),
-        (F.lit(400) + k % 60).alias("queueId"),
-        F.when(k % 6 == 2, "ARAM").otherwise("CLASSIC").alias("gameMode"),
-        F.concat(F.lit("14."), (k % 24).cast("string"), F.lit(".1")).alias("gameVersion"),
-        (start - 5000).alias("gameCreation"),
-        start.alias("gameStartTimestamp"),
-        (start + 60000 * (k % 40)).alias("gameEndTimestamp"),
-        F.when(k % 8 != 0, 60 * (k % 40)).alias("gameDuration"),
-        F.transform(players, lambda i: _json_participant(k, i)).alias("participants"),
-        F.array(
-            _json_team(k, 1, F.lit(100)), _json_team(k, 2, F.when((k % 9) == 0, 300).otherwise(200))
-        ).alias("teams"),
-    )
-    document = F.struct(
-        F.struct(F.concat(F.lit("J_"), k.cast("string")).alias("matchId")).alias("metadata"), info.alias("info")
-    )
-    return orders.select(k.alias("doc_id"), F.to_json(document).alias("value"))
+    orders = inputs(spark, sf_dir, "orders")["orders"].select(k, start.alias("start")).repartition(tasks, k)
+    return orders.mapInArrow(match_texts.writer(), match_texts.SCHEMA)
 
 
 def damaged_match_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,12 +1,16 @@
 """What a question computes and how it is spread, as its tables grow."""
 
+import json
+
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from medalstar import schemas
 from medalstar.checks import queries, refresh  # noqa: F401 - registers its queries
 from medalstar.plans.warehouse import FACT, Warehouse
 from medalstar.session import bytes_of
-from medalstar.sources import documents, samples
+from medalstar.sources import documents, match_texts, samples
 from medalstar.sources.tables import MONTH
 from tests.support import bronze_rows, optimized_plan, physical_plan, rows_of
 
@@ -113,3 +117,33 @@ def test_derived_columns_do_not_travel_with_the_rows_of_repeated_ingests(spark):
 def test_a_repeated_ingest_is_derived_once(spark):
     plan = optimized_plan(queries.dedupe_participants(spark, SF_DIR))
     assert plan.count("l_linenumber#") > 0 and "Union" not in plan
+
+
+def test_texts_of_matches_are_written_by_columns_also_for_odd_keys():
+    keys = pa.record_batch([pa.array([7, -13, 0, None], pa.int64()), pa.array([1000, None, 0, 0], pa.int64())], ["doc_id", "start"])
+    (written,) = match_texts.writer()([keys])
+    texts = written.column("value").to_pylist()
+    assert texts[3] is None  # no key, no match
+    seven, negative = (json.loads(text)["info"] for text in texts[:2])
+    assert len(seven["participants"]) == 8 and set(schemas.PARTICIPANT_REQUIRED) <= set(seven["participants"][0])
+    assert seven["gameStartTimestamp"] == 1000 and seven["gameCreation"] == -4000
+    # SQL lists nobody for it, and a remainder has the sign of the key.
+    assert negative["participants"] == [] and negative["queueId"] == 387
+    assert "gameCreation" not in negative and "gameEndTimestamp" not in negative
+    too_large = pa.record_batch([pa.array([2**62], pa.int64()), pa.array([0], pa.int64())], ["doc_id", "start"])
+    with pytest.raises(OverflowError):
+        list(match_texts.writer()([too_large]))
+
+
+def test_documents_are_judged_and_cut_in_one_generator(spark):
+    for name in ("code_label", "optional_default", "array_get_default", "struct_get_default", "reject_malformed"):
+        plan = optimized_plan(queries.QUERIES[name](spark, SF_DIR))
+        assert plan.count("Generate ") == 1 and "to_json" not in plan, name
+
+
+def test_reasons_of_a_text_are_those_of_its_parsed_document(spark):
+    texts = samples.damaged_match_documents(spark, SF_DIR)
+    parsed = documents.match_rejection(documents.parse_documents(texts, "value", schemas.MATCH_DOCUMENT))
+    assert rows_of(documents.match_reasons(texts, "value"), "doc_id", "reason") == rows_of(parsed, "doc_id", "reason")
+    accepted = documents.accepted_matches(documents.parse_documents(texts, "value", schemas.MATCH_DOCUMENT))
+    assert rows_of(documents.matches_of(texts, "value")) == rows_of(accepted, "metadata", "info")
