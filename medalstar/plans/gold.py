@@ -227,6 +227,10 @@ def _player_lookup(dim_player: DataFrame | None, stg_ladder: DataFrame | None) -
     return lookups_by_player[0] if lookups_by_player else None
 
 
+# What the joins below read of the participants; all other columns may be derived behind them.
+JOINED_BY = ("match_id", "team_id", "puuid", "platform", "queue_id", "game_version")
+
+
 def fact_joins(
     participants: DataFrame, teams: DataFrame, stg_ladder: DataFrame | None, dim_player: DataFrame | None,
     dim_queue_patch: DataFrame,

@@ -46,20 +46,24 @@ def _dedupe(bronze: DataFrame, keys: Sequence[str] | None) -> DataFrame:
     return top_n_per_key(bronze, keys, [iso_timestamp("ingest_ts").desc_nulls_last(), *ascending(bronze.columns)])
 
 
-def stg_matches_participants(participants: DataFrame, dedupe_keys: Sequence[str] | None = None) -> DataFrame:
-    """Participants with derived rates.
-
-    Repeated ingests stay as they are unless ``dedupe_keys`` names the grain to keep the newest of.
-    """
+def with_rates(participants: DataFrame) -> DataFrame:
+    """Bronze participants with the derived columns and a typed ingest time; other columns stay."""
     minions = F.col("total_minions_killed") + F.col("neutral_minions_killed")
-    enriched = _dedupe(participants.select(*schemas.PARTICIPANTS.names), dedupe_keys).withColumns({
+    return participants.withColumns({
         "kda": kda("kills", "deaths", "assists"),
         "total_cs": minions,
         "gold_per_minute": per_minute("gold_earned", "game_duration"),
         "cs_per_minute": per_minute(minions, "game_duration"),
         "ingest_ts": iso_timestamp("ingest_ts"),
     })
-    return enriched.select(*PARTICIPANT_COLUMNS)
+
+
+def stg_matches_participants(participants: DataFrame, dedupe_keys: Sequence[str] | None = None) -> DataFrame:
+    """Participants with derived rates.
+
+    Repeated ingests stay as they are unless ``dedupe_keys`` names the grain to keep the newest of.
+    """
+    return with_rates(_dedupe(participants.select(*schemas.PARTICIPANTS.names), dedupe_keys)).select(*PARTICIPANT_COLUMNS)
 
 
 def stg_matches_teams(teams: DataFrame, dedupe_keys: Sequence[str] | None = None) -> DataFrame:

@@ -7,6 +7,7 @@ pipeline has rows to act on.
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -208,9 +209,14 @@ RANK_HISTORY_VALUES = {
 }
 
 
+def _typed(values: dict[str, str], schema, names: Collection[str] | None = None) -> list[str]:
+    """The columns, or those of ``names``, each cast to its bronze type."""
+    wanted = [f for f in schema.fields if names is None or f.name in names]
+    return [f"CAST({values[f.name]} AS {f.dataType.simpleString()}) AS {f.name}" for f in wanted]
+
+
 def _select(values: dict[str, str], schema) -> str:
-    """The select list, each column cast to its bronze type."""
-    return ", ".join(f"CAST({values[f.name]} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema.fields)
+    return ", ".join(_typed(values, schema))
 
 
 # One SQL text per bronze table; inputs are written {name}.
@@ -250,6 +256,24 @@ def bronze(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(text, **{n: df for n, df in tables.items() if f"{{{n}}}" in text})
 
 
+def participant_sources(spark: SparkSession, sf_dir: str, early: Collection[str]) -> DataFrame:
+    """The lines with their orders and ``early`` columns of the participants, for ``derive_participants`` to add the others."""
+    tables = inputs(spark, sf_dir, "customer", "orders", "lineitem")
+    columns = ", ".join(_typed(PARTICIPANT_VALUES, schemas.PARTICIPANTS, early))
+    text = in_dialect(f"SELECT @shuffled@ *, {columns} FROM {{lineitem}} JOIN {{orders}} o ON l_orderkey = o_orderkey", SPARK_DIALECT)
+    return spark.sql(text, **{n: df for n, df in tables.items() if f"{{{n}}}" in text})
+
+
+def derive_participants(sources: DataFrame) -> DataFrame:
+    """The participant columns of ``participant_sources`` rows, whatever was joined to them.
+
+    Early ones are made again, so that a join need not carry them on; only ``puuid``, which counts customers, is kept.
+    """
+    late = [n for n in schemas.PARTICIPANTS.names if n != "puuid"]
+    derived = [F.expr(in_dialect(column, SPARK_DIALECT)) for column in _typed(PARTICIPANT_VALUES, schemas.PARTICIPANTS, late)]
+    return sources.select(*[c for c in sources.columns if c not in late], *derived)
+
+
 def bronze_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {name: bronze(spark, sf_dir, name) for name in SQL}
 

@@ -147,3 +147,12 @@ def test_reasons_of_a_text_are_those_of_its_parsed_document(spark):
     assert rows_of(documents.match_reasons(texts, "value"), "doc_id", "reason") == rows_of(parsed, "doc_id", "reason")
     accepted = documents.accepted_matches(documents.parse_documents(texts, "value", schemas.MATCH_DOCUMENT))
     assert rows_of(documents.matches_of(texts, "value")) == rows_of(accepted, "metadata", "info")
+
+
+def test_the_whole_fact_shuffles_what_its_columns_derive_from(spark):
+    narrow = queries.fct_participant_match(spark, SF_DIR)
+    wide = queries.fact(spark, SF_DIR, *queries.gold.FACT_COLUMNS)
+    assert narrow.schema == wide.schema
+    assert narrow.exceptAll(wide).isEmpty() and wide.exceptAll(narrow).isEmpty()
+    above, below = physical_plan(narrow).split("hashpartitioning(puuid", 1)
+    assert "vision_score" in above and "vision_score" not in below
