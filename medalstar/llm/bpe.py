@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medalstar.llm.common import map_arrow, slices
+from medalstar.llm.common import bound_batches, give_back, map_arrow, slices, trimmed
 
 SHORT = 48  # bytes of a word that is merged by scanning
 REMEMBERED = 250_000  # units whose ids a worker keeps before it starts anew
@@ -204,6 +204,11 @@ class Encoder:
                 self.units.pop(unit, None)
         return out
 
+    def forget(self) -> None:
+        """Drop what is remembered; Python workers are kept for later tasks, of other stages too."""
+        self.units, self.counts = {}, {}
+        give_back()
+
     def encode_one(self, text: str) -> bytes:
         """Ids of any text. Special strings are cut out first, as the vocabulary's own library does."""
         out = []
@@ -300,14 +305,17 @@ def encode_decode(df: DataFrame, vocabulary_path: str, key: str = "doc_id", text
     shared = Shared(df.sparkSession, load_vocabulary(vocabulary_path))
     source = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
     key_type = df.schema[key].dataType.simpleString()
+    bound_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = shared.encoder()
-        for batch in slices(batches, "text", 3 << 20):
+        for batch in trimmed(slices(batches, "text", 1 << 20)):
             values, offsets = encoder.encode(batch.column("text"))
             ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))
             decoded = pa.array(encoder.decode(values, offsets), pa.string())
             yield pa.RecordBatch.from_arrays([batch.column("key"), ids, decoded], names=["key", "ids", "decoded"])
+            del values, offsets, ids, decoded, batch
+        encoder.forget()
 
     return map_arrow(source, run, f"key {key_type}, {ENCODED}").withColumnRenamed("key", key)
 

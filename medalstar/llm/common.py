@@ -156,6 +156,20 @@ def give_back() -> None:
         trim(0)
 
 
+def bound_batches(spark: SparkSession, most_bytes: int = 8 << 20) -> None:
+    """``small_batches`` for a frame that runs only when its caller writes it: the session keeps the bound, or its own."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, str(most_bytes))
+
+
+def trimmed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; what was freed while one of them was worked on is returned to the system before the next."""
+    for batch in batches:
+        yield batch
+        give_back()
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Zero-copy pieces of the batches whose ``column`` holds at most ``most_bytes``, or one row."""
     for batch in batches:
@@ -184,7 +198,17 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     out = np.full(n, base, dtype=np.uint64)
     if n:
         out[0] = 1
-    return np.multiply.accumulate(out) if n else out
+        np.multiply.accumulate(out, out=out)
+    return out
+
+
+def _prefix_sums(raw: np.ndarray) -> np.ndarray:
+    """Sums of the weighted values before every byte and behind the last; few arrays of eight times the text at once."""
+    values = _powers(_UNIT, len(raw))
+    values *= _BYTE_VALUES[raw]
+    sums = np.zeros(len(raw) + 1, dtype=np.uint64)
+    np.cumsum(values, out=sums[1:])
+    return sums
 
 
 def shingle_sets(texts: list[str | None], width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -201,7 +225,7 @@ def shingle_sets(texts: list[str | None], width: int) -> tuple[np.ndarray, np.nd
     starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
     if not len(starts):
         return np.empty(0, np.int64), np.empty(0, np.uint64)
-    sums = np.concatenate(([np.uint64(0)], np.cumsum(_BYTE_VALUES[raw] * _powers(_UNIT, len(raw)), dtype=np.uint64)))
+    sums = _prefix_sums(raw)
     words = mixed((sums[ends] - sums[starts]) * _powers(_UNDO, len(raw) + 1)[starts] + (ends - starts).astype(np.uint64))
     owner = np.searchsorted(np.cumsum(lengths), starts, side="right")
     first = np.concatenate(([True], owner[1:] != owner[:-1]))
@@ -226,7 +250,7 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     raw = np.frombuffer(joined, dtype=np.uint8)
     edges = np.diff(np.concatenate(([False], _WORD_BYTES[raw], [False])).astype(np.int8))
     starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
-    sums = np.concatenate(([np.uint64(0)], np.cumsum(_BYTE_VALUES[raw] * _powers(_UNIT, len(raw)), dtype=np.uint64)))
+    sums = _prefix_sums(raw)
     words = mixed((sums[ends] - sums[starts]) * _powers(_UNDO, len(raw) + 1)[starts] + (ends - starts).astype(np.uint64))
     lengths = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
     return words, np.searchsorted(np.cumsum(lengths), starts, side="right")

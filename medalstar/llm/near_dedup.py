@@ -35,7 +35,8 @@ from pyspark.sql import functions as F
 
 from medalstar.llm.bpe import gather
 from medalstar.llm.common import (
-    ROW, broadcast_if_few, give_back, map_arrow, mixed, shingle_sets, slices, small_batches, staged, with_rows,
+    ROW, broadcast_if_few, give_back, map_arrow, mixed, shingle_sets, slices, small_batches, staged, trimmed,
+    with_rows,
 )
 
 ROWS, BANDS = 8, 60
@@ -86,7 +87,7 @@ def _sketched(docs: DataFrame, width: int) -> DataFrame:
     key_type = docs.schema["key"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 1 << 20):
+        for batch in slices(trimmed(batches), "text", 1 << 20):
             n = batch.num_rows
             owner, shingle = shingle_sets(batch.column("text").to_pylist(), width)
             sizes = np.bincount(owner, minlength=n)
@@ -112,7 +113,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) ->
     """The pairs (a, b) whose full sets are similar enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(slices(batches, "left", 1 << 20), "right", 1 << 20):
+        for batch in slices(slices(trimmed(batches), "left", 1 << 20), "right", 1 << 20):
             n = batch.num_rows
             sets = [shingle_sets(batch.column(side).to_pylist(), width) for side in ("left", "right")]
             owner, shingle = (np.concatenate(x) for x in zip(*sets))

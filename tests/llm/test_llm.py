@@ -613,3 +613,37 @@ def test_stages_on_awkward_tables(spark):
             assert len(result.collect()) <= 3 * docs.count()
     once = corpus_pipeline.exact_deduplication(spark, common.staged(awkward(spark), "awkward"), SMALL).collect()
     assert sorted(str(r["doc_id"]) for r in once) == sorted(map(str, (1, 3, 5, 6, 8, 9, 10, 11, 12, 13)))
+
+
+def test_encoding_works_on_bounded_batches_and_leaves_no_memory_behind(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.unset(name)
+    try:
+        bpe.encode_decode(spark.createDataFrame([(1, "a b")], "doc_id bigint, text string"), queries.vocabulary_path())
+        assert int(spark.conf.get(name)) <= 8 << 20
+        spark.conf.set(name, "12345")  # a bound of the caller's own stays
+        common.bound_batches(spark)
+        assert spark.conf.get(name) == "12345"
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+    encoder = bpe.Encoder(bpe.load_vocabulary(queries.vocabulary_path()))
+    texts = pa.array(["some words to remember", "and others"])
+    first = [x.tolist() for x in encoder.encode(texts)]
+    assert encoder.units
+    encoder.forget()
+    assert not encoder.units and not encoder.counts
+    assert [x.tolist() for x in encoder.encode(texts)] == first
+
+
+def test_sums_of_shingles_need_little_memory_beside_the_text():
+    import tracemalloc
+
+    text = "word " * 100_000
+    expected = common.shingle_sets(["word word word"], 2)
+    tracemalloc.start()
+    owner, shingle = common.shingle_sets([text], 2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert shingle.tolist() == expected[1].tolist()
+    assert peak < 30 * len(text)
