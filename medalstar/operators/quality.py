@@ -20,6 +20,10 @@ class Checks:
     # foreign key -> (parent table, parent key)
     relationships: Mapping[str, tuple[str, str]] | None = None
 
+    def columns(self) -> list[str]:
+        """The columns that the checks look at."""
+        return list(dict.fromkeys([*self.not_null, *self.unique, *(self.accepted or {}), *(self.relationships or {})]))
+
     def count(self) -> int:
         return len(self.not_null) + len(self.unique) + len(self.accepted or {}) + len(self.relationships or {})
 

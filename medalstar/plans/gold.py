@@ -262,8 +262,10 @@ def fact_joins(
     })
 
 
-def fact_columns(joined: DataFrame, assets: Assets = Assets()) -> DataFrame:
-    """The fact's columns from ``fact_joins`` rows; a month column added to those rows stays.
+def fact_columns(
+    joined: DataFrame, assets: Assets = Assets(), names: Collection[str] = tuple(FACT_COLUMNS),
+) -> DataFrame:
+    """The fact's columns, or those of ``names``, from ``fact_joins`` rows; a month column added to those rows stays.
 
     The image addresses make a row several times wider, so this comes after the last shuffle.
     """
@@ -282,7 +284,7 @@ def fact_columns(joined: DataFrame, assets: Assets = Assets()) -> DataFrame:
         "role_icon": code_lookup("team_position", lookups.ROLE_ICONS, lookups.UNKNOWN_ROLE_ICON),
     }
     absent = {n for given in _BY_PLAYER.values() for n in given} - set(joined.columns)
-    names = [n for n in FACT_COLUMNS if n not in absent] + [MONTH] * (MONTH in joined.columns)
+    names = [n for n in FACT_COLUMNS if n in names and n not in absent] + [MONTH] * (MONTH in joined.columns)
     return joined.select(*[derived.get(n, F.col(FACT_RENAMES.get(n, n))).alias(n) for n in names])
 
 

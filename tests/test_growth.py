@@ -1,6 +1,7 @@
 """What a question computes and how it is spread, as its tables grow."""
 
 import json
+from types import SimpleNamespace
 
 import pyarrow as pa
 import pytest
@@ -8,6 +9,8 @@ from pyspark.sql import functions as F
 
 from medalstar import schemas
 from medalstar.checks import queries, refresh  # noqa: F401 - registers its queries
+from medalstar.operators import quality
+from medalstar.plans.suites import SUITES
 from medalstar.plans.warehouse import FACT, Warehouse
 from medalstar.session import bytes_of
 from medalstar.sources import documents, match_texts, samples
@@ -156,3 +159,33 @@ def test_the_whole_fact_shuffles_what_its_columns_derive_from(spark):
     assert narrow.exceptAll(wide).isEmpty() and wide.exceptAll(narrow).isEmpty()
     above, below = physical_plan(narrow).split("hashpartitioning(puuid", 1)
     assert "vision_score" in above and "vision_score" not in below
+
+
+def test_the_report_joins_lines_and_orders_once_and_reads_no_ranks_for_the_fact(spark, monkeypatch):
+    taken = {}
+
+    def report(tables, suites):
+        taken.update(tables)
+        return quality.report(tables, suites)
+
+    monkeypatch.setattr(queries, "quality", SimpleNamespace(report=report))
+    monkeypatch.setattr(queries, "_warehouses", {})
+    queries.QUERIES["dq_report"](spark, SF_DIR)
+    plan = optimized_plan(taken[FACT])
+    assert "lineitem" not in plan and "l_partkey" not in plan and "league_points" not in plan
+    assert set(taken[FACT].columns) == set(SUITES[FACT].columns())
+    assert taken[FACT].count() == queries.QUERIES["fct_participant_match"](spark, SF_DIR).count()
+
+
+def test_partitions_are_merged_to_little_memory_unless_the_session_says_otherwise(spark):
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name, None)
+    try:
+        spark.conf.unset(name)
+        queries.QUERIES["limit_n"](spark, SF_DIR)
+        assert spark.conf.get(name) == "16MB"
+        spark.conf.set(name, "5MB")
+        queries.QUERIES["limit_n"](spark, SF_DIR)
+        assert spark.conf.get(name) == "5MB"
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
