@@ -6,12 +6,14 @@
   none is above its share. Every vector is put into the list of its nearest centroid, and a boundary
   vector also into those of centroids hardly farther away.
 * Search. Centroids are linked into a graph of near neighbours, held in memory by the tasks; queries walk
-  it best first. A query's reach is the distance at which the lists up to there hold ``enough`` times ``k`` + 1
+  it best first, in rounds that open all of their best at once. A query's reach is the distance at which the lists up to there hold ``enough`` times ``k`` + 1
   vectors, replicas not counted; lists within a ratio of the reach are searched. A query whose lists may not all
   be among those found looks at all centroids. The ratio is fitted: sampled vectors are searched in the sample by
   brute force, and it is the one at which ``recall`` of their true neighbours lie in lists within it. Long lists
-  are cut into pieces; pieces are dealt out to shelves of bounded size. A task holds one shelf at a time; the queries
-  that ask it stream behind in blocks, each of which returns its best of the shelf.
+  are cut into pieces; pieces are dealt out to shelves of bounded size. A vector stands once, with its own list, beside
+  the numbers of all lists that have it, so it is moved once and compared once to a query, however many of its lists the
+  query asks. A task holds one shelf at a time; the queries that ask it, each with the set of its lists, stream behind in
+  blocks, each of which returns its best of the shelf.
 * Shortfall. Queries that are still left with fewer than ``k`` results although there are more candidates (ids
   that repeat with many vectors) are compared to all vectors in blocks.
 
@@ -36,9 +38,6 @@ from pyspark.sql import functions as F
 from medalstar.llm.common import among_first, give_back, map_arrow, ship, small_batches, staged
 
 
-_PIECES = 1 << 20  # pieces of a list are numbered below this
-
-
 @dataclass(frozen=True)
 class Index:
     """Bounds and settings. Centroids grow with the vectors up to ``centroids``; so does the sample."""
@@ -120,38 +119,32 @@ class Graph:
         self.entry = np.unique(np.linspace(0, n - 1, min(n, 32)).astype(np.int64))
 
     def search(self, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
-        """(centroids, distances) of the ``beam`` best found for each query, nearest first."""
-        q, n = len(queries), len(self.centroids)
-        beam = min(beam, n)
-        seen, every = np.zeros((q, n), dtype=bool), np.arange(q)
-        found = np.full((q, beam), -1, dtype=np.int64)
-        far = np.full((q, beam), np.inf)
-        open_ = np.zeros((q, beam), dtype=bool)
-
-        def offer(rows: np.ndarray, nodes: np.ndarray) -> None:
-            nonlocal found, far, open_
-            fresh = ~seen[rows[:, None], nodes]
-            seen[rows[:, None], nodes] = True
-            # A node padded twice into a row counts once.
-            order = np.argsort(nodes, axis=1, kind="stable")
-            same = np.zeros_like(fresh)
-            sorted_nodes = np.take_along_axis(nodes, order, 1)
-            np.put_along_axis(same, order[:, 1:], sorted_nodes[:, 1:] == sorted_nodes[:, :-1], 1)
-            distance = np.where(fresh & ~same, ((self.centroids[nodes] - queries[rows][:, None, :]) ** 2).sum(2), np.inf)
-            all_far = np.concatenate((far[rows], distance), 1)
-            all_found = np.concatenate((found[rows], nodes), 1)
-            all_open = np.concatenate((open_[rows], np.isfinite(distance)), 1)
-            best = np.argsort(all_far, axis=1, kind="stable")[:, :beam]
-            far[rows], found[rows], open_[rows] = (np.take_along_axis(x, best, 1) for x in (all_far, all_found, all_open))
-
-        offer(every, np.broadcast_to(self.entry, (q, len(self.entry))))
-        while True:
-            rows = np.flatnonzero(open_.any(axis=1))
-            if not len(rows):
-                return found, far
-            pick = open_[rows].argmax(axis=1)  # the nearest that is not expanded
-            open_[rows, pick] = False
-            offer(rows, self.near[found[rows, pick]])
+        """(centroids, distances) of the ``beam`` best found for each query, nearest first; -1 where fewer were."""
+        beam = min(beam, len(self.centroids))
+        far = np.empty((len(queries), beam))
+        found = np.empty(far.shape, dtype=np.int64)
+        for row, query in enumerate(queries):
+            seen = self._walk(query, beam)
+            found[row] = np.argsort(seen, kind="stable")[:beam]
+            far[row] = seen[found[row]]
+        return np.where(np.isinf(far), -1, found), far
+
+    def _walk(self, query: np.ndarray, beam: int) -> np.ndarray:
+        """Distances of the centroids, infinite for those not looked at.
+
+        A round opens all of the ``beam`` best that are not open yet, so there are as many rounds as links lead
+        to the last of them; no more than one by one are left out.
+        """
+        far, open_ = np.full(len(self.centroids), np.inf), np.zeros(len(self.centroids), dtype=bool)
+        fresh = self.entry
+        while len(fresh):
+            far[fresh] = ((self.centroids[fresh] - query) ** 2).sum(axis=1)
+            nodes = np.flatnonzero((far <= np.partition(far, beam - 1)[beam - 1]) & np.isfinite(far) & ~open_)
+            open_[nodes] = True
+            linked = np.zeros(len(far), dtype=bool)
+            linked[self.near[nodes]] = True
+            fresh = np.flatnonzero(linked & np.isinf(far))
+        return far
 
 
 def lists_of(points: np.ndarray, centroids: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -238,43 +231,67 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 class Shelf:
-    """The vectors of some pieces, in the order of the pieces' codes."""
+    """The vectors of some pieces, in the order of their lists, and for each the numbers of the lists that have it."""
 
-    def __init__(self, parts: list[pa.RecordBatch]):
+    def __init__(self, parts: list[pa.RecordBatch], most: int):
         own = pa.Table.from_batches(parts)
-        code, self.vectors = own.column("code").to_numpy(), np.concatenate([_matrix(b.column("v")) for b in parts])
-        order = np.argsort(code, kind="stable")
-        self.code, self.ids, self.vectors = code[order], own.column("class").to_numpy()[order], self.vectors[order]
-        self.number = np.unique(self.ids, return_inverse=True)[1]  # of the class, for telling pairs apart
+        lists = own.column("list").to_numpy()
+        order = np.argsort(lists, kind="stable")
+        self.vectors = np.concatenate([_matrix(b.column("v")) for b in parts])[order]
+        self.ids, lists = own.column("class").to_numpy()[order], lists[order]
+        self.norm = float(np.sqrt((self.vectors**2).sum(axis=1).max()))
+        members = own.column("lists").combine_chunks().take(pa.array(order))
+        count = np.diff(members.offsets.to_numpy())
+        self.lists = np.repeat(lists[:, None], count.max(), axis=1)  # shorter ones are filled up with the own list
+        row = np.repeat(np.arange(len(count)), count)
+        self.lists[row, np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)] = members.flatten().to_numpy()
+        new = np.flatnonzero(np.diff(lists, prepend=-1))
+        self.parts = [(i, min(i + most, b)) for a, b in zip(new, [*new[1:], len(lists)]) for i in range(a, b, most)]
 
 
 def _best_of_shelf(shelf: Shelf, asks: pa.RecordBatch, keep: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, class, score): the ``keep`` best of the shelf's pieces for each query that asks them."""
-    code, ids, vectors, questions = shelf.code, shelf.ids, shelf.vectors, _matrix(asks.column("v"))
-    lists = asks.column("codes")
-    asker = np.repeat(np.arange(asks.num_rows), np.diff(lists.offsets.to_numpy()))
-    wanted = lists.flatten().to_numpy()
-    order = np.argsort(wanted, kind="stable")
-    asker, wanted = asker[order], wanted[order]
-    rows, places = [], []
-    for piece in np.unique(wanted):
-        a, b = np.searchsorted(code, (piece, piece + 1))
-        who = asker[slice(*np.searchsorted(wanted, (piece, piece + 1)))]
-        n = min(keep, b - a)
-        if n:
-            top = np.argpartition(-(questions[who] @ vectors[a:b].T), n - 1, axis=1)[:, :n]
-            rows.append(np.repeat(who, n))
-            places.append(a + top.ravel())
-    row, place = np.concatenate(rows or [[]]).astype(np.int64), np.concatenate(places or [[]]).astype(np.int64)
-    # Scored anew, pair by pair: the same pair gets the same bits on whatever shelf it is scored.
-    score = np.concatenate([(vectors[place[i : i + 65536]] * questions[row[i : i + 65536]]).sum(axis=1)
-                            for i in range(0, len(row), 65536)] or [[]])
-    _, once = np.unique(row * (len(ids) + 1) + shelf.number[place], return_index=True)
-    row, place, score = row[once], place[once], score[once]
-    order = np.lexsort((ids[place], -score, row))
-    row, place, score = row[order], place[order], score[order]
-    turn = np.arange(len(row)) - np.searchsorted(row, row)
-    return asks.column("q").to_numpy()[row[turn < keep]], ids[place[turn < keep]], score[turn < keep]
+    """(query, class, score): the ``keep`` best of the shelf for each query, among the vectors that its lists have."""
+    vectors, ids, questions, n = shelf.vectors, shelf.ids, _matrix(asks.column("v")), asks.num_rows
+    # A bit for each query in a row for each list: those of a vector's lists together say who compares it.
+    sets = np.frombuffer(b"".join(asks.column("asked").to_pylist()), dtype=np.uint8).reshape(n, -1)
+    askers = np.packbits(np.pad(np.unpackbits(sets, axis=1).T, ((0, 0), (0, -n % 64))), axis=1)
+    askers = np.ascontiguousarray(askers).view(np.uint64)
+    # What the product of two matrices may differ by from the scores.
+    slack = 4 * vectors.shape[1] * np.finfo(np.float64).eps * shelf.norm * np.sqrt((questions**2).sum(axis=1))
+    bound = np.full(n, -np.inf)
+    row, place, score = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+    rows, places, waiting = [], [], 0
+
+    def settle() -> None:
+        """Only the best stay; a full query takes nothing below its last one from now on."""
+        nonlocal row, place, score, rows, places, waiting
+        more, at = np.concatenate([*rows, row[:0]]), np.concatenate([*places, place[:0]])
+        # Scored anew, pair by pair: the same pair gets the same bits on whatever shelf it is scored.
+        fresh = [(vectors[at[i : i + 65536]] * questions[more[i : i + 65536]]).sum(axis=1) for i in range(0, len(at), 65536)]
+        row, place, score = np.concatenate((row, more)), np.concatenate((place, at)), np.concatenate([score, *fresh])
+        order = np.lexsort((ids[place], -score, row))
+        row, place, score = row[order], place[order], score[order]
+        turn = np.arange(len(row)) - np.searchsorted(row, row)
+        last = np.flatnonzero(turn == keep - 1)
+        bound[row[last]] = score[last] - slack[row[last]]
+        row, place, score = row[turn < keep], place[turn < keep], score[turn < keep]
+        rows, places, waiting = [], [], 0
+
+    for a, b in shelf.parts:
+        bits = np.bitwise_or.reduce(askers[shelf.lists[a:b]], axis=1)
+        who = np.flatnonzero(np.unpackbits(np.bitwise_or.reduce(bits, axis=0).view(np.uint8))[:n])
+        if not len(who):
+            continue
+        asked = np.unpackbits(bits.view(np.uint8), axis=1).view(bool)
+        asked, mine = (asked[:, :n], questions) if len(who) == n else (asked[:, who], questions[who])
+        at, column = np.nonzero(~(vectors[a:b] @ mine.T < bound[who]) & asked)
+        rows.append(who[column])
+        places.append(a + at)
+        waiting += len(at)
+        if waiting > 32 * n:
+            settle()
+    settle()
+    return asks.column("q").to_numpy()[row], ids[place], score
 
 
 def search(
@@ -324,50 +341,53 @@ def search(
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
                 at, numbers, own = lists_of(lift(_matrix(part.column("v")), False), graph.value.centroids, index)
-                picked = part.take(pa.array(at))
+                ends = np.concatenate(([0], np.cumsum(np.bincount(at, minlength=part.num_rows))))
                 yield pa.RecordBatch.from_arrays(
-                    [picked.column("class"), picked.column("v"), pa.array(numbers), pa.array(own)],
-                    names=["class", "v", "list", "own"])
+                    [part.column("class"), part.column("v"), pa.array(numbers[own]),
+                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(numbers))],
+                    names=["class", "v", "list", "lists"])
 
     # Few bytes, much to compute: dealt out to as many tasks as a shuffle has.
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    posted = staged(map_arrow(distinct.select("class", "v").repartition(tasks), post, "class bigint, v array<double>, list bigint, own boolean"), "lists")
+    posted = staged(map_arrow(distinct.select("class", "v").repartition(tasks), post, "class bigint, v array<double>, list bigint, lists array<bigint>"), "lists")
     # A row per list, so no more than there are centroids.
-    counted = posted.groupBy("list").agg(F.count("*").alias("n"), F.count_if("own").alias("own")).collect()
-    lengths, held = {r["list"]: r["n"] for r in counted}, np.zeros(len(centroids), dtype=np.int64)
-    held[[r["list"] for r in counted]] = [r["own"] for r in counted]
+    counted = staged(posted.groupBy("list").agg(F.count("*").alias("own")), "counted")
+    held = np.zeros(len(centroids), dtype=np.int64)
+    for r in counted.collect():
+        held[r["list"]] = r["own"]
     # So many classes hold k ids besides the query's own.
     least = min(index.enough * (k + 1), facts["n"])
     ratio, beam = fitted_ratio(sample, centroids, held, index, k, least, lift)
     beam = min(len(centroids), max(32, beam + beam // 4))
-    pieces = {number: -(-n // index.piece) for number, n in lengths.items()}
-    shelves = max(index.shelves, -(-sum(lengths.values()) // index.shelf))
-    cut = spark.createDataFrame([*pieces.items()], "list bigint, pieces bigint")
+    shelves = max(index.shelves, -(-int(facts["n"]) // index.shelf))
+    cut = counted.select("list", F.ceil(F.col("own") / index.piece).alias("pieces"))
     # Lists and their pieces go round the shelves. Neighbouring lists have close numbers, so a query asks all alike.
-    posted = posted.join(F.broadcast(cut), "list").withColumn("piece", F.pmod(F.xxhash64("class"), F.col("pieces")))
-    posted = posted.select(((F.col("list") + F.col("piece")) % shelves).alias("shelf"),
-                           (F.col("list") * _PIECES + F.col("piece")).alias("code"), "class", "v")
+    piece = F.pmod(F.xxhash64("class"), F.col("pieces"))
+    posted = posted.join(F.broadcast(cut), "list").withColumn("shelf", (F.col("list") + piece) % shelves).drop("pieces")
+    # No more rows than centroids times shelves.
+    there = posted.select(F.explode("lists").alias("list"), "shelf").distinct().toArrow()
+    holds = np.zeros((len(centroids), shelves), dtype=bool)
+    holds[there.column("list").to_numpy(), there.column("shelf").to_numpy()] = True
+    holds = spark.sparkContext.broadcast(holds)
 
     def aim(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
                 asked = lift(_matrix(part.column("v")), True)
-                at, shelf, codes = [], [], []
+                sets = np.zeros((part.num_rows, len(held)), dtype=bool)
+                shelf = np.zeros((part.num_rows, shelves), dtype=bool)
                 for row, numbers in enumerate(chosen(graph.value, asked, beam, held, least, ratio)):
-                    own: dict[int, list[int]] = {}
-                    for number in numbers.tolist():
-                        for p in range(pieces.get(number, 0)):
-                            own.setdefault((number + p) % shelves, []).append(number * _PIECES + p)
-                    at += [row] * len(own)
-                    shelf += own
-                    codes += own.values()
-                picked = part.take(pa.array(at, pa.int64()))
+                    sets[row, numbers] = True
+                    shelf[row] = holds.value[numbers].any(axis=0)
+                at, shelf = np.nonzero(shelf)
+                sets = pa.array([x.tobytes() for x in np.packbits(sets, axis=1)], pa.binary())
+                picked = part.take(pa.array(at))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(shelf, pa.int64()), picked.column("q"), picked.column("v"),
-                     pa.array(codes, pa.list_(pa.int64()))], names=["shelf", "q", "v", "codes"])
+                    [pa.array(shelf), picked.column("q"), picked.column("v"), sets.take(pa.array(at))],
+                    names=["shelf", "q", "v", "asked"])
 
-    aimed = map_arrow(asking.repartition(tasks), aim, "shelf bigint, q bigint, v array<double>, codes array<bigint>")
+    aimed = map_arrow(asking.repartition(tasks), aim, "shelf bigint, q bigint, v array<double>, asked binary")
 
     # The vectors of a shelf, then the queries that ask it.
     dealt = posted.withColumn("asks", F.lit(False)).unionByName(
@@ -385,10 +405,10 @@ def search(
                 if shelf_of[a] != number:
                     number, parts, shelf = shelf_of[a], [], None
                 if not asking_[a]:
-                    parts.append(batch.slice(a, b - a).select(["code", "class", "v"]))
+                    parts.append(batch.slice(a, b - a).select(["list", "lists", "class", "v"]))
                     continue
                 if parts:
-                    shelf, parts = Shelf(parts), []
+                    shelf, parts = Shelf(parts, index.piece), []
                 for start in range(a, b if shelf else a, index.asks):
                     found = _best_of_shelf(shelf, batch.slice(start, min(index.asks, b - start)), k + 1)
                     yield pa.RecordBatch.from_arrays(
@@ -397,10 +417,10 @@ def search(
         give_back()
 
     scored = map_arrow(dealt, best, "q bigint, class bigint, score double")
-    # A class may come from several lists. The k + 1 best classes hold the k + 1 best candidates.
+    # A class stands on one shelf. The k + 1 best classes hold the k + 1 best candidates.
     nearest = Window.partitionBy("q").orderBy(F.desc("score"), "lowest")
     classes = distinct.select("class", "ids", F.col("ids")[0].alias("lowest"))
-    found = scored.groupBy("q", "class").agg(F.first("score").alias("score")).join(classes, "class")
+    found = scored.join(classes, "class")
     found = found.withColumn("place", F.row_number().over(nearest)).filter(F.col("place") <= k + 1)
     found = found.select("q", "score", F.explode("ids").alias("vec_id"))
     first = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")

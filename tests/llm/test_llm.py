@@ -565,6 +565,44 @@ def test_ids_with_many_vectors_get_neighbours(spark):
         (n, j) for n, (_, j) in enumerate(scores, 1)]
 
 
+def test_a_walk_opens_all_of_its_best_in_a_round():
+    rng = np.random.default_rng(11)
+    centroids, queries = rng.normal(size=(900, 6)), rng.normal(size=(4, 6))
+    graph, looks = ann.Graph(centroids, 16), []
+
+    class Counted:
+        def __getitem__(self, nodes, near=graph.near):
+            looks.append(1)
+            return near[nodes]
+
+    graph.near = Counted()
+    found, far = graph.search(queries, 300)
+    assert len(looks) <= 4 * 12  # one by one there are at least 300
+    for query, mine, distance in zip(queries, found, far):
+        exact = ((centroids - query) ** 2).sum(axis=1)
+        assert np.array_equal(distance, exact[mine]) and (np.diff(distance) >= 0).all() and len(set(mine)) == 300
+        assert len(set(mine) & set(np.argsort(exact)[:300])) >= 297
+
+
+def test_a_shelf_compares_the_vectors_of_the_asked_lists_once():
+    rng = np.random.default_rng(12)
+    n, keep = 700, 6
+    vectors = np.round(rng.normal(size=(n, 5)), 1)  # many equal scores
+    lists = [sorted({int(x) for x in rng.integers(0, 30, size=rng.integers(1, 5))}) for _ in range(n)]
+    parts = [pa.record_batch([pa.array([x[-1] for x in lists[i : i + 50]]), pa.array(lists[i : i + 50]), pa.array(range(i, i + 50)),
+                              pa.array(vectors[i : i + 50].tolist())], ["list", "lists", "class", "v"]) for i in range(0, n, 50)]
+    shelf = ann.Shelf(parts, 16)
+    assert len(shelf.vectors) == n and max(b - a for a, b in shelf.parts) == 16
+    asked, questions = rng.random((70, 30)) < 0.15, np.round(rng.normal(size=(70, 5)), 1)
+    asked[3] = False
+    asks = pa.record_batch([pa.array(range(70)), pa.array(questions.tolist()),
+                            pa.array([x.tobytes() for x in np.packbits(asked, axis=1)], pa.binary())], ["q", "v", "asked"])
+    number, ids, scores = ann._best_of_shelf(shelf, asks, keep)
+    for q, question in enumerate(questions):
+        all_of = sorted((-float((vectors[i] * question).sum()), i) for i in range(n) if asked[q, lists[i]].any())
+        assert sorted(zip(-scores[number == q], ids[number == q])) == all_of[:keep]
+
+
 # --- pipeline
 
 
