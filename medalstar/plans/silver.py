@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from medalstar import schemas
 from medalstar.functions.scalars import iso_timestamp, kda, per_minute, safe_ratio
 from medalstar.operators.keys import ascending, latest_per_key, top_n_per_key
+from medalstar.operators.packing import Packing
 
 LADDER_COLUMNS = [
     "puuid", "platform", "tier", "league_points", "wins", "losses", "total_games", "winrate", "ingest_ts",
@@ -40,10 +41,15 @@ def stg_ladder(ladder: DataFrame) -> DataFrame:
 
 
 def _dedupe(bronze: DataFrame, keys: Sequence[str] | None) -> DataFrame:
-    """The newest bronze row of every key; columns derived from a row decide nothing and need not be shuffled."""
+    """The newest bronze row of every key; columns derived from a row decide nothing and need not be shuffled.
+
+    Rows are sorted and shuffled packed, at half the bytes.
+    """
     if not keys:
         return bronze
-    return top_n_per_key(bronze, keys, [iso_timestamp("ingest_ts").desc_nulls_last(), *ascending(bronze.columns)])
+    packing = Packing(bronze.schema, keys)
+    rows = packing.pack(bronze)
+    return packing.unpack(top_n_per_key(rows, keys, [iso_timestamp("ingest_ts").desc_nulls_last(), *ascending(rows.columns)]))
 
 
 def with_rates(participants: DataFrame) -> DataFrame:
